@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import simhash
-from .common import table
+from . import idstore, packing, simhash
+from .common import shared_dir, table
 
 
 def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,8 +14,21 @@ def op3_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op6_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+def op7_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    place = f"{shared_dir(spark)}/ids"
+    idstore.write_ids(table(spark, sf_dir, "documents"), place)
+    got = idstore.read_ids(spark, place)
+    return got.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op3_simhash_groups": op3_simhash_groups,
+    "op6_best_fit_packing": op6_best_fit_packing,
+    "op7_token_id_files": op7_token_id_files,
 }
 
 ORACLES: dict[str, str] = {}
