@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idstore, packing, simhash
+from . import idstore, packing, pii, secrets, simhash
 from .common import shared_dir, table
 
 
@@ -25,10 +25,20 @@ def op7_token_id_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digest(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.scan(table(spark, sf_dir, "documents")))
+
+
 QUERIES = {
     "op3_simhash_groups": op3_simhash_groups,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_id_files": op7_token_id_files,
+    "op9_secret_scan": op9_secret_scan,
+    "op10_personal_data": op10_personal_data,
 }
 
 ORACLES: dict[str, str] = {}
