@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idstore, packing, pii, secrets, simhash
+from . import idstore, linededup, packing, pii, secrets, simhash
 from .common import shared_dir, table
 
 
@@ -33,12 +33,31 @@ def op10_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(pii.scan(table(spark, sf_dir, "documents")))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = linededup.dedup_lines(table(spark, sf_dir, "documents"))
+    return got.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
+
+
 QUERIES = {
     "op3_simhash_groups": op3_simhash_groups,
+    "op5_line_dedup": op5_line_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_id_files": op7_token_id_files,
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
 }
 
-ORACLES: dict[str, str] = {}
+#: The line key in DuckDB: ends stripped, A-Z alone lower-cased.
+_KEY = "translate(trim(l, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+ORACLES: dict[str, str] = {
+    "op5_line_dedup": f"""
+WITH cut AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+each AS (SELECT doc_id, unnest(ls) AS l, generate_subscripts(ls, 1) AS i FROM cut),
+keyed AS (SELECT doc_id, i, l, {_KEY} AS k FROM each),
+common AS (SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+marked AS (SELECT doc_id, i, l, last IS NOT NULL AND doc_id <> last AS gone FROM keyed LEFT JOIN common USING (k))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+  sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM marked GROUP BY doc_id""",
+}
