@@ -77,6 +77,14 @@ def _run_ends(text: str, holds) -> list[int]:
     return ends
 
 
+def _same_for(text: str, shift: int) -> list[int]:
+    """For each place, how many characters from there on equal those ``shift`` later."""
+    out = [0] * (len(text) + 1)
+    for k in range(len(text) - shift - 1, -1, -1):
+        out[k] = out[k + 1] + 1 if text[k] == text[k + shift] else 0
+    return out
+
+
 def guess_cost(value: str) -> float:
     """log10 of the guesses that the cheapest segmentation of ``value`` needs; linear in its length."""
     low = value.lower()
@@ -88,6 +96,7 @@ def guess_cost(value: str) -> float:
     same = _run_ends(low, lambda a, b: a == b)
     up = _run_ends(low, lambda a, b: ord(b) - ord(a) == 1)
     down = _run_ends(low, lambda a, b: ord(a) - ord(b) == 1)
+    again = {size: _same_for(low, size) for size in range(2, min(16, n // 2) + 1)}
     best = [0.0] + [math.inf] * n
 
     def reach(end: int, cost: float) -> None:
@@ -108,12 +117,10 @@ def guess_cost(value: str) -> float:
         for ends, cost in ((walks, 2.0), (same, 1.0), (up, 1.2), (down, 1.5)):
             if ends[i] - i > 2:
                 reach(ends[i], here + SEGMENT + cost + math.log10(ends[i] - i) * (3 if ends is walks else 1))
-        for size in range(2, min(16, (n - i) // 2) + 1):  # a block said again
-            if low[i : i + size] == low[i + size : i + 2 * size]:
-                end = i + 2 * size
-                while low[end : end + size] == low[i : i + size]:
-                    end += size
-                reach(end, here + SEGMENT + size * brute + math.log10((end - i) // size))
+        for size, same_for in again.items():  # a block said again
+            if same_for[i] >= size:
+                times = 1 + same_for[i] // size
+                reach(i + times * size, here + SEGMENT + size * brute + math.log10(times))
     return best[n]
 
 
