@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idstore, linededup, packing, pii, secrets, simhash
+from . import idstore, langid, linededup, packing, pii, secrets, simhash
 from .common import shared_dir, table
 
 
@@ -38,7 +38,15 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text"), 256).alias("kept_sha256"))
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.learn(docs.where(~langid.held_out()))
+    got = langid.predict(docs, model)
+    return got.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
+
+
 QUERIES = {
+    "op1_language_id": op1_language_id,
     "op3_simhash_groups": op3_simhash_groups,
     "op5_line_dedup": op5_line_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
