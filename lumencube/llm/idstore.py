@@ -161,8 +161,9 @@ def write_ids(docs: DataFrame, uri: str, id_col: str = "doc_id", text_col: str =
         own, shard, writer = encoder(path), TaskContext.get().partitionId(), None
         for batch in slices(batches, 2 << 20):
             writer = writer or ShardWriter(uri, f"shard-{shard:06d}.lcbp", block, plane)
-            for key, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-                writer.add(key, np.append(own.ids(text.decode() if text else ""), np.uint32(end_id)))
+            texts = [t.decode() if t else "" for t in text_bytes(batch.column(1))]
+            for key, ids in zip(batch.column(0).to_pylist(), own.batch(texts), strict=True):
+                writer.add(key, np.append(ids, np.uint32(end_id)))
         if writer:
             n_ids, n_docs = writer.close()
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n_ids": pa.array([n_ids], pa.int64()), "n_docs": pa.array([n_docs], pa.int64())})

@@ -37,8 +37,9 @@ def encoded_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         own = encoder(path)
         for batch in slices(batches, 2 << 20):
             doc, piece, start, length, data = [], [], [], [], []
-            for key, text in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-                ids = np.append(own.ids(text.decode() if text else ""), np.uint32(end_id)).astype("<u4")
+            texts = [t.decode() if t else "" for t in text_bytes(batch.column(1))]
+            for key, ids in zip(batch.column(0).to_pylist(), own.batch(texts), strict=True):
+                ids = np.append(ids, np.uint32(end_id)).astype("<u4")
                 first = (len(ids) - 1) % limit + 1
                 cuts = [0, *range(first, len(ids) + 1, limit)]
                 for k, (s, e) in enumerate(zip(cuts, cuts[1:], strict=False)):

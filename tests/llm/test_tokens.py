@@ -28,6 +28,7 @@ def test_ids_are_the_librarys(spark, library, monkeypatch):
         own = tokens.Encoder(tokens.default_vocabulary())
         for text in texts:
             assert own.ids(text).tolist() == library(text)
+        assert [x.tolist() for x in own.batch(texts)] == [library(x) for x in texts]
 
 
 def check_plan(histogram, limit):
