@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idstore, langid, linededup, packing, pii, secrets, simhash
+from . import idstore, langid, linededup, neighbours, packing, pii, secrets, simhash
 from .common import shared_dir, table
 
 
@@ -45,12 +45,17 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "cross_entropy", "rejected")
 
 
+def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_simhash_groups": op3_simhash_groups,
     "op5_line_dedup": op5_line_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_id_files": op7_token_id_files,
+    "op8_nearest_vectors": op8_nearest_vectors,
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
 }
