@@ -41,7 +41,8 @@ def pack_chunk(ids: np.ndarray, plane: str = "bit", level: int = 3) -> tuple[byt
     if plane == "byte":
         planes = [np.ascontiguousarray(ids.view(np.uint8).reshape(-1, 4)[:, k]).tobytes() for k in range(-(-top // 8))]
     else:
-        planes = [np.packbits((ids >> np.uint32(k)).astype(np.uint8) & 1, bitorder="little").tobytes() for k in range(top)]
+        narrow = ids.astype(np.uint16) if top <= 16 else ids
+        planes = [np.packbits((narrow & narrow.dtype.type(1 << k)) != 0, bitorder="little").tobytes() for k in range(top)]
     out = [zip_(x) for x in planes]
     return b"".join(out), [len(x) for x in out]
 
@@ -49,15 +50,16 @@ def pack_chunk(ids: np.ndarray, plane: str = "bit", level: int = 3) -> tuple[byt
 def unpack_chunk(data: bytes, sizes: list[int], n: int, plane: str = "bit") -> np.ndarray:
     """The ids that ``pack_chunk`` was given."""
     unzip = zstandard.ZstdDecompressor().decompress
-    ids, at = np.zeros(n, np.uint32), 0
+    kind = np.uint16 if plane == "bit" and len(sizes) <= 16 else np.uint32
+    ids, at = np.zeros(n, kind), 0
     for k, size in enumerate(sizes):
         raw = np.frombuffer(unzip(data[at : at + size]), np.uint8)
         at += size
         if plane == "byte":
             ids |= raw.astype(np.uint32) << np.uint32(8 * k)
         else:
-            ids |= np.unpackbits(raw, count=n, bitorder="little").astype(np.uint32) << np.uint32(k)
-    return ids
+            ids |= np.unpackbits(raw, count=n, bitorder="little").astype(kind) << kind(k)
+    return ids.astype(np.uint32)
 
 
 def _files(uri: str) -> tuple[fs.FileSystem, str]:

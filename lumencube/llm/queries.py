@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import idstore, langid, linededup, neighbours, packing, pii, secrets, simhash
+from . import decontaminate, idstore, langid, linededup, neighbours, packing, pii, secrets, simhash
 from .common import shared_dir, table
 
 
@@ -49,9 +49,15 @@ def op8_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"))
 
 
+def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    got = decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return got.select("doc_id", "item_id", "coverage", "covered", "longest", F.size("tiles").alias("n_tiles"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op3_simhash_groups": op3_simhash_groups,
+    "op4_benchmark_leaks": op4_benchmark_leaks,
     "op5_line_dedup": op5_line_dedup,
     "op6_best_fit_packing": op6_best_fit_packing,
     "op7_token_id_files": op7_token_id_files,
