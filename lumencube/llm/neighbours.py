@@ -129,6 +129,7 @@ def _searcher(queries: dict[int, tuple[np.ndarray, np.ndarray]], centroids: dict
                     code = np.frombuffer(b"".join(part.column(3).to_pylist()), np.uint8).reshape(len(vec), -1)
                     got, error = estimates(code, part.column(4).to_numpy(), part.column(5).to_numpy(), dim, rotated, size, epsilon)
                     got += base[None, :].astype(np.float32)
+                    error += (1e-5 * (np.abs(base) + size * (1 + part.column(4).to_numpy().max()))).astype(np.float32)  # of single precision
                     reach = least.copy()
                     new = np.flatnonzero(np.isneginf(least))  # nothing exact yet: the k best estimates of this block tell where to begin
                     if len(new) and len(vec) > k:
@@ -136,11 +137,13 @@ def _searcher(queries: dict[int, tuple[np.ndarray, np.ndarray]], centroids: dict
                         exact = np.einsum("kqd,qd->kq", x[top], q[new])
                         other = np.where(vec[top] == ids[new][None, :], -np.inf, exact)
                         reach[new] = np.sort(other, axis=0)[-k]
-                    slack = 1e-5 * (1 + np.abs(got)) if dim else 0
-                    i, j = np.nonzero(got + error + slack >= reach[None, :])
+                    error += got
+                    i, j = np.nonzero(error >= reach[None, :])
                     own = vec[i] != ids[j]
                     i, j = i[own], j[own]
                     score = np.concatenate([np.einsum("nd,nd->n", x[i[s : s + 65536]], q[j[s : s + 65536]]) for s in range(0, len(i), 65536)]) if len(i) else np.empty(0)
+                    near = score >= reach[j]
+                    i, j, score = i[near], j[near], score[near]
                     kept = _best(np.concatenate([kept[0], j]), np.concatenate([kept[1], vec[i]]), np.concatenate([kept[2], score]), k)
                     state[dim][4] = kept
                     last = np.flatnonzero(np.append(kept[0][1:] != kept[0][:-1], True)) if len(kept[0]) else np.empty(0, int)
