@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, idstore, langid, linededup, neighbours, packing, pii, secrets, simhash
+from . import decontaminate, idstore, langid, licences, linededup, neighbours, packing, pii, secrets, simhash
 from .common import shared_dir, table
 
 
@@ -54,8 +54,13 @@ def op4_benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "item_id", "coverage", "covered", "longest", F.size("tiles").alias("n_tiles"))
 
 
+def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_licence_scan": op2_licence_scan,
     "op3_simhash_groups": op3_simhash_groups,
     "op4_benchmark_leaks": op4_benchmark_leaks,
     "op5_line_dedup": op5_line_dedup,
