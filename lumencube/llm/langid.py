@@ -31,6 +31,8 @@ from .common import slices, text_bytes
 SPACE = 32
 PIECE = 1 << 19
 BLOCK = 64
+#: Rows of (language, two numbers) up to which the table of languages is broadcast.
+BROADCAST_ROWS = 10_000
 # Odd multipliers, one for each place of an n-gram.
 PLACES = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
 
@@ -325,10 +327,11 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train_cha
     """At most ``train_chars`` code points (or one text) of each language, ``total_chars`` in all: whole texts, in order of a hash of the id."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = labelled.groupBy(F.col(lang_col).alias("__lang")).agg(F.count(F.lit(1)).alias("__n"), F.sum(F.char_length(F.col(text_col).cast("string")).cast("double")).alias("__chars"))
-    train_chars = min(train_chars, total_chars // max(1, labelled.select(lang_col).distinct().count()))
+    languages = labelled.select(lang_col).distinct().count()
+    train_chars = min(train_chars, total_chars // max(1, languages))
     # a hash limit that leaves about twice the bound, so that the exact cut below sorts little
     share = F.least(F.lit(1.0), F.greatest(2.0 * train_chars / F.greatest("__chars", F.lit(1.0)), F.lit(64.0) / F.col("__n")))
-    rows = labelled.join(counts, F.col(lang_col) == F.col("__lang"))
+    rows = labelled.join(F.broadcast(counts) if languages <= BROADCAST_ROWS else counts, F.col(lang_col) == F.col("__lang"))
     rows = rows.where((_place(docs, id_col).bitwiseAND(0x7FFFFFFF)) / F.lit(2.0**31) < share)
     rows = rows.select(F.col("__lang").cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), _place(docs, id_col).alias("place"))
     size = F.sum(F.char_length("text").cast("long")).over(Window.partitionBy("lang").orderBy("place", "text").rowsBetween(Window.unboundedPreceding, -1))
