@@ -1,15 +1,65 @@
-"""Corpus pipeline over ``documents``: the stages are filled in as their operators land."""
+"""Corpus pipeline: language ID, line dedup, SimHash near-dedup, benchmark decontamination, packing.
+
+Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
+of ``documents``. ``run`` writes each result as Parquet in the shared folder and gives the reread
+table to the next stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lumencube.llm import decontaminate, langid, linededup, packing, simhash
+from lumencube.llm.common import shared_dir, table, written
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that the language models reject, those without a letter among them."""
+    model = langid.learn(docs.where(~langid.held_out()))
+    return langid.predict(docs, model, keep=docs.columns).where(~F.col("rejected")).select(*docs.columns)
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop repeated lines; every document stays, n_chars follows its text."""
+    kept = linededup.dedup_lines(docs).select(*docs.columns)
+    return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep the document with the smallest id of each group, once. Rows with a null id stay as they are."""
+    groups = simhash.near_duplicates(docs)
+    first = written(groups.select(F.col("component_id").alias("doc_id")).where(F.col("doc_id").isNotNull()).distinct(), f"{shared_dir(spark)}/first")
+    named = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a test item of ``benchmark``."""
+    return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all remaining documents and their places in sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [
+    ("language ID", language_id),
+    ("line dedup", line_dedup),
+    ("SimHash near-dedup", near_dedup),
+    ("benchmark decontamination", decontamination),
+    ("best-fit packing", best_fit_packing),
+]
 
-STAGES: list = []
+#: SQL can express neither the language models nor the token ids; tests/llm/test_pipeline.py has the brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
+    docs, home = table(spark, sf_dir, "documents"), shared_dir(spark)
+    for k, (_, stage) in enumerate(STAGES):
         docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = written(docs, f"{home}/stage{k}")
     return docs

@@ -17,7 +17,8 @@ from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import slices, text_bytes
@@ -192,6 +193,18 @@ def _pieces(raw: bytes) -> Iterator[bytes]:
         at = end
 
 
+def _blocks(spark: SparkSession, benchmark: DataFrame, item_col: str, item_text: str, block_bytes: int) -> list[Broadcast]:
+    """The benchmark's items in broadcasts of about ``block_bytes`` of text each."""
+    items = benchmark.where(F.col(item_col).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text"))
+    items = items.dropDuplicates(["item", "text"])
+    n = max(1, -(-int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
+    out = []
+    for b in range(n):
+        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == b).orderBy("item", "text").collect()
+        out.append(spark.sparkContext.broadcast([(r.item, r.text) for r in rows]))
+    return out
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", seed_words: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
     """Every document's coverage of every test item with which it shares a seed.
 
@@ -200,16 +213,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     a token and null items or ids of items match nothing; rows with a null id keep their matches; repeated
     rows of documents repeat, repeated items count once; empty tables give an empty result.
     """
-    spark = docs.sparkSession
-    items = benchmark.where(F.col(item_col).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text"))
-    items = items.dropDuplicates(["item", "text"])
-    blocks = max(1, -(-int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
+    shared_blocks = _blocks(docs.sparkSession, benchmark, item_col, item_text, block_bytes)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     tiles_of = pa.list_(pa.struct([("item_at", pa.int32()), ("doc_at", pa.int64()), ("length", pa.int32())]))
     out = None
-    for b in range(blocks):
-        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(blocks)) == b).orderBy("item", "text").collect()  # about block_bytes
-        shared = spark.sparkContext.broadcast([(r.item, r.text) for r in rows])
+    for shared in shared_blocks:
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             bench = Bench(shared.value, seed_words)
@@ -231,3 +239,23 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, **columns) -> DataFrame:
     """The pairs whose coverage is ``threshold`` or more; as for ``overlaps``."""
     return overlaps(docs, benchmark, **columns).where(F.col("coverage") >= threshold)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", seed_words: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
+    """The rows and columns of ``docs`` that cover no test item by ``threshold`` or more; nulls and empty texts stay.
+
+    A filter inside each task, one after the other for the benchmark's blocks: nothing is shuffled.
+    """
+    names, kinds = docs.columns, docs.schema
+    at = names.index(text_col)
+    out = docs
+    for shared in _blocks(docs.sparkSession, benchmark, item_col, item_text, block_bytes):
+
+        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
+            bench = Bench(shared.value, seed_words)
+            for batch in slices(batches):
+                clean = [not raw or all(c < threshold for _, c, *_ in bench.overlaps(raw)) for raw in text_bytes(batch.column(at))]
+                yield batch.filter(pa.array(clean, pa.bool_()))
+
+        out = out.mapInArrow(run, kinds)
+    return out

@@ -357,7 +357,9 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     rows stay; an empty table gives an empty result.
     """
     keep = keep if keep is not None else [id_col]
-    source = docs.select(F.col(text_col).cast("string").alias("__text"), *[F.col(c) for c in keep])
+    own_text = [] if text_col in keep and dict(docs.dtypes)[text_col] == "string" else [F.col(text_col).cast("string").alias("__text")]
+    source = docs.select(*[F.col(c) for c in keep], *own_text)
+    at = len(keep) if own_text else keep.index(text_col)
     kept = source.select(*keep).schema
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by learn()
     extra = [("lang_pred", pa.string()), ("score", pa.float64()), ("cross_entropy", pa.float64()), ("rejected", pa.bool_())]
@@ -365,7 +367,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         for batch in slices(batches, 4 << 20):
-            texts = [t.decode() if t else None for t in text_bytes(batch.column(0))]
+            texts = [t.decode() if t else None for t in text_bytes(batch.column(at))]
             if own is None:
                 empty = [not t or not any(map(str.isalpha, t)) for t in texts]
                 made = [["und"] * len(texts), [0.0] * len(texts), [None] * len(texts), empty]
@@ -374,7 +376,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
                 lang = ["und" if e else own.languages[b] for e, b in zip(d["empty"], d["best"], strict=True)]
                 entropy = [None if e else float(x) for e, x in zip(d["empty"], d["entropy"], strict=True)]
                 made = [lang, d["score"], entropy, d["rejected"]]
-            columns = [batch.column(1 + k) for k in range(len(keep))] + [pa.array(x, kind) for x, (_, kind) in zip(made, extra, strict=True)]
+            columns = [batch.column(k) for k in range(len(keep))] + [pa.array(x, kind) for x, (_, kind) in zip(made, extra, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *(n for n, _ in extra)])
 
     kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string", "score double", "cross_entropy double", "rejected boolean"])
