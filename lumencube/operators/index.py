@@ -85,4 +85,4 @@ def quintile_colours(data: DataFrame, value: str, colours: Sequence[str]) -> Dat
     for k in range(n - 2, -1, -1):
         ladder = F.when(F.col(value) <= cuts[k], F.lit(k)).otherwise(ladder)
     out = data.withColumn("bucket", F.when(F.col(value).isNotNull(), ladder))
-    return out.withColumn("colour", F.element_at(F.array(*map(F.lit, colours)), F.col("bucket") + 1))
+    return out.withColumn("colour", F.when(F.col("bucket").isNotNull(), F.get(F.array(*map(F.lit, colours)), F.col("bucket"))))

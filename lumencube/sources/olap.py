@@ -26,8 +26,8 @@ def read_export(spark: SparkSession, path: str, columns: Sequence[str], drop: Se
 
     Titles have another number of cells, so no line numbers are needed and the file splits.
     """
-    rows = _cells(spark, path, encoding).where(F.size("cells") == len(columns)).where(~F.col("cells")[0].isin(*drop))
-    return rows.select(*[F.col("cells")[k].alias(c) for k, c in enumerate(columns)])
+    rows = _cells(spark, path, encoding).where(F.size("cells") == len(columns)).where(~F.get("cells", F.lit(0)).isin(*drop))
+    return rows.select(*[F.get("cells", F.lit(k)).alias(c) for k, c in enumerate(columns)])
 
 
 def read_start_years(spark: SparkSession, path: str, encoding: str = "utf-8") -> DataFrame:

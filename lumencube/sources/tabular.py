@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType, StructType
 
-BOM = "﻿"
+BOM = "\ufeff"
 
 
 def nan_to_null(data: DataFrame) -> DataFrame:
