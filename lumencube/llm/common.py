@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -65,3 +66,15 @@ def slices(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[p
             yield batch.slice(k, step)
 
 
+#: Bytes of rows that go to a Python worker at once.
+BATCH_BYTES = 8 << 20
+
+
+def mapped(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
+    """``df.mapInArrow`` with batches of about BATCH_BYTES at most, so that long texts need no more memory.
+
+    Spark takes that bound from the session when the plan runs, so it stays set there.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    df.sparkSession.conf.set(key, str(BATCH_BYTES))
+    return df.mapInArrow(run, schema)

@@ -21,7 +21,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import mapped, slices, text_bytes
 
 _TOKEN = re.compile(r"\w+")
 # A Mersenne prime and the base of the rolling hash.
@@ -231,7 +231,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
                 kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), tiles_of)
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "coverage", "covered", "longest", "tiles"])
 
-        got = source.mapInArrow(run, "doc_id long, item_id long, coverage double, covered int, longest int, tiles array<struct<item_at:int,doc_at:long,length:int>>")
+        got = mapped(source, run, "doc_id long, item_id long, coverage double, covered int, longest int, tiles array<struct<item_at:int,doc_at:long,length:int>>")
         out = got if out is None else out.unionByName(got)
     return out
 
@@ -257,5 +257,5 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
                 clean = [not raw or all(c < threshold for _, c, *_ in bench.overlaps(raw)) for raw in text_bytes(batch.column(at))]
                 yield batch.filter(pa.array(clean, pa.bool_()))
 
-        out = out.mapInArrow(run, kinds)
+        out = mapped(out, run, kinds)
     return out

@@ -26,7 +26,7 @@ from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import mapped, slices, text_bytes
 from .tokens import default_vocabulary, encoder
 
 MAGIC = b"LCBP0001"
@@ -172,7 +172,7 @@ def write_ids(docs: DataFrame, uri: str, id_col: str = "doc_id", text_col: str =
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     ordered = source.repartitionByRange("doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
-    made = sorted(ordered.mapInArrow(run, "shard int, n_ids long, n_docs long").collect())  # one row for each shard
+    made = sorted(mapped(ordered, run, "shard int, n_ids long, n_docs long").collect())  # one row for each shard
     rows, at = [], 0
     for shard, n_ids, n_docs in made:
         rows.append((shard, f"shard-{shard:06d}.lcbp", at, n_ids, n_docs))

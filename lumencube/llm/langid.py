@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import mapped, slices, text_bytes
 
 SPACE = 32
 PIECE = 1 << 19
@@ -380,7 +380,7 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays(columns, names=[*keep, *(n for n, _ in extra)])
 
     kinds = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), "lang_pred string", "score double", "cross_entropy double", "rejected boolean"])
-    return source.mapInArrow(run, kinds)
+    return mapped(source, run, kinds)
 
 
 def held_out(id_col: str = "doc_id") -> Column:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, slices, written
+from .common import mapped, shared_dir, slices, written
 
 ROWS = 2048
 SEED = 20
@@ -88,7 +88,7 @@ def build(vectors: DataFrame, path: str, id_col: str = "vec_id", vector_col: str
                     code[i] = p.tobytes()
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(sizes.astype(np.int32)), pa.array(code, pa.binary()), pa.array(length), pa.array(own)], names=["vec_id", "vector", "dim", "code", "length", "own"])
 
-    index = written(rows.mapInArrow(run, "vec_id long, vector array<double>, dim int, code binary, length double, own double"), path)
+    index = written(mapped(rows, run, "vec_id long, vector array<double>, dim int, code binary, length double, own double"), path)
     index.centroids = centroids
     return index
 
@@ -181,7 +181,7 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, epsilon: float = 3
             vectors.append(r.vector)
         held = {dim: (np.array(ids, np.int64), np.array(v, np.float64)) for dim, (ids, v) in by.items()}
         run = _searcher(held, {d: c for d, c in centroids.items() if d in held}, k, epsilon, seed)
-        found = index.mapInArrow(run, "query_id long, vec_id long, score double")
+        found = mapped(index, run, "query_id long, vec_id long, score double")
         out = found if out is None else out.unionByName(found)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = out.dropDuplicates(["query_id", "vec_id", "score"]).withColumn("rank", F.row_number().over(order))

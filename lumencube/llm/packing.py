@@ -19,14 +19,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import shared_dir, slices, text_bytes, written
+from .common import mapped, shared_dir, slices, text_bytes, written
 from .tokens import default_vocabulary, encoder
 
 LIMIT = 2048
 
 
 def encoded_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = 0, vocabulary: str | None = None) -> DataFrame:
-    """(doc_id, piece, start, length, ids): the token ids of each piece as little-endian uint32 bytes.
+    """(doc_id, piece, start, length, ids, chunk, nth): the token ids of each piece as little-endian uint32 bytes;
+    ``chunk`` is the task that made the row, ``nth`` counts from 0 within its chunk and length.
 
     A document is its text's ids and ``end_id``; null and empty texts are ``end_id`` alone. Only
     documents over ``limit`` are cut; all their pieces but the first have ``limit`` ids.
@@ -34,9 +35,11 @@ def encoded_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = encoder(path)
+        from pyspark import TaskContext
+
+        own, chunk, seen = encoder(path), TaskContext.get().partitionId(), {}
         for batch in slices(batches, 2 << 20):
-            doc, piece, start, length, data = [], [], [], [], []
+            doc, piece, start, length, data, nth = [], [], [], [], [], []
             texts = [t.decode() if t else "" for t in text_bytes(batch.column(1))]
             for key, ids in zip(batch.column(0).to_pylist(), own.batch(texts), strict=True):
                 ids = np.append(ids, np.uint32(end_id)).astype("<u4")
@@ -48,10 +51,14 @@ def encoded_pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                     start.append(s)
                     length.append(e - s)
                     data.append(ids[s:e].tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(data, pa.binary())], names=["doc_id", "piece", "start", "length", "ids"])
+                    nth.append(seen.get(e - s, 0))
+                    seen[e - s] = nth[-1] + 1
+            columns = [pa.array(doc, pa.int64()), pa.array(piece, pa.int32()), pa.array(start, pa.int64()), pa.array(length, pa.int64()), pa.array(data, pa.binary())]
+            columns += [pa.array(np.full(len(doc), chunk, np.int32)), pa.array(nth, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "piece", "start", "length", "ids", "chunk", "nth"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, piece int, start long, length long, ids binary")
+    return mapped(source, run, "doc_id long, piece int, start long, length long, ids binary, chunk int, nth long")
 
 
 def plan(histogram: dict[int, int], limit: int = LIMIT) -> list[tuple[int, int, int, int, int]]:
@@ -103,7 +110,7 @@ def plan(histogram: dict[int, int], limit: int = LIMIT) -> list[tuple[int, int,
 
 
 def with_ranks(pieces: DataFrame) -> DataFrame:
-    """Add ``rank``: from 0 within each length, in any order. ``pieces`` must be a written table with a ``chunk`` column."""
+    """Add ``rank``: from 0 within each length, in any order. ``pieces`` must be a written table with ``chunk`` and ``nth``."""
     counts = pieces.groupBy("chunk", "length").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("length").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     base = counts.select("chunk", "length", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
@@ -120,7 +127,7 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit:
     """
     home = shared_dir(docs.sparkSession)
     raw = encoded_pieces(docs, id_col, text_col, limit, end_id, vocabulary)
-    pieces = written(_numbered(raw.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"))), f"{home}/pieces")
+    pieces = written(raw.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32"), "chunk", "nth"), f"{home}/pieces")
     histogram = {r.length: r.n for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}  # at most ``limit`` rows
     slots = docs.sparkSession.createDataFrame(plan(histogram, limit), "length long, rank_from long, rank_to long, first_sequence long, offset long")
     ranked = with_ranks(pieces)
@@ -128,27 +135,6 @@ def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit:
     return placed.select("doc_id", "piece", "start", ranked.length, "ids_crc32", (F.col("first_sequence") + F.col("rank") - F.col("rank_from")).alias("sequence_id"), "offset")
 
 
-def _numbered(pieces: DataFrame) -> DataFrame:
-    """Add ``chunk`` (the task that made the row) and ``nth`` (from 0 within its chunk and length)."""
-    names = pieces.columns
-    length_at = names.index("length")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        from pyspark import TaskContext
-
-        seen: dict[int, int] = {}
-        chunk = TaskContext.get().partitionId()
-        for batch in batches:
-            nth = []
-            for length in batch.column(length_at).to_pylist():
-                nth.append(seen.get(length, 0))
-                seen[length] = nth[-1] + 1
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.full(batch.num_rows, chunk, np.int32)), pa.array(nth, pa.int64())], names=[*names, "chunk", "nth"])
-
-    kinds = ", ".join(f"`{n}` {t}" for n, t in pieces.dtypes)
-    return pieces.mapInArrow(run, f"{kinds}, chunk int, nth long")
-
-
 def sequences(docs: DataFrame, placed: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = LIMIT, end_id: int = 0, vocabulary: str | None = None) -> DataFrame:
     """The packed sequences themselves: (sequence_id, ids array<int>, doc_ids), for ids that are unique and not null."""
     raw = encoded_pieces(docs, id_col, text_col, limit, end_id, vocabulary).select("doc_id", "piece", "ids")
@@ -161,4 +147,4 @@ def sequences(docs: DataFrame, placed: DataFrame, id_col: str = "doc_id", text_c
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.list_(pa.int32())), batch.column(2)], names=["sequence_id", "ids", "doc_ids"])
 
     grouped = both.groupBy("sequence_id").agg(F.sort_array(F.collect_list(F.struct("offset", "doc_id", "ids"))).alias("parts"))  # at most ``limit`` ids
-    return grouped.select("sequence_id", "parts", F.col("parts.doc_id").alias("doc_ids")).mapInArrow(run, "sequence_id long, ids array<int>, doc_ids array<long>")
+    return mapped(grouped.select("sequence_id", "parts", F.col("parts.doc_id").alias("doc_ids")), run, "sequence_id long, ids array<int>, doc_ids array<long>")

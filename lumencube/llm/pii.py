@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, text_bytes
+from .common import mapped, slices, text_bytes
 from .spans import code_points
 
 BASE = ("email", "ip", "card", "phone")
@@ -135,7 +135,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows, kinds)], names=["doc_id", "spans"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, spans array<struct<kind:string,start:long,end:long,text:string>>")
+    return mapped(source, run, "doc_id long, spans array<struct<kind:string,start:long,end:long,text:string>>")
 
 
 def digest(found: DataFrame, kinds: tuple[str, ...] = BASE) -> DataFrame:

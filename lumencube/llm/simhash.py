@@ -21,7 +21,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import shared_dir, slices, text_bytes, written
+from .common import mapped, shared_dir, slices, text_bytes, written
 from .components import connected_components
 
 BITS = 64
@@ -72,7 +72,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return source.mapInArrow(run, "doc_id long, fp long")
+    return mapped(source, run, "doc_id long, fp long")
 
 
 def covering_masks(radius: int, free: list[int] | None = None) -> list[int]:
@@ -182,7 +182,7 @@ def links(fps: DataFrame, radius: int = 4, bucket_rows: int = 512) -> DataFrame:
         keyed = rows.select(F.explode(spread).alias("x"), "fp").select("x.path", "x.key", "fp")
         keyed = keyed.repartition("path", "key").sortWithinPartitions("path", "key", "fp")
         most = bucket_rows if level == 0 else 1 << 30
-        got = written(keyed.mapInArrow(_linker(radius, most), "kind int, path int, a long, b long"), f"{home}/links{level}")
+        got = written(mapped(keyed, _linker(radius, most), "kind int, path int, a long, b long"), f"{home}/links{level}")
         found.append(got.where("kind = 0").select("a", "b"))
         if level:
             break

@@ -9,7 +9,7 @@ from itertools import chain
 
 import numpy as np
 
-MEMO_WORDS = 600_000
+MEMO_WORDS = 300_000
 PIECE = 1 << 20
 
 # The byte-level pre-tokenizer's pattern over the code points that _PLAIN admits.
