@@ -2,26 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
-def _written(data: DataFrame, home: str, name: str) -> DataFrame:
-    data.write.mode("overwrite").parquet(f"{home}/{name}")
-    return data.sparkSession.read.schema(data.schema).parquet(f"{home}/{name}")
-
-
-def _home(data: DataFrame) -> str:
-    conf = data.sparkSession.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir")
-    if not base:
-        if not conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="lumencube-")
-    return f"{base.rstrip('/')}/closure-{uuid.uuid4().hex}"
+from ..scratch import shared_dir, written
 
 
 def transitive_closure(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 100) -> DataFrame:
@@ -31,22 +15,22 @@ def transitive_closure(edges: DataFrame, a: str = "a", b: str = "b", max_rounds:
     with the logarithm of the longest path. Each round's table is written, which keeps plans short
     and survives lost executors.
     """
-    home = _home(edges)
+    home = shared_dir(edges.sparkSession, "closure")
     new = edges.select(F.col(a).alias("a"), F.col(b).alias("b")).na.drop().distinct()
-    new = known = _written(new, home, "0")
+    new = known = written(new, f"{home}/0")
     for k in range(1, max_rounds + 1):
         left = new.select("a", F.col("b").alias("m")).join(known.select(F.col("a").alias("m"), "b"), "m").select("a", "b")
         right = known.select("a", F.col("b").alias("m")).join(new.select(F.col("a").alias("m"), "b"), "m").select("a", "b")
-        new = _written(left.unionByName(right).distinct().join(known, ["a", "b"], "left_anti"), home, f"new{k}")
+        new = written(left.unionByName(right).distinct().join(known, ["a", "b"], "left_anti"), f"{home}/new{k}")
         if new.isEmpty():
             return known
-        known = _written(known.unionByName(new), home, str(k))
+        known = written(known.unionByName(new), f"{home}/{k}")
     raise RuntimeError("the closure did not end")
 
 
 def reachable(edges: DataFrame, starts: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 1000) -> DataFrame:
     """(start, node): what each value of ``starts`` (column start) reaches by one edge or more; only the frontier is joined."""
-    home = _home(edges)
+    home = shared_dir(edges.sparkSession, "closure")
     links = edges.select(F.col(a).alias("__a"), F.col(b).alias("__b")).na.drop().distinct()
     front = starts.select("start").na.drop().distinct().withColumn("node", F.col("start"))
     seen = None
@@ -54,8 +38,8 @@ def reachable(edges: DataFrame, starts: DataFrame, a: str = "a", b: str = "b", m
         step = front.join(links, front.node == links["__a"]).select("start", F.col("__b").alias("node")).distinct()
         if seen is not None:
             step = step.join(seen, ["start", "node"], "left_anti")
-        front = _written(step, home, f"front{k}")
+        front = written(step, f"{home}/front{k}")
         if front.isEmpty():
             return seen if seen is not None else front
-        seen = front if seen is None else _written(seen.unionByName(front), home, f"seen{k}")
+        seen = front if seen is None else written(seen.unionByName(front), f"{home}/seen{k}")
     raise RuntimeError("the closure did not end")
