@@ -1,9 +1,7 @@
-"""Shared plumbing of the training-data operators: scratch tables and Arrow text access."""
+"""Shared plumbing of the training-data operators: tables, scratch and Arrow text access."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,34 +9,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from ..scratch import shared_dir, written
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Scratch folder that the driver and every executor see.
-
-    The cluster names it in ``spark.checkpoint.dir``. Only a local master without that setting
-    gets a temporary folder of its own; elsewhere a missing setting is an error.
-    """
-    conf = spark.sparkContext.getConf()
-    base = conf.get("spark.checkpoint.dir")
-    if not base:
-        if not conf.get("spark.master", "local").startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="lumencube-")
-        spark.sparkContext._conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/lumencube-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, path: str, by: list[str] | None = None) -> DataFrame:
-    """Cut the lineage of ``df`` with a Parquet table in the shared folder; survives lost executors."""
-    writer = df.write.mode("overwrite")
-    (writer.partitionBy(*by) if by else writer).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def text_bytes(column: pa.Array) -> Iterator[bytes | None]:
     """UTF-8 of each text of an Arrow string column, None for nulls, without decoding."""
     if isinstance(column, pa.ChunkedArray):
@@ -78,3 +55,6 @@ def mapped(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     df.sparkSession.conf.set(key, str(BATCH_BYTES))
     return df.mapInArrow(run, schema)
+
+
+__all__ = ["mapped", "shared_dir", "slices", "table", "text_bytes", "written"]

@@ -1,10 +1,9 @@
 """Line dedup over levelled sorted runs of line hashes; DataFrame functions only.
 
-A run is a Parquet table of (h1, h2, docs, last): the 128-bit hash of a line key, in how many
-documents of its batches the key is, and the largest id among them; it is range-partitioned and
-sorted by hash. Every batch of documents becomes a run of level 0: its hashes are merged with the
-runs by anti and semi joins, which tell the keys seen for the first time (``fresh``) from known
-ones. When a level has ``fanout`` runs, they are compacted into one run of the next level, so a
+A run is a Parquet table of (h1, h2, docs, last, fresh): the 128-bit hash of a line key, in how many
+documents of its batches the key is, the largest id among them, and whether no earlier run has the
+key; each of its parts is sorted by hash. Every batch of documents becomes a run of level 0: its hashes are
+merge-anti-joined with the runs, which tells fresh keys from known ones. When a level has ``fanout`` runs, they are compacted into one run of the next level, so a
 hash lies in at most fanout - 1 runs a level and levels grow with the logarithm of the batches.
 
 A document's rows all fall into one batch, so counts of batches add up.
@@ -73,20 +72,22 @@ class LineRuns:
             out = out.unionByName(run)
         return out
 
-    def add(self, batch: DataFrame, flag_fresh: bool = False) -> DataFrame:
-        """Merge a batch; returns its run, with ``fresh`` for keys that no earlier run has if ``flag_fresh``."""
+    def add(self, batch: DataFrame) -> DataFrame:
+        """Merge-anti-join a batch with the runs and add its own run, which is returned.
+
+        ``fresh`` marks the keys that no earlier run has; exactly one run holds each key as fresh, so the
+        join's other side has every key once. Known keys add to the counts.
+        """
         run = batch.dropDuplicates(["h1", "h2", "doc"]).groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("docs"), F.max("doc").alias("last"))
+        known = self.rows()
+        if known is None:
+            run = run.withColumn("fresh", F.lit(True))
+        else:
+            seen = known.where("fresh").select("h1", "h2", F.lit(True).alias("__known"))
+            run = run.join(seen.hint("merge"), ["h1", "h2"], "left").select("h1", "h2", "docs", "last", F.col("__known").isNull().alias("fresh"))
         run = self._store(run)
-        result = run
-        if flag_fresh:
-            known = self.rows()
-            fresh = run if known is None else run.join(known, ["h1", "h2"], "left_anti")
-            result = fresh.withColumn("fresh", F.lit(True))
-            if known is not None:
-                result = result.unionByName(run.join(known, ["h1", "h2"], "left_semi").withColumn("fresh", F.lit(False)))
-            result = written(result, f"{self.home}/fresh{self.made}")
         self._push(run, 0)
-        return result
+        return run
 
     def _push(self, run: DataFrame, level: int) -> None:
         while len(self.levels) <= level:
@@ -100,12 +101,12 @@ class LineRuns:
             self._push(self._store(_summed(merged)), level + 1)
 
     def counts(self) -> DataFrame:
-        """(h1, h2, docs, last) over all batches."""
+        """(h1, h2, docs, last, fresh) over all batches."""
         return _summed(self.rows())
 
 
 def _summed(rows: DataFrame) -> DataFrame:
-    return rows.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"))
+    return rows.groupBy("h1", "h2").agg(F.sum("docs").alias("docs"), F.max("last").alias("last"), F.bool_or("fresh").alias("fresh"))
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_chars: int = 40, min_docs: int = 5, batches: int = 4, fanout: int = 3) -> DataFrame:

@@ -50,7 +50,7 @@ def test_runs_tell_fresh_lines_and_compact(spark):
     seen, totals = set(), {}
     for k in range(5):
         batch = [(10 * k + d, h, h) for d in range(4) for h in range(k, k + 3 + d)]
-        got = {r.h1: r.fresh for r in runs.add(spark.createDataFrame(batch, "doc long, h1 long, h2 long"), flag_fresh=True).collect()}
+        got = {r.h1: r.fresh for r in runs.add(spark.createDataFrame(batch, "doc long, h1 long, h2 long")).collect()}
         assert got == {h: h not in seen for _, h, _ in batch}
         seen |= set(got)
         for doc, h, _ in batch:
