@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -42,3 +42,22 @@ def may_reach(a: Column, b: Column, least: float) -> Column:
     """False only where ``ratio`` is surely under ``least``: the edit distance is at most the insertions and deletions."""
     both = F.char_length(a) + F.char_length(b)
     return F.levenshtein(a, b) <= F.floor(F.lit(1 - least / 100) * both + 1e-9)
+
+
+def best_matches(keys: DataFrame, names: DataFrame, least: float, tie: str) -> DataFrame:
+    """(key, the columns of ``names``, score): for each distinct ``key`` the ``name`` with the best ratio of ``least`` or more.
+
+    Ties go to the lowest ``tie``. A ratio of ``least`` bounds the lengths on both sides, so the keys meet
+    the names by an equi-join on length; the edit distance then leaves few pairs to Python.
+    """
+    left = keys.select("key").where(F.col("key").isNotNull()).distinct()
+    if least > 0:
+        n = F.char_length("key")
+        low, high = F.ceil(n * (least / (200 - least)) - 1e-9), F.floor(n * ((200 - least) / least) + 1e-9)
+        sized = left.select("key", F.explode(F.sequence(low.cast("int"), F.greatest(low, high).cast("int"))).alias("__n"))
+        pairs = sized.join(names, sized["__n"] == F.char_length("name")).drop("__n")
+    else:
+        pairs = left.crossJoin(names)  # everything matches: what was asked for
+    scored = pairs.where(may_reach(F.col("key"), F.col("name"), least)).withColumn("score", ratio_column(F.col("key"), F.col("name"))).where(F.col("score") >= least)
+    best = scored.groupBy("key").agg(F.min(F.struct((-F.col("score")).alias("__score"), F.col(tie).alias("__tie"), *[F.col(c).alias(f"__c{k}") for k, c in enumerate(names.columns)])).alias("b"))
+    return best.select("key", *[F.col(f"b.__c{k}").alias(c) for k, c in enumerate(names.columns)], (-F.col("b.__score")).alias("score"))

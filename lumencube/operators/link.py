@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..core import Dataset, PipelineStep, need
-from ..functions.fuzzy import may_reach, ratio_column
+from ..functions.fuzzy import best_matches
 from ..functions.text import last_segment, province_key, slugify
 from .closure import transitive_closure
 
@@ -133,8 +133,7 @@ def cascade(keys: DataFrame, dimension: DataFrame, aliases: Mapping[str, str], m
     """(key, uri, how) for distinct normalized keys: direct, then alias, then fuzzy.
 
     An alias whose code the dimension lacks goes on to fuzzy. Only the keys left over are compared
-    with the names, in blocks by a filter that needs no Python; the best score wins, then the lowest
-    istat code.
+    with the names, in blocks by length; the best score wins, then the lowest istat code.
     """
     names = dimension.select(province_key(F.col("label")).alias("name"), "istat", "uri")
     one = Window.partitionBy("name").orderBy("istat")
@@ -144,8 +143,7 @@ def cascade(keys: DataFrame, dimension: DataFrame, aliases: Mapping[str, str], m
     found = keys.join(direct, "key", "left").join(alias, "key", "left")
     found = found.select("key", F.coalesce("d_uri", "a_uri").alias("uri"), F.when(F.col("d_uri").isNotNull(), "direct").when(F.col("a_uri").isNotNull(), "alias").alias("how"))
     left = found.where(F.col("uri").isNull()).select("key")
-    near = left.join(names, may_reach(left.key, names.name, min_score)).withColumn("score", ratio_column(F.col("key"), F.col("name"))).where(F.col("score") >= min_score)
-    best = near.groupBy("key").agg(F.min(F.struct(-F.col("score"), "istat", "uri")).alias("b")).select("key", F.col("b.uri").alias("f_uri"))
+    best = best_matches(left, names, min_score, "istat").select("key", F.col("uri").alias("f_uri"))
     return found.join(best, "key", "left").select("key", F.coalesce("uri", "f_uri").alias("uri"), F.coalesce("how", F.when(F.col("f_uri").isNotNull(), "fuzzy")).alias("how"))
 
 

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..core import Dataset, Pipeline, PipelineStep
-from ..functions.fuzzy import may_reach, ratio_column
+from ..functions.fuzzy import best_matches
 from ..functions.numbers import start_year
 from ..functions.text import province_key, slugify, snake_case_column, strip_accents, title_case
 from ..operators import columns as C
@@ -455,13 +455,9 @@ def cascade_match(spark, d):
 
 @query()
 def fuzzy_match(spark, d):
-    p = t(spark, d, "part").select(F.col("p_partkey").alias("key"), F.lower("p_name").alias("name"))
-    names = p.select("name").distinct()
-    said = names.select(F.concat(F.substr("name", F.lit(1), F.lit(3)), F.substr("name", F.lit(5))).alias("said"), F.substr("name", F.lit(1), F.lit(2)).alias("block")).distinct()
-    known = names.select("name", F.substr("name", F.lit(1), F.lit(2)).alias("block"))
-    near = said.join(known, "block").where(may_reach(F.col("said"), F.col("name"), 90)).withColumn("score", F.round(ratio_column(F.col("said"), F.col("name")), 6)).where("score >= 90")
-    best = near.groupBy("said").agg(F.min(F.struct(-F.col("score"), "name")).alias("b"))
-    return best.select("said", F.col("b.name").alias("name"), (-F.col("b.col1")).alias("score"))
+    names = t(spark, d, "part").select(F.lower("p_name").alias("name")).distinct()
+    said = names.select(F.concat(F.substr("name", F.lit(1), F.lit(3)), F.substr("name", F.lit(5))).alias("key"))
+    return best_matches(said, names, 90, "name").withColumn("score", F.round("score", 6))
 
 
 @query("SELECT n_nationkey, unnest(string_split(CASE WHEN n_nationkey % 5 = 0 THEN CAST(n_nationkey AS VARCHAR) || ',' || CAST(n_regionkey AS VARCHAR) ELSE CAST(n_nationkey AS VARCHAR) END, ',')) AS code FROM nation")

@@ -157,3 +157,20 @@ def test_fuzzy_ratio(spark):
     rows = spark.createDataFrame([("torin", "torino"), ("abc", "xyz"), (None, "x")], "a string, b string")
     got = rows.select(fuzzy.ratio_column(F.col("a"), F.col("b")).alias("s"), fuzzy.may_reach(F.col("a"), F.col("b"), 90).alias("m")).collect()
     assert got[0].s > 90 and got[0].m and got[1].s == 0 and not got[1].m and got[2].s is None
+
+
+def test_best_matches(spark):
+    import random
+
+    rng = random.Random(3)
+    words = sorted({"".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(60)})
+    keys = sorted({"".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(40)} | {""})
+    names = spark.createDataFrame([(w, k) for k, w in enumerate(words)], "name string, i int")
+    for least in (0, 70, 90, 100):
+        got = {r.key: (r.name, r.i) for r in fuzzy.best_matches(spark.createDataFrame([(k,) for k in keys], "key string"), names, least, "i").collect()}
+        want = {}
+        for key in keys:
+            score, i = min((-fuzzy.ratio(key, w), i) for i, w in enumerate(words))
+            if -score >= least:
+                want[key] = (words[i], i)
+        assert got == want
