@@ -82,3 +82,13 @@ def macro_area(nuts: DataFrame, areas: dict[str, str], by_office: dict[str, str]
     for k, a in by_office.items():
         named = F.when(F.col("office") == k, a).otherwise(named)
     return nuts.select("office", F.coalesce(named, ladder, F.lit("Altro")).alias("macro"))
+
+
+def identity_card(istat: str, index: DataFrame, pensions: DataFrame, employed: DataFrame, incomes: DataFrame) -> DataFrame:
+    """(kind, value): the index and its raw components, pensions, employed persons and income of one province."""
+    here = lambda d: d.where(F.col("istat") == istat)
+    own = here(index).select(F.when(F.col("component") == "aggregate", "index").otherwise(F.col("component")).alias("kind"), F.when(F.col("component") == "aggregate", F.col("value")).otherwise(F.col("raw")).alias("value"))
+    total = here(pensions).where(F.col("management") == "TOT").select(F.lit("pensions").alias("kind"), F.col("count").cast("double").alias("value"))
+    work = here(employed).select(F.lit("employed").alias("kind"), F.col("thousands").alias("value"))
+    income = here(incomes).agg(F.sum("amount").cast("double").alias("value")).select(F.lit("income").alias("kind"), "value")
+    return own.unionByName(total).unionByName(work).unionByName(income)

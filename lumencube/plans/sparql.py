@@ -19,6 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.closure import transitive_closure
+from ..scratch import shared_dir, written
 from ..sources.turtle import RDF, XSD
 
 _LEXER = re.compile(
@@ -734,7 +735,14 @@ FUNCTIONS = {
 
 
 class Engine:
-    """Queries over one table of triples; ``graph`` picks a named graph where the table has that column."""
+    """Queries over one table of triples; ``graph`` picks a named graph where the table has that column.
+
+    Each pattern of a query reads the table, so give a stored one; ``Engine.stored`` writes what is still a plan.
+    """
+
+    @classmethod
+    def stored(cls, data: DataFrame) -> Engine:
+        return cls(written(data, f"{shared_dir(data.sparkSession, 'triples')}/triples"))
 
     def __init__(self, data: DataFrame):
         self.data, self.spark = data, data.sparkSession
@@ -783,3 +791,10 @@ class Engine:
         sets = t.where(F.col("p").endswith("#dataSet")).groupBy(F.col("o").alias("name")).agg(F.count_distinct("s").alias("n")).select(F.lit("dataset").alias("kind"), "name", "n")
         whole = t.agg(F.count(F.lit(1)).alias("n")).select(F.lit("triples").alias("kind"), F.lit("all").alias("name"), "n")
         return whole.unionByName(sets).unionByName(typed)
+
+    def schema_description(self) -> str:
+        """The classes, and the predicates with how often they come, as text."""
+        t = self.triples()
+        classes = t.where(F.col("p") == RDF + "type").groupBy("o").agg(F.count_distinct("s").alias("n")).orderBy("o").collect()
+        predicates = t.groupBy("p").agg(F.count(F.lit(1)).alias("n")).orderBy("p").collect()
+        return "\n".join(["classes:", *(f"  {r.o} ({r.n})" for r in classes), "predicates:", *(f"  {r.p} ({r.n})" for r in predicates)])
