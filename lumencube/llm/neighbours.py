@@ -12,11 +12,12 @@ those are the answer.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .common import mapped, shared_dir, slices, written
@@ -57,8 +58,23 @@ def _usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
     return vectors.where(F.col(id_col).isNotNull() & F.col(vector_col).isNotNull() & good).select(F.col(id_col).cast("long").alias("vec_id"), v.alias("vector"))
 
 
-def build(vectors: DataFrame, path: str, id_col: str = "vec_id", vector_col: str = "embedding", sample_rows: int = 4096, seed: int = SEED) -> DataFrame:
-    """Write the index of every usable vector: vec_id, vector, dim, code, length, own, base.
+@dataclass(frozen=True)
+class Index:
+    """The rows (vec_id, vector, dim, code, length, own) and what their codes were made with."""
+
+    rows: DataFrame
+    centroids: dict[int, np.ndarray]
+    seed: int
+
+    @classmethod
+    def load(cls, spark: SparkSession, path: str) -> Index:
+        made = spark.read.parquet(f"{path}/centroids").collect()  # a row for each dimension
+        seed = next((r.seed for r in made), SEED)
+        return cls(spark.read.parquet(f"{path}/rows"), {r.dim: np.array(r.centroid) for r in made}, seed)
+
+
+def build(vectors: DataFrame, path: str, id_col: str = "vec_id", vector_col: str = "embedding", sample_rows: int = 4096, seed: int = SEED) -> Index:
+    """Write the index of every usable vector to ``path`` and return it.
 
     Vectors that are null or zero, or hold null or non-finite components, and rows with a null id take
     no part. The centroid of each dimension is the mean of at most ``sample_rows`` vectors in order of
@@ -88,9 +104,10 @@ def build(vectors: DataFrame, path: str, id_col: str = "vec_id", vector_col: str
                     code[i] = p.tobytes()
             yield pa.RecordBatch.from_arrays([batch.column(0), lists, pa.array(sizes.astype(np.int32)), pa.array(code, pa.binary()), pa.array(length), pa.array(own)], names=["vec_id", "vector", "dim", "code", "length", "own"])
 
-    index = written(mapped(rows, run, "vec_id long, vector array<double>, dim int, code binary, length double, own double"), path)
-    index.centroids = centroids
-    return index
+    made = written(mapped(rows, run, "vec_id long, vector array<double>, dim int, code binary, length double, own double"), f"{path}/rows")
+    table = [(dim, [float(x) for x in c], seed) for dim, c in centroids.items()]
+    written(vectors.sparkSession.createDataFrame(table, "dim int, centroid array<double>, seed long"), f"{path}/centroids")
+    return Index(made, centroids, seed)
 
 
 def _best(query: np.ndarray, vec: np.ndarray, score: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -157,16 +174,15 @@ def _searcher(queries: dict[int, tuple[np.ndarray, np.ndarray]], centroids: dict
     return run
 
 
-def search(index: DataFrame, queries: DataFrame, k: int = 20, epsilon: float = 3.0, block_bytes: int = 4 << 20, block_rows: int = 4096, seed: int = SEED) -> DataFrame:
+def search(index: Index, queries: DataFrame, k: int = 20, epsilon: float = 3.0, block_bytes: int = 4 << 20, block_rows: int = 4096) -> DataFrame:
     """The ``k`` vectors of ``index`` with the largest inner product with each query, other than the query's own id.
 
-    ``queries`` has the columns vec_id and vector of the index. Blocks of queries are broadcast one by
+    ``queries`` has the columns vec_id and vector of the index's rows. Blocks of queries are broadcast one by
     one: a block has at most about ``block_rows`` queries and ``block_bytes`` bytes, however many there are. Vectors of
     another dimension than the query's are no candidates; repeated rows of one id and vector are one.
     Returns query_id, rank (from 1; ties to the smaller id), vec_id, score (double precision, on the
     original vectors). Queries without candidates have no rows.
     """
-    centroids = getattr(index, "centroids", {})
     queries = queries.dropDuplicates(["vec_id"])
     shape = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vector")).alias("dim")).first()
     rows = max(1, min(block_rows, block_bytes // (8 * max(shape.dim or 1, 1))))
@@ -180,8 +196,8 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, epsilon: float = 3
             ids.append(r.vec_id)
             vectors.append(r.vector)
         held = {dim: (np.array(ids, np.int64), np.array(v, np.float64)) for dim, (ids, v) in by.items()}
-        run = _searcher(held, {d: c for d, c in centroids.items() if d in held}, k, epsilon, seed)
-        found = mapped(index, run, "query_id long, vec_id long, score double")
+        run = _searcher(held, {d: c for d, c in index.centroids.items() if d in held}, k, epsilon, index.seed)
+        found = mapped(index.rows, run, "query_id long, vec_id long, score double")
         out = found if out is None else out.unionByName(found)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     best = out.dropDuplicates(["query_id", "vec_id", "score"]).withColumn("rank", F.row_number().over(order))
@@ -191,4 +207,4 @@ def search(index: DataFrame, queries: DataFrame, k: int = 20, epsilon: float = 3
 def nearest(vectors: DataFrame, every: int = 20, k: int = 20, id_col: str = "vec_id", vector_col: str = "embedding", epsilon: float = 3.0) -> DataFrame:
     """Index ``vectors`` and search it with every row whose id is divisible by ``every``."""
     index = build(vectors, f"{shared_dir(vectors.sparkSession)}/index", id_col, vector_col)
-    return search(index, index.where(F.col("vec_id") % every == 0).select("vec_id", "vector"), k, epsilon)
+    return search(index, index.rows.where(F.col("vec_id") % every == 0).select("vec_id", "vector"), k, epsilon)

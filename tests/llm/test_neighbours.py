@@ -67,5 +67,7 @@ def test_edge_cases(spark):
 def test_blocks_of_queries_agree(spark, tmp_path):
     rows = spark.read.parquet(f"{DATA}/embeddings.parquet")
     index = neighbours.build(rows, str(tmp_path / "index"))
-    queries = index.where("vec_id % 50 = 0").select("vec_id", "vector")
+    queries = index.rows.where("vec_id % 50 = 0").select("vec_id", "vector")
     assert found(neighbours.search(index, queries, block_rows=3)) == found(neighbours.search(index, queries))
+    loaded = neighbours.Index.load(spark, str(tmp_path / "index"))
+    assert found(neighbours.search(loaded, queries)) == found(neighbours.search(index, queries))
