@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import shared_dir, written
 from .reshape import unpivot
 
 
@@ -60,9 +61,12 @@ def index_components(pensions: DataFrame, employed: DataFrame, incomes: DataFram
 
 
 def ranked(data: DataFrame, value: str, tie: str) -> DataFrame:
-    """``rank`` 1..n by falling value, ties by ``tie``, without a one-task sort: range partitions, their sizes, positions."""
+    """``rank`` 1..n by falling value, ties by ``tie``, without a one-task sort: range partitions, their sizes, positions.
+
+    The partitioned rows are written first: another run of the plan may draw other bounds.
+    """
     order = data.repartitionByRange(F.desc(value), F.col(tie)).sortWithinPartitions(F.desc(value), tie)
-    placed = order.withColumn("__at", F.monotonically_increasing_id())
+    placed = written(order.withColumn("__at", F.monotonically_increasing_id()), f"{shared_dir(data.sparkSession, 'ranks')}/rows")
     part, nth = F.shiftright("__at", 33), F.col("__at").bitwiseAND((1 << 33) - 1)
     sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n")).collect()  # a row for each partition
     before, at = {}, 0

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -225,13 +226,12 @@ class ProjectRegimes(ProjectShares):
     """The shares come from a file of counts by start year; FileNotFoundError if it is absent."""
 
     def __init__(self, count_column: str, spark, path: str, shape: str = "long", ranges: Mapping[str, tuple[int, int]] | None = None, keep_extra_columns: bool = True, key_columns: Sequence[str] = ()):
-        from pyarrow import fs
-
         from ..sources.olap import read_start_years
 
-        store, place = fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-        if store.get_file_info(place).type == fs.FileType.NotFound:
-            raise FileNotFoundError(path)
+        try:
+            spark.read.text(path)
+        except AnalysisException as error:
+            raise FileNotFoundError(path) from error
         composition = bucket_share(read_start_years(spark, path), "anno_decorrenza", "numero_pensioni", ranges)
         super().__init__(count_column, composition, shape, keep_extra_columns, key_columns)
 

@@ -7,6 +7,7 @@ import os
 import shutil
 from datetime import UTC, datetime
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,7 +39,8 @@ def save_dataset(dataset: Dataset, path: str, *, format: str | None = None, save
     JSON is then an array of records with indent 2. ``save_history`` adds ``<stem>.history.json``.
     """
     kind = _format(path, format)
-    os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
+    if "://" not in path:
+        os.makedirs(os.path.dirname(os.path.abspath(path)), exist_ok=True)
     if single_file:
         _single(dataset.data, path, kind, options)
     elif kind == "csv":
@@ -103,10 +105,19 @@ class GraphStore:
     def post(self, graph: str, triples: DataFrame) -> None:
         """Add to a graph what it doesn't have yet."""
         new = triples.select(*COLUMNS).dropDuplicates()
-        if os.path.exists(self.path):
+        if self._exists():
             new = _minus(new, self.read(graph))
         new.withColumn("graph", F.lit(graph)).write.mode("append").partitionBy("graph").parquet(self.path)
 
+    def _exists(self) -> bool:
+        try:
+            self.spark.read.parquet(self.path)
+        except AnalysisException as error:
+            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                return False
+            raise
+        return True
+
     def read(self, graph: str | None = None) -> DataFrame:
         rows = self.spark.read.parquet(self.path)
         if graph is None:

@@ -7,7 +7,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import islice
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
@@ -214,9 +216,21 @@ class TurtleSource(DataSource):
 
 
 def read_turtle(spark: SparkSession, *paths: str) -> DataFrame:
-    """The union of the files' triples, as a set."""
-    spark.dataSource.register(TurtleSource)
-    return spark.read.format("turtle").load(",".join(paths)).dropDuplicates(COLUMNS)
+    """The union of the files' triples, as a set: files, or folders of ``.ttl`` files.
+
+    Spark reads the files, so any store it reaches will do; each file is parsed in one task.
+    """
+    files = spark.read.text(list(paths), wholetext=True, recursiveFileLookup=True).select("value", F.input_file_name().alias("place"))
+    files = files.where(F.lower("place").endswith(".ttl"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for text, place in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                triples = parse(text.removeprefix("\ufeff"), re.sub(r"\W+", "-", place.rsplit("/", 1)[-1]))
+                while rows := list(islice(triples, 10_000)):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names=COLUMNS)
+
+    return files.mapInArrow(run, SCHEMA).dropDuplicates(COLUMNS)
 
 
 def n_triples(triples: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ from lumencube.sources.olap import read_export, read_start_years
 from lumencube.sources.remote import fetch_if_absent, read_endpoint
 from lumencube.sources.sinks import GraphStore, rewrite_namespace, save_dataset, write_triples
 from lumencube.sources.tabular import read_csv, read_geojson, read_quoted_csv
-from lumencube.sources.turtle import XSD, parse, read_turtle
+from lumencube.sources.turtle import XSD, TurtleSource, parse, read_turtle
 
 
 def write(path, text, encoding="utf-8"):
@@ -74,6 +74,8 @@ def test_turtle(spark, tmp_path):
     a, b = write(tmp_path / "a.ttl", TURTLE), write(tmp_path / "b.ttl", "<http://ex/a> a <http://ex/Thing> .")
     got = read_turtle(spark, a, b)
     assert got.count() == 17 and read_turtle(spark, str(tmp_path)).count() == 17
+    spark.dataSource.register(TurtleSource)
+    assert spark.read.format("turtle").load(f"{a},{b}").distinct().count() == 17
     write_triples(got, str(tmp_path / "nt"))
     back = list(parse("\n".join(r.value for r in spark.read.text(str(tmp_path / "nt")).collect())))
     assert {(p, o, dt) for _, p, o, kind, dt, _ in back if kind == "literal"} == {(r.p, r.o, r.datatype) for r in got.where("o_kind = 'literal'").collect()}
