@@ -121,10 +121,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     home = shared_dir(spark)
     hashes = line_hashes(docs.where(F.col(id_col).isNotNull()), min_chars, id_col, text_col)
-    hashes = written(hashes.withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches)).cast("int")), f"{home}/hashes", by=["batch"])
+    hashes = hashes.withColumn("batch", F.pmod(F.xxhash64("doc"), F.lit(batches)).cast("int"))
+    hashes = written(hashes.sortWithinPartitions("batch"), f"{home}/hashes")  # a batch is a few pages of each file
     runs = LineRuns(spark, fanout, home=f"{home}/runs")
     for k in range(batches):
         runs.add(hashes.where(F.col("batch") == k).select("doc", "h1", "h2"))
+    # a table of its own: joined with an aggregation in the same stage, a hot line's rows could not be split
     common = written(runs.counts().where(F.col("docs") >= min_docs).select("h1", "h2", "last"), f"{home}/common")
     gone = hashes.join(common, ["h1", "h2"]).where(F.col("doc") != F.col("last"))
     gone = gone.groupBy("doc").agg(F.collect_set(F.struct("h1", "h2")).alias("gone"))  # at most the document's own lines
