@@ -1,7 +1,8 @@
 """Corpus pipeline: language ID, line dedup, SimHash near-dedup, benchmark decontamination, packing.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; all but the last return the columns
-of ``documents``. ``run`` writes each result as Parquet in the shared folder and gives the reread
+of ``docs``, whatever their names, and keep null ids, texts and other values as their docstrings say;
+an empty table stays empty. Only doc_id, text, lang and n_chars are read. ``run`` writes each result as Parquet in the shared folder and gives the reread
 table to the next stage.
 """
 
@@ -15,13 +16,12 @@ from lumencube.llm.common import shared_dir, table, written
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that the language models reject, those without a letter among them."""
-    model = langid.learn(docs.where(~langid.held_out()))
-    return langid.predict(docs, model, keep=docs.columns).where(~F.col("rejected")).select(*docs.columns)
+    """Drop the documents that the language models reject, those without a letter (null and empty texts) among them."""
+    return langid.without_rejected(docs, langid.learn(docs.where(~langid.held_out())))
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop repeated lines; every document stays, n_chars follows its text."""
+    """Drop repeated lines; every document stays, n_chars follows its text. Null texts become empty; rows with a null id stay as they are."""
     kept = linededup.dedup_lines(docs).select(*docs.columns)
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
@@ -35,12 +35,12 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop the documents that hold a test item of ``benchmark``."""
+    """Drop the documents that hold a test item of ``benchmark``; null and empty texts stay."""
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
 
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The pieces of all remaining documents and their places in sequences."""
+    """The pieces of all remaining documents and their places in sequences; null texts are one end id."""
     return packing.pack(docs)
 
 

@@ -383,6 +383,22 @@ def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_c
     return mapped(source, run, kinds)
 
 
+def without_rejected(docs: DataFrame, model: Model | None, text_col: str = "text") -> DataFrame:
+    """The rows and columns of ``docs`` that the model doesn't reject; see ``predict``. A filter inside each task."""
+    names, kinds = docs.columns, docs.schema
+    at = names.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by learn()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in slices(batches, 4 << 20):
+            texts = [t.decode() if t else None for t in text_bytes(batch.column(at))]
+            gone = own.decide(texts)["rejected"].tolist() if own else [not t or not any(map(str.isalpha, t)) for t in texts]
+            yield batch.filter(pa.array([not x for x in gone], pa.bool_()))
+
+    return mapped(docs, run, kinds)
+
+
 def held_out(id_col: str = "doc_id") -> Column:
     """The fold that is never learned from."""
     return F.crc32(F.coalesce(F.col(id_col).cast("string"), F.lit(""))) % 5 == 0

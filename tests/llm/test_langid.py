@@ -95,6 +95,9 @@ def test_edge_cases(spark):
     assert got[1] == got[2] == got[3] == ("und", 0.0, True)
     assert got[4][0] == "en" and got[6][0] == "en" and got[7][0] == "de"
     assert langid.predict(docs.limit(0), model).count() == 0
+    for m in (model, None):
+        kept = langid.without_rejected(docs.withColumn("rejected", F.lit(1)), m)
+        assert kept.columns[-1] == "rejected" and sorted(str(r.doc_id) for r in kept.collect()) == ["4", "6", "6", "7", "None"]
     assert langid.learn(docs.where("lang is null")) is None
     assert {r.lang_pred for r in langid.predict(docs, None).collect()} == {"und"}
 

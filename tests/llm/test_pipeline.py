@@ -13,15 +13,14 @@ from .test_simhash import plain_fingerprint, plain_groups
 from .test_tokens import check_packing
 
 DATA = "/root/testdata/sf0.01"
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def stages(spark, docs, sf_dir=DATA):
-    out = []
+    out, columns = [], docs.columns
     for k, (_, stage) in enumerate(corpus_pipeline.STAGES):
         docs = stage(spark, docs, sf_dir)
         if k < 4:
-            assert docs.columns == COLUMNS
+            assert docs.columns == columns
             docs = spark.createDataFrame(docs.collect(), docs.schema)
         out.append(docs.collect())
     return out
@@ -62,6 +61,8 @@ def test_nulls_repeats_and_empty_tables(spark):
     line = "the cat sat on the mat and the dog ran away over the hill"
     rows = [(1, None, "en", "a", 0), (2, "", None, None, None), (3, f"{line} one", "en", "a", 5), (3, f"{line} one", "en", "a", 5), (None, f"{line} two", "en", None, 5), (5, f"{line} three", None, "b", None)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    for name in ("rejected", "score", "component_id", "fp", "gone", "n_lines", "batch", "doc", "item_id", "rank", "length", "ids"):
+        docs = docs.withColumn(name, F.lit("clash"))
     one, _, three, _, five = stages(spark, docs)
     assert len(one) == 4 and sorted(str(r.doc_id) for r in three) == ["3", "5", "None"]
     assert len(five) == 3
