@@ -1,7 +1,7 @@
 """Licence scan: a trained paragraph classifier, DataFrame functions only on the main path.
 
-Features are the distinct word n-grams (n from 1 to 3) of a paragraph (the text between line feeds),
-hashed by XXH64; a multinomial logistic regression over the licence families and ``none`` is trained
+A paragraph is a line, and also the consecutive non-blank lines together, for statements that are
+wrapped. Features are its distinct word n-grams (n from 1 to 3), hashed by XXH64; a multinomial logistic regression over the licence families and ``none`` is trained
 on the driver from the fixed templates below and from negatives made by rule. Its weights are a small
 table (grams of the templates only, a few thousand rows), joined to the paragraphs' grams; scores,
 softmax and the comparison with templates are aggregations. A paragraph is ``unknown``, and not in
@@ -19,7 +19,7 @@ from functools import cache
 
 import numpy as np
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 # What licences of each family say, one paragraph each.
@@ -88,6 +88,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Licensed under the ISC License.",
     ),
     "Proprietary": (
+        "All rights reserved.",
         "Copyright by the author. All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced, distributed, or transmitted in any form without the prior written permission of the publisher.",
         "This software is proprietary and confidential; unauthorized copying is prohibited under the license agreement.",
@@ -235,11 +236,36 @@ def _tables(spark: SparkSession, model: Classifier) -> tuple[DataFrame, DataFram
     )
 
 
+def _paragraphs(text: Column) -> Column:
+    """Each line, and each two or more consecutive non-blank lines joined: array<struct<block, paragraph, joined, said>>.
+
+    Lines carry their numbers through the split into blocks; block and paragraph are numbers of first lines.
+    """
+    lines = F.transform(F.split(text, "\n", -1), lambda x, k: F.concat(k.cast("string"), F.lit(":"), x))
+    blocks = F.split(F.array_join(lines, "\n"), r"\n(?=[0-9]+:[ \t\r\f\x0B]*(?:\n|\z))", -1)
+
+    def number(line: Column) -> Column:
+        return F.substring_index(line, ":", 1).cast("int")
+
+    def said(line: Column) -> Column:
+        return F.regexp_replace(line, "^[0-9]+:", "")
+
+    def of(block: Column) -> Column:
+        full = F.filter(F.split(block, "\n", -1), lambda x: F.rlike(x, F.lit(r"^[0-9]+:[\s\S]*\S")))
+        first = number(F.get(full, F.lit(0)))
+        alone = F.transform(full, lambda x: F.struct(first.alias("block"), number(x).alias("paragraph"), F.lit(False).alias("joined"), said(x).alias("said")))
+        whole = F.struct(first.alias("block"), first.alias("paragraph"), F.lit(True).alias("joined"), F.array_join(F.transform(full, said), "\n").alias("said"))
+        return F.when(F.size(full) > 1, F.concat(alone, F.array(whole))).otherwise(alone)
+
+    return F.flatten(F.transform(F.filter(blocks, has_cue), of))
+
+
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_similarity: float = 0.5, model: Classifier | None = None) -> DataFrame:
     """Paragraphs that a licence family claims.
 
-    Returns doc_id, paragraph (from 0), family, probability, similarity (the share of the best
-    template's grams that the paragraph has), template_text, chars (of the paragraph). Null and empty texts have no such
+    Returns doc_id, paragraph (the number of its first line, from 0), family, probability, similarity (the share of the best
+    template's grams that the paragraph has), template_text, chars (of the paragraph). Joined lines
+    are in the result where no line of theirs alone is claimed by the family. Null and empty texts have no such
     paragraphs; a null id stays; repeated rows of one id give their paragraphs once; other columns are not read; an
     empty table gives an empty result. The three tables of the model are broadcast; their size is fixed
     by the templates.
@@ -248,9 +274,9 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_
     model = model or train()
     weights, grams, templates = _tables(spark, model)
     text = F.col(text_col).cast("string")
-    rows = docs.where(text.isNotNull() & has_cue(text)).select(F.col(id_col).cast("long").alias("doc_id"), F.posexplode(F.split(text, "\n", -1)).alias("paragraph", "said"))
-    rows = rows.where(has_cue(F.col("said"))).withColumns({"chars": F.char_length("said").cast("long"), "print": F.xxhash64("said")})
-    key = ["doc_id", "paragraph", "chars", "print"]  # never the text itself, which each gram would carry
+    rows = docs.where(text.isNotNull() & has_cue(text)).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("doc"), F.explode(_paragraphs(text)).alias("p"))
+    rows = rows.select("doc_id", "doc", "p.*").where(has_cue(F.col("said"))).withColumns({"chars": F.char_length("said").cast("long"), "print": F.xxhash64("said")})
+    key = ["doc_id", "doc", "block", "paragraph", "joined", "chars", "print"]  # never the text itself, which each gram would carry
     each = rows.select(*key, F.explode(_gram_hashes(F.col("said"))).alias("gram")).distinct()
     k = len(model.families)
     sums = [F.sum(F.col("w")[i]).alias(f"s{i}") for i in range(k)]
@@ -267,5 +293,7 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_
     close = shared.groupBy(*key, "t_family").agg(F.max(F.struct("similarity", "template_text")).alias("t"))
     same = [named[c].eqNullSafe(close[c]) for c in key]
     joined = named.join(close, [*same, named.family == close.t_family])
-    out = joined.select(*[named[c] for c in key[:2]], "family", "probability", F.col("t.similarity").alias("similarity"), F.col("t.template_text").alias("template_text"), named.chars)
-    return out.where(F.col("similarity") >= least_similarity)
+    out = joined.select(*[named[c] for c in key[:5]], "family", "probability", F.col("t.similarity").alias("similarity"), F.col("t.template_text").alias("template_text"), named.chars)
+    alone = F.min("joined").over(Window.partitionBy("doc_id", "doc", "block", "family"))
+    out = out.where(F.col("similarity") >= least_similarity).withColumn("one", ~alone).where(~(F.col("joined") & F.col("one")))
+    return out.drop("doc", "block", "joined", "one").distinct()

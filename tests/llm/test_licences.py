@@ -68,3 +68,23 @@ def test_edge_cases(spark):
     assert got[4, 1][0] == "Apache-2.0" and got[None, 0][0] == "MIT" and (5, 0) not in got
     assert licences.scan(docs).count() == len(got)
     assert licences.scan(docs.limit(0)).count() == 0
+
+
+GPL_HEADER = """# This program is free software: you can redistribute it and/or modify
+# it under the terms of the GNU General Public License as published by
+# the Free Software Foundation, either version 3 of the License, or
+# (at your option) any later version."""
+
+
+def test_short_and_wrapped_statements(spark):
+    rows = [(1, "words\n\nAll rights reserved.\n\nmore"), (2, f"first\n \n{GPL_HEADER}\n\nlast"), (None, GPL_HEADER), (3, "All rights reserved.\nSome more words follow it here."), (4, "All the rooms were reserved.\n\nShe has rights.")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {k: v[0] for k, v in found(licences.scan(docs)).items()}
+    assert got == {(1, 2): "Proprietary", (2, 2): "GPL", (None, 0): "GPL", (3, 0): "Proprietary"}
+    assert licences.scan(docs).count() == 4
+
+
+def test_short_lines_of_the_documents(spark):
+    rows = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()
+    want = {(r.doc_id, k) for r in rows for k, x in enumerate(r.text.split("\n")) if x == "All rights reserved."}
+    assert want and want <= {k for k, v in found(op2_licence_scan(spark, DATA)).items() if v[0] == "Proprietary"}
