@@ -1,6 +1,7 @@
 """Secret scan: fixed patterns, and guess-cost dynamic programming over values in credential contexts.
 
-A value is cut into words, dates, repeats, keyboard walks, sequences and brute-force characters so
+A value is cut into common words (those of WORDS, and the whole words of the tokenizer's vocabulary,
+which is roughly in order of frequency), dates, repeats, keyboard walks, sequences and brute-force characters so
 that the total log10 of guesses is least. Values that stay costly, or wherever a context names a
 credential that the fixed patterns miss, become ``guess`` spans; cheap ones (placeholders, words,
 dates) do not.
@@ -8,9 +9,11 @@ dates) do not.
 
 from __future__ import annotations
 
+import json
 import math
 import re
 from collections.abc import Iterator
+from functools import cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,6 +22,7 @@ from pyspark.sql import functions as F
 from .common import mapped, slices, text_bytes
 from .pii import digest as _digest
 from .spans import code_points
+from .tokens import default_vocabulary
 
 BASE = ("assign", "access", "hex")
 KINDS = (*BASE, "guess")
@@ -50,7 +54,21 @@ SWAPS = str.maketrans("@4831!05$7", "aabeliosst")
 
 _DATE = re.compile(r"(?:19|20)\d\d(?:([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])([-/.]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
 _RANK = {w: math.log10(k + 2) for k, w in enumerate(WORDS)}
-_LONGEST = max(map(len, WORDS))
+#: Letters of the shortest word taken from the vocabulary; shorter ones would be found in random letters.
+LEAST_WORD = 4
+
+
+@cache
+def ranks() -> tuple[dict[str, float], int]:
+    """log10 of each known word's rank, and the longest word's length; read once for each Python worker."""
+    with open(default_vocabulary(), encoding="utf-8") as f:
+        vocabulary = json.load(f)["model"]["vocab"]
+    out = dict(_RANK)
+    for token, k in sorted(vocabulary.items(), key=lambda x: x[1]):
+        word = token[1:].lower()
+        if token[0] == "Ġ" and len(word) >= LEAST_WORD and word.isascii() and word.isalpha():
+            out.setdefault(word, math.log10(k + 2))
+    return out, max(map(len, out))
 
 
 def _adjacent() -> dict[str, str]:
@@ -98,6 +116,7 @@ def guess_cost(value: str) -> float:
     down = _run_ends(low, lambda a, b: ord(a) - ord(b) == 1)
     again = {size: _same_for(low, size) for size in range(2, min(16, n // 2) + 1)}
     best = [0.0] + [math.inf] * n
+    known, longest = ranks()
 
     def reach(end: int, cost: float) -> None:
         if cost < best[end]:
@@ -107,8 +126,8 @@ def guess_cost(value: str) -> float:
         here = best[i]
         reach(i + 1, here + brute)
         for form, extra in ((low, 0.0), (plain, 0.5)):
-            for size in range(3, min(_LONGEST, n - i) + 1):
-                rank = _RANK.get(form[i : i + size])
+            for size in range(3, min(longest, n - i) + 1):
+                rank = known.get(form[i : i + size])
                 if rank is not None:
                     upper = 0.3 if value[i : i + size] != low[i : i + size] else 0.0
                     reach(i + size, here + SEGMENT + rank + extra + upper)
@@ -141,7 +160,7 @@ def find(raw: bytes, least_cost: float = 9.0) -> list[tuple[str, int, int]]:
                 text = value.decode()
             except UnicodeDecodeError:
                 continue
-            if any(map(str.isdigit, text)) and guess_cost(text.rstrip(".,;:!?)")) >= least_cost:
+            if guess_cost(text.rstrip(".,;:!?)")) >= least_cost:
                 out.append(("guess", s, e))
     out.sort(key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
     return out

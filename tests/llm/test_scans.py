@@ -106,3 +106,18 @@ def test_edge_cases(spark, module):
     got = {(r.doc_id, len(r.spans)) for r in module.digest(module.scan(docs)).collect()}
     assert len(got) == 4 and module.digest(module.scan(docs)).count() == 5
     assert module.scan(docs.limit(0)).count() == 0
+
+
+def guesses(text):
+    raw = text.encode()
+    return [raw[s:e].decode() for k, s, e in secrets.find(raw) if k == "guess"]
+
+
+@pytest.mark.parametrize("text", ["pwd=zKqWvXpLmTnR", "passphrase: xQv#Lm!zRtKw", "credential is qzvkxjwpmtbr"])
+def test_secrets_without_a_digit(text):
+    assert guesses(text) == [re.split("[=: ]+", text)[-1]]
+
+
+def test_prose_after_a_cue_is_cheap():
+    for text in ("Password recovery instructions follow.", "The secret government programme.", "a token representing friendship", "credentials management", "auth provider: authentication required", "passphrase is correcthorse"):
+        assert not guesses(text), text
