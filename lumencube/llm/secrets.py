@@ -32,11 +32,13 @@ ASSIGN = re.compile(rb"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x
 ACCESS = re.compile(rb"AKIA[A-Z0-9]+")
 HEX = re.compile(rb"[0-9a-f]{24,}")
 
-#: Names that make what follows a credential; wider than ASSIGN's.
+#: Names that make what follows a credential; wider than ASSIGN's. A match ends where the value begins,
+#: so that a value which is a name itself ("Authorization: Bearer ...") is read as a name next.
 CONTEXT = re.compile(
-    rb"""(?:password|passwd|passphrase|pwd|passcode|credentials?|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|client[_ -]?secret|auth(?:orization)?|bearer)["']?(?:\x20*(?:[:=]|\bis\b)\x20*|\x20+)["']?([^\s"'<>,;]{6,})""",
+    rb"""(?:password|passwd|passphrase|pwd|passcode|credentials?|secret|token|api[_ -]?key|access[_ -]?key|private[_ -]?key|client[_ -]?secret|auth(?:orization)?|bearer)["']?(?:\x20*(?:[:=]|\bis\b(?:\x20*[:=])?)\x20*|\x20+)(?:basic\x20+)?["']?(?=[^\s"'<>,;]{6})""",
     re.IGNORECASE,
 )
+_END = re.compile(rb"""[\s"'<>,;]|\Z""")
 #: A cheap test that no text with a context fails.
 HINT = re.compile(rb"pass|pwd|cred|secret|token|key|auth|bearer", re.IGNORECASE)
 
@@ -103,44 +105,70 @@ def _same_for(text: str, shift: int) -> list[int]:
     return out
 
 
-def guess_cost(value: str) -> float:
-    """log10 of the guesses that the cheapest segmentation of ``value`` needs; linear in its length."""
+def _brute(value: str) -> float:
+    """log10 of the guesses for each character of ``value`` by brute force."""
+    charset = sum(k for k, test in ((26, str.islower), (26, str.isupper), (10, str.isdigit)) if any(map(test, value))) + (20 if not value.isalnum() else 0)
+    return math.log10(max(charset, 10))
+
+
+def _tail_costs(value: str, brute: float) -> list[float]:
+    """For each place, log10 of the guesses that the cheapest segmentation from there on needs; linear in the length."""
     low = value.lower()
     plain = low.translate(SWAPS)
     n = len(value)
-    charset = sum(k for k, test in ((26, str.islower), (26, str.isupper), (10, str.isdigit)) if any(map(test, value))) + (20 if not value.isalnum() else 0)
-    brute = math.log10(max(charset, 10))
+    known, longest = ranks()
     walks = _run_ends(low, lambda a, b: b in NEAR.get(a, ""))
     same = _run_ends(low, lambda a, b: a == b)
     up = _run_ends(low, lambda a, b: ord(b) - ord(a) == 1)
     down = _run_ends(low, lambda a, b: ord(a) - ord(b) == 1)
     again = {size: _same_for(low, size) for size in range(2, min(16, n // 2) + 1)}
-    best = [0.0] + [math.inf] * n
-    known, longest = ranks()
-
-    def reach(end: int, cost: float) -> None:
-        if cost < best[end]:
-            best[end] = cost
-
-    for i in range(n):
-        here = best[i]
-        reach(i + 1, here + brute)
+    best = [0.0] * (n + 1)
+    for i in range(n - 1, -1, -1):
+        cost = brute + best[i + 1]
         for form, extra in ((low, 0.0), (plain, 0.5)):
             for size in range(3, min(longest, n - i) + 1):
                 rank = known.get(form[i : i + size])
                 if rank is not None:
                     upper = 0.3 if value[i : i + size] != low[i : i + size] else 0.0
-                    reach(i + size, here + SEGMENT + rank + extra + upper)
+                    cost = min(cost, SEGMENT + rank + extra + upper + best[i + size])
         if (m := _DATE.match(value, i)) is not None:
-            reach(m.end(), here + SEGMENT + (2.1 if m.end() - i == 4 else 4.6))
-        for ends, cost in ((walks, 2.0), (same, 1.0), (up, 1.2), (down, 1.5)):
+            cost = min(cost, SEGMENT + (2.1 if m.end() - i == 4 else 4.6) + best[m.end()])
+        for ends, pattern in ((walks, 2.0), (same, 1.0), (up, 1.2), (down, 1.5)):
             if ends[i] - i > 2:
-                reach(ends[i], here + SEGMENT + cost + math.log10(ends[i] - i) * (3 if ends is walks else 1))
+                cost = min(cost, SEGMENT + pattern + math.log10(ends[i] - i) * (3 if ends is walks else 1) + best[ends[i]])
         for size, same_for in again.items():  # a block said again
             if same_for[i] >= size:
                 times = 1 + same_for[i] // size
-                reach(i + times * size, here + SEGMENT + size * brute + math.log10(times))
-    return best[n]
+                cost = min(cost, SEGMENT + size * brute + math.log10(times) + best[i + times * size])
+        best[i] = cost
+    return best
+
+
+def guess_cost(value: str) -> float:
+    """log10 of the guesses that the cheapest segmentation of ``value`` needs; linear in its length."""
+    return _tail_costs(value, _brute(value))[0]
+
+
+def _costs(value: str, places: list[int]) -> list[float]:
+    """The guess cost of ``value`` from each of the ascending places on: few passes, as a brute-force cost holds for many."""
+    out, brutes, passes = [], _brutes(value), {}
+    for k in places:
+        begin, tail = passes.setdefault(brutes[k], (k, None))
+        if tail is None:
+            passes[brutes[k]] = begin, tail = k, _tail_costs(value[k:], brutes[k])
+        out.append(tail[k - begin])
+    return out
+
+
+def _brutes(value: str) -> list[float]:
+    """``_brute`` of what follows each place."""
+    out, classes = [1.0] * (len(value) + 1), set()
+    for k in range(len(value) - 1, -1, -1):
+        c = value[k]
+        mine = {size for size, test in (("lower", c.islower()), ("upper", c.isupper()), ("digit", c.isdigit()), ("other", not c.isalnum())) if test}
+        out[k] = out[k + 1] if mine <= classes else _brute(value[k:])
+        classes |= mine
+    return out
 
 
 def find(raw: bytes, least_cost: float = 9.0) -> list[tuple[str, int, int]]:
@@ -148,20 +176,24 @@ def find(raw: bytes, least_cost: float = 9.0) -> list[tuple[str, int, int]]:
     out = [("access", *m.span()) for m in ACCESS.finditer(raw) if m.end() - m.start() >= 20]
     out += [("hex", *m.span()) for m in HEX.finditer(raw)]
     if HINT.search(raw):
-        values = {}
+        values: dict[int, set[int]] = {}  # of each end, the places where values begin
         for m in ASSIGN.finditer(raw):
             if m.end(2) - m.start(2) >= 6:
                 out.append(("assign", *m.span()))
-                values[m.span(2)] = m[2]
+                values.setdefault(m.end(2), set()).add(m.start(2))
+        end = 0
         for m in CONTEXT.finditer(raw):
-            values[m.span(1)] = m[1]
-        for (s, e), value in values.items():
-            try:
-                text = value.decode()
-            except UnicodeDecodeError:
-                continue
-            if guess_cost(text.rstrip(".,;:!?)")) >= least_cost:
-                out.append(("guess", s, e))
+            if m.end() >= end:
+                end = _END.search(raw, m.end()).start()
+            values.setdefault(end, set()).add(m.end())
+        for e, begins in values.items():
+            starts = sorted(begins)
+            text = raw[starts[0] : e].decode(errors="replace").rstrip(".,;:!?)")
+            places, at = [0], 0
+            for s, t in zip(starts, starts[1:], strict=False):
+                at += len(raw[s:t].decode(errors="replace"))
+                places.append(min(at, len(text)))
+            out += [("guess", s, e) for s, cost in zip(starts, _costs(text, places), strict=True) if cost >= least_cost]
     out.sort(key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
     return out
 
