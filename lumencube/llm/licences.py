@@ -6,8 +6,9 @@ on the driver from the fixed templates below and from negatives made by rule. It
 table (grams of the templates only, a few thousand rows), joined to the paragraphs' grams; scores,
 softmax and the comparison with templates are aggregations. A paragraph is ``unknown``, and not in
 the result, when no family reaches the calibrated probability, or when the best template of the
-predicted family doesn't confirm it. Paragraphs without any of the CUES, one of which each template
-has, are unknown without being scored.
+predicted family doesn't confirm it. Paragraphs without any of the cues
+(words and pairs of words) are not scored; these are computed from the templates so that no template could confirm such a
+paragraph, which makes this a shortcut and not a rule of its own.
 """
 
 from __future__ import annotations
@@ -31,6 +32,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.",
         "This project is released under the Apache License 2.0.",
         "SPDX-License-Identifier: Apache-2.0",
+        "Released under Apache-2.0.",
     ),
     "MIT": (
         "Released under the MIT License.",
@@ -47,6 +49,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "Distributed under the BSD 3-Clause License.",
         "Licensed under the BSD license.",
         "SPDX-License-Identifier: BSD-3-Clause",
+        "Released under BSD-3-Clause.",
     ),
     "GPL": (
         "This work is licensed under the GNU General Public License, version 3.",
@@ -54,16 +57,20 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU General Public License for more details.",
         "Licensed under the GPL, version 2.",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "Released under GPL-3.0.",
+        "Released under the GNU GPL v2.",
     ),
     "LGPL": (
         "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation.",
         "Licensed under the GNU Lesser General Public License, version 2.1.",
         "SPDX-License-Identifier: LGPL-2.1-or-later",
+        "Released under LGPL-2.1.",
     ),
     "MPL-2.0": (
         "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
         "Licensed under the Mozilla Public License, version 2.0.",
         "SPDX-License-Identifier: MPL-2.0",
+        "Released under MPL-2.0.",
     ),
     "CC-BY": (
         "This work is licensed under a Creative Commons Attribution 4.0 International License.",
@@ -82,6 +89,7 @@ TEMPLATES: dict[str, tuple[str, ...]] = {
         "This work has been dedicated to the public domain under the CC0 1.0 Universal license.",
         "To the extent possible under law, the author has waived all copyright and related rights to this work.",
         "This is free and unencumbered software released into the public domain.",
+        "Released under CC0 1.0.",
     ),
     "ISC": (
         "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies.",
@@ -102,8 +110,6 @@ NEGATIVES = (
     "The new version is out and the work goes on.", "Creative people are common in this city.", "The public library is open under new terms.", "You may obtain a copy at the front desk.",
     "This program is on television and it will be useful.", "The university at MIT released a new work.", "A general public meeting was held by the foundation.",
 )
-#: One of these is in every template; paragraphs without them are unknown.
-CUES = ("licen", "copyright", "permission", "redistribut", "warrant", "public domain", "rights reserved", "creative commons")
 NONE = "none"
 WORD = "[a-z0-9]+"
 SIZES = (1, 2, 3)
@@ -117,6 +123,36 @@ def _grams(words: list[str]) -> set[int]:
     return {xxhash.xxh64_intdigest(" ".join(words[k : k + n]), 42) for n in SIZES for k in range(len(words) - n + 1)}
 
 
+#: Words so common that a cue of them spares little.
+COMMON = frozenset("a above all an and any are as at be been but by can do either for free from has have in into is it its may more must no not of on or see shall that the this to under use will with without work you your mit 0 1 2 3 4".split())
+
+
+@cache
+def cues(least_similarity: float) -> tuple[str, ...]:
+    """Words and pairs of words of which every paragraph that shares ``least_similarity`` of some template's grams has one.
+
+    For each template cues are taken until its grams without any of them are too few, those first that
+    drop the most grams and are rare or taken already.
+    """
+    if least_similarity <= 0:
+        return ()
+    taken: set[str] = set()
+    for text in (t for ts in TEMPLATES.values() for t in ts):
+        words = _words(text)
+        grams = {tuple(words[k : k + n]) for n in SIZES for k in range(len(words) - n + 1)}
+        size = len(grams)
+        while len(grams) / size >= least_similarity:
+            dear = {c: 0.1 if c in taken else 1000.0 if c in COMMON else (50.0 if set(c.split()) <= COMMON else 2.0) if " " in c else 1.0 for g in grams for c in _parts(g)}
+            cue = min(sorted(dear), key=lambda c: dear[c] / sum(c in _parts(g) for g in grams))
+            grams = {g for g in grams if cue not in _parts(g)}
+            taken.add(cue)
+    return tuple(sorted(taken))
+
+
+def _parts(gram: tuple[str, ...]) -> set[str]:
+    return {*gram, *map(" ".join, zip(gram, gram[1:], strict=False))}
+
+
 def _signed(x: int) -> int:
     return x - (1 << 64) if x >> 63 else x
 
@@ -199,14 +235,13 @@ def train(seed: int = 7, copies: int = 8, rounds: int = 300, l2: float = 1e-3, f
     return model
 
 
-def has_cue(text: Column) -> Column:
-    def test(low: Column) -> Column:
-        hit = F.contains(low, F.lit(CUES[0]))
-        for cue in CUES[1:]:
-            hit = hit | F.contains(low, F.lit(cue))
-        return hit
+#: The cues of the default similarity.
+CUES = cues(0.5)
+
 
-    return F.exists(F.array(F.lower(text)), test)
+def has_cue(text: Column, words: tuple[str, ...] = CUES) -> Column:
+    some = "|".join(words).replace(" ", "[^a-z0-9]+")
+    return F.rlike(F.lower(text), F.lit(f"(?<![a-z0-9])(?:{some})(?![a-z0-9])")) if words else F.lit(True)
 
 
 def _gram_hashes(paragraph: Column) -> Column:
@@ -236,7 +271,7 @@ def _tables(spark: SparkSession, model: Classifier) -> tuple[DataFrame, DataFram
     )
 
 
-def _paragraphs(text: Column) -> Column:
+def _paragraphs(text: Column, words: tuple[str, ...] = CUES) -> Column:
     """Each line, and each two or more consecutive non-blank lines joined: array<struct<block, paragraph, joined, said>>.
 
     Lines carry their numbers through the split into blocks; block and paragraph are numbers of first lines.
@@ -257,7 +292,7 @@ def _paragraphs(text: Column) -> Column:
         whole = F.struct(first.alias("block"), first.alias("paragraph"), F.lit(True).alias("joined"), F.array_join(F.transform(full, said), "\n").alias("said"))
         return F.when(F.size(full) > 1, F.concat(alone, F.array(whole))).otherwise(alone)
 
-    return F.flatten(F.transform(F.filter(blocks, has_cue), of))
+    return F.flatten(F.transform(F.filter(blocks, lambda x: has_cue(x, words)), of))
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_similarity: float = 0.5, model: Classifier | None = None) -> DataFrame:
@@ -273,11 +308,12 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least_
     spark = docs.sparkSession
     model = model or train()
     weights, grams, templates = _tables(spark, model)
-    text = F.col(text_col).cast("string")
-    rows = docs.where(text.isNotNull() & has_cue(text)).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("doc"), F.explode(_paragraphs(text)).alias("p"))
-    rows = rows.select("doc_id", "doc", "p.*").where(has_cue(F.col("said"))).withColumns({"chars": F.char_length("said").cast("long"), "print": F.xxhash64("said")})
+    text, some = F.col(text_col).cast("string"), cues(least_similarity)
+    rows = docs.where(text.isNotNull() & has_cue(text, some)).select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("doc"), F.explode(_paragraphs(text, some)).alias("p"))
+    rows = rows.select("doc_id", "doc", "p.*").where(has_cue(F.col("said"), some)).withColumns({"chars": F.char_length("said").cast("long"), "print": F.xxhash64("said")})
     key = ["doc_id", "doc", "block", "paragraph", "joined", "chars", "print"]  # never the text itself, which each gram would carry
-    each = rows.select(*key, F.explode(_gram_hashes(F.col("said"))).alias("gram")).distinct()
+    each = rows.select(*key, F.explode(_gram_hashes(F.col("said"))).alias("gram"))
+    each = each.join(F.broadcast(weights.select("gram")), "gram", "left_semi").distinct()  # the grams of templates among them
     k = len(model.families)
     sums = [F.sum(F.col("w")[i]).alias(f"s{i}") for i in range(k)]
     scored = each.join(F.broadcast(weights), "gram").groupBy(*key).agg(*sums)

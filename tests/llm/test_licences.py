@@ -88,3 +88,18 @@ def test_short_lines_of_the_documents(spark):
     rows = spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()
     want = {(r.doc_id, k) for r in rows for k, x in enumerate(r.text.split("\n")) if x == "All rights reserved."}
     assert want and want <= {k for k, v in found(op2_licence_scan(spark, DATA)).items() if v[0] == "Proprietary"}
+
+
+def test_grants_without_the_usual_words(spark):
+    texts = {"This work is released under CC BY-NC 4.0.": "CC-BY-NC", "Released under GPL-3.0.": "GPL", "Released under MPL-2.0.": "MPL-2.0"}
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {k: v[0] for k, v in found(licences.scan(docs)).items()} == {(k, 0): f for k, f in enumerate(texts.values())}
+
+
+def test_no_claim_lacks_a_cue():
+    for least in (0.3, 0.5, 0.9):
+        words = set(licences.cues(least))
+        for text in (t for ts in licences.TEMPLATES.values() for t in ts):
+            said = licences._words(text)
+            grams = {tuple(said[k : k + n]) for n in licences.SIZES for k in range(len(said) - n + 1)}
+            assert sum(not words & {*g, *(f"{a} {b}" for a, b in zip(g, g[1:], strict=False))} for g in grams) / len(grams) < least
