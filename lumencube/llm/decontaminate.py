@@ -103,14 +103,18 @@ def tile(item: list[int], doc: list[int], least: int) -> list[tuple[int, int, in
 
 
 class Bench:
-    """A block of test items with its vocabulary and seeds; words that no item has are 0 in a document."""
+    """A block of test items with its vocabulary and seeds; words that no item has are 0 in a document.
 
-    def __init__(self, items: list[tuple[int, str]], seed_words: int):
+    Items are keyed by their place in the block, as item ids may be null or shared; ``names`` has the ids.
+    """
+
+    def __init__(self, items: list[tuple[int | None, str]], seed_words: int):
+        self.names = [name for name, _ in items]
         self.vocabulary: dict[bytes, int] = {}
         self.items: dict[int, list[int]] = {}
         self.seeds: dict[tuple, list[int]] = {}
         self.shortest = seed_words
-        for key, text in items:
+        for key, (_, text) in enumerate(items):
             ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in tokens(text.encode())]
             if ids:
                 self.items[key] = ids
@@ -151,14 +155,14 @@ class Bench:
         return out
 
     def overlaps(self, raw: bytes) -> Iterator[tuple[int, float, int, int, list]]:
-        """(item, coverage, covered tokens, longest tile, tiles) for each item that shares a seed."""
+        """(item id, coverage, covered tokens, longest tile, tiles) for each item that shares a seed."""
         ids = self.ids(tokens(raw)) if len(raw) <= PIECE else np.concatenate([self.ids(tokens(x)) for x in _pieces(raw)])
         for key in sorted(self.shared(ids)):
             item, least = self.items[key], self.least[key]
             own, places = self._regions(ids, item, least, len(self.vocabulary))
             tiles = tile(item, own, least)
             covered = sum(n for _, _, n in tiles)
-            yield key, covered / len(item), covered, max((n for _, _, n in tiles), default=0), [(i, places[j], n) for i, j, n in tiles]
+            yield self.names[key], covered / len(item), covered, max((n for _, _, n in tiles), default=0), [(i, places[j], n) for i, j, n in tiles]
 
     @staticmethod
     def _regions(ids: np.ndarray, item: list[int], least: int, vocabulary: int) -> tuple[list[int], list[int]]:
@@ -193,14 +197,14 @@ def _pieces(raw: bytes) -> Iterator[bytes]:
         at = end
 
 
-def _blocks(spark: SparkSession, benchmark: DataFrame, item_col: str, item_text: str, block_bytes: int) -> list[Broadcast]:
-    """The benchmark's items in broadcasts of about ``block_bytes`` of text each."""
-    items = benchmark.where(F.col(item_col).isNotNull() & F.col(item_text).isNotNull()).select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text"))
+def _blocks(spark: SparkSession, benchmark: DataFrame, item_col: str, item_text: str, block_bytes: int, null_ids: bool = False) -> list[Broadcast]:
+    """The benchmark's items in broadcasts of about ``block_bytes`` of text each, those without an id too if ``null_ids``."""
+    items = benchmark.where((F.lit(null_ids) | F.col(item_col).isNotNull()) & F.col(item_text).isNotNull()).select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text"))
     items = items.dropDuplicates(["item", "text"])
     n = max(1, -(-int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
     out = []
     for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item"), F.lit(n)) == b).orderBy("item", "text").collect()
+        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).orderBy("item", "text").collect()
         out.append(spark.sparkContext.broadcast([(r.item, r.text) for r in rows]))
     return out
 
@@ -211,7 +215,7 @@ def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text
     Returns doc_id, item_id, coverage (0 to 1), covered, longest, tiles array<struct<item_at, doc_at,
     length>> (in tokens). Items under ``seed_words`` tokens must match whole. Null texts, texts without
     a token and null items or ids of items match nothing; rows with a null id keep their matches; repeated
-    rows of documents repeat, repeated items count once; empty tables give an empty result.
+    rows of documents repeat, repeated items (id and text) count once, and texts that share an id have a row each; empty tables give an empty result.
     """
     shared_blocks = _blocks(docs.sparkSession, benchmark, item_col, item_text, block_bytes)
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -242,14 +246,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", seed_words: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
-    """The rows and columns of ``docs`` that cover no test item by ``threshold`` or more; nulls and empty texts stay.
+    """The rows and columns of ``docs`` that cover no test item by ``threshold`` or more, test items without an id
+    included; nulls and empty texts stay.
 
     A filter inside each task, one after the other for the benchmark's blocks: nothing is shuffled.
     """
     names, kinds = docs.columns, docs.schema
     at = names.index(text_col)
     out = docs
-    for shared in _blocks(docs.sparkSession, benchmark, item_col, item_text, block_bytes):
+    for shared in _blocks(docs.sparkSession, benchmark, item_col, item_text, block_bytes, null_ids=True):
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             bench = Bench(shared.value, seed_words)

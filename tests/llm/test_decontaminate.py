@@ -86,3 +86,12 @@ def test_reordered_and_edge_cases(spark, monkeypatch):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
     partly = {r.doc_id: r.covered for r in decontaminate.overlaps(docs, bench).where("doc_id = 2").collect()}
     assert partly == {2: 6}
+
+
+def test_items_that_share_an_id_or_have_none(spark):
+    texts = [" ".join(f"{x}{k}" for k in range(12)) for x in "abc"]
+    docs = spark.createDataFrame([*enumerate(texts), (3, "something else")], "doc_id long, text string")
+    bench = spark.createDataFrame([(0, texts[0]), (0, texts[1]), (None, texts[2])], "item_id long, text string")
+    for block in (8 << 20, 60):
+        assert sorted((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, block_bytes=block).collect()) == [(0, 0), (1, 0)]
+        assert [r.doc_id for r in decontaminate.without_leaks(docs, bench, block_bytes=block).collect()] == [3]
