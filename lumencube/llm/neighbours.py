@@ -149,8 +149,9 @@ def _searcher(queries: dict[int, tuple[np.ndarray, np.ndarray]], centroids: dict
                     error += (1e-5 * (np.abs(base) + size * (1 + part.column(4).to_numpy().max()))).astype(np.float32)  # of single precision
                     reach = least.copy()
                     new = np.flatnonzero(np.isneginf(least))  # nothing exact yet: the k best estimates of this block tell where to begin
-                    if len(new) and len(vec) > k:
-                        top = np.argpartition(-got[:, new], k, axis=0)[: k + 1]
+                    first = np.unique(vec, return_index=True)[1] if len(new) else new  # a row of each id: repeated rows are one neighbour
+                    if len(new) and len(first) > k:
+                        top = first[np.argpartition(-got[np.ix_(first, new)], k, axis=0)[: k + 1]]
                         exact = np.einsum("kqd,qd->kq", x[top], q[new])
                         other = np.where(vec[top] == ids[new][None, :], -np.inf, exact)
                         reach[new] = np.sort(other, axis=0)[-k]

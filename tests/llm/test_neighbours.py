@@ -71,3 +71,11 @@ def test_blocks_of_queries_agree(spark, tmp_path):
     assert found(neighbours.search(index, queries, block_rows=3)) == found(neighbours.search(index, queries))
     loaded = neighbours.Index.load(spark, str(tmp_path / "index"))
     assert found(neighbours.search(loaded, queries)) == found(neighbours.search(index, queries))
+
+
+def test_repeated_rows_leave_room_for_others(spark, tmp_path):
+    way = np.random.default_rng(5).standard_normal(16)
+    rows = [row for k in range(1, 401) for row in [(k, (k * way).tolist())] * 2]
+    index = neighbours.build(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1), str(tmp_path / "index"))
+    got = found(neighbours.search(index, spark.createDataFrame([(1000, way.tolist())], "vec_id long, vector array<double>")))
+    assert [i for i, _ in got[1000]] == list(range(400, 380, -1))
