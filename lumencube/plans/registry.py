@@ -478,6 +478,14 @@ def transitive_pairs(spark, d):
     return transitive_closure(edges)
 
 
+# The same over every part key; without SQL, and tested against brute force.
+@query()
+def transitive_pairs_whole(spark, d):
+    k = t(spark, d, "part").select(F.col("p_partkey").cast("bigint").alias("k"))
+    edges = [k.select(F.col("k").alias("a"), F.floor(F.col("k") / n).alias("b")) for n in (3, 5)]
+    return transitive_closure(edges[0].unionByName(edges[1]).unionByName(k.select(F.lit(0).cast("bigint").alias("a"), F.lit(7).cast("bigint").alias("b"))))
+
+
 # indices and reports ------------------------------------------------------------------------
 
 
