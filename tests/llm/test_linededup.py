@@ -64,3 +64,23 @@ def test_long_text(spark):
     docs = spark.createDataFrame([(k, text + f"\n{k}") for k in range(6)], "doc_id long, text string")
     got = {r.doc_id: (r.n_dropped, hashlib.md5(r.text.encode()).hexdigest()) for r in linededup.dedup_lines(docs).collect()}
     assert got[0] == (50_000, hashlib.md5(b"0").hexdigest()) and got[5][0] == 0
+
+
+def test_runs_merge_without_exchange_and_hold_each_key_fresh_once(spark):
+    runs = linededup.LineRuns(spark, fanout=3)
+    for k in range(5, 0, -1):
+        runs.add(spark.createDataFrame([(10 * k + d, h, -h) for d in range(3) for h in range(0, 40, k)], "doc long, h1 long, h2 long"))
+    assert [len(x) for x in runs.levels] == [2, 1]
+    assert all(r["count"] == 1 for r in runs.rows().where("fresh").groupBy("h1", "h2").count().collect())
+    first = {h: max(k for k in range(1, 6) if h % k == 0) for h in range(40)}
+    assert {(r.h1, r.last) for r in runs.survivors(1).collect()} == {(h, 10 * k + 2) for h, k in first.items()}
+    for frame in (runs.counts(), runs.survivors(2)):
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "Bucketed: true" in plan and "Exchange" not in plan
+
+
+def test_many_distinct_lines_go_in_linear_time(spark):
+    text = "\n".join(f"line number {k} of some forty characters and a few more" for k in range(30_000))
+    docs = spark.createDataFrame([(k, f"{text}\n{k}") for k in range(5)], "doc_id long, text string")
+    got = {r.doc_id: r.n_dropped for r in linededup.dedup_lines(docs).collect()}
+    assert got == {0: 30_000, 1: 30_000, 2: 30_000, 3: 30_000, 4: 0}
