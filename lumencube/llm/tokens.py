@@ -54,7 +54,7 @@ class Encoder:
 
     Each word is encoded by the library's model once while the memo holds it. The memo is bounded:
     when full, the half of it that was used most since the last time stays. Texts with code points
-    beyond Latin, or with rare white space, go to the library whole.
+    beyond Latin, with rare white space or with the string of an added token go to the library whole.
     """
 
     def __init__(self, path: str):
@@ -62,8 +62,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.letters = _byte_letters()
         self.memo = _Memo()
         self.flat = np.empty(1 << 16, np.uint32)  # the ids of all words, one after the other
@@ -144,7 +144,7 @@ class Encoder:
         for k, text in enumerate(texts):
             if not text:
                 continue
-            if _OTHER.search(text):
+            if _OTHER.search(text) or any(t in text for t in self.added):
                 out[k].append(np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
                 continue
             for words in self._pieces(text):
