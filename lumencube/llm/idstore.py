@@ -15,6 +15,7 @@ The manifest has one line for each shard: name, ids before it, ids and documents
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 from collections.abc import Iterator
@@ -62,8 +63,17 @@ def unpack_chunk(data: bytes, sizes: list[int], n: int, plane: str = "bit") -> n
     return ids.astype(np.uint32)
 
 
+def qualified(spark: SparkSession, uri: str) -> str:
+    """``uri`` with its scheme: a path without one lies in the cluster's default file system, as for Spark's own readers."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(uri)
+    if place.toUri().getScheme() is None:
+        place = place.makeQualified(spark._jvm.org.apache.hadoop.fs.FileSystem.getDefaultUri(spark._jsc.hadoopConfiguration()), spark._jvm.org.apache.hadoop.fs.Path("/"))
+    return re.sub("^file:/+", "file:///", place.toString())
+
+
 def _files(uri: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
+    """The store and path of a qualified place."""
+    return fs.FileSystem.from_uri(uri)
 
 
 class ShardWriter:
@@ -150,12 +160,13 @@ class ShardReader:
 def write_ids(docs: DataFrame, uri: str, id_col: str = "doc_id", text_col: str = "text", end_id: int = 2, vocabulary: str | None = None, block: int = BLOCK, plane: str = "bit") -> DataFrame:
     """Encode whole texts and write them, with ``end_id`` after each, as shards in ascending id order.
 
-    Null texts are empty, null ids come first, repeated ids are ordered by their texts; other
-    columns are not read. Texts are range-partitioned by id, so a shard is one task's range;
-    adaptive execution sets its size. Returns the manifest (shard, name, start, n_ids, n_docs), which is
+    Null texts are empty, null ids come first, repeated ids are ordered by a hash of their texts; other
+    columns are not read. Texts are range-partitioned by id, hash and place in the input, so a shard is
+    one task's range and an id with very many rows, or none, fills as many as it needs;
+    adaptive execution sets their size. Returns the manifest (shard, name, start, n_ids, n_docs), which is
     one row for each shard, and writes it beside them.
     """
-    path = vocabulary or default_vocabulary()
+    path, uri = vocabulary or default_vocabulary(), qualified(docs.sparkSession, uri)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -171,7 +182,9 @@ def write_ids(docs: DataFrame, uri: str, id_col: str = "doc_id", text_col: str =
             yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int32()), "n_ids": pa.array([n_ids], pa.int64()), "n_docs": pa.array([n_docs], pa.int64())})
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    ordered = source.repartitionByRange("doc_id").sortWithinPartitions(F.asc_nulls_first("doc_id"), F.asc_nulls_first("text"))
+    source = source.withColumns({"key": F.xxhash64("text"), "place": F.monotonically_increasing_id()})
+    order = [F.asc_nulls_first("doc_id"), F.asc("key"), F.asc("place")]
+    ordered = source.repartitionByRange(*order).sortWithinPartitions(*order).select("doc_id", "text")
     made = sorted(mapped(ordered, run, "shard int, n_ids long, n_docs long").collect())  # one row for each shard
     rows, at = [], 0
     for shard, n_ids, n_docs in made:
@@ -189,13 +202,14 @@ def _manifest(spark: SparkSession, rows: list) -> DataFrame:
 
 
 def read_manifest(spark: SparkSession, uri: str) -> DataFrame:
-    store, root = _files(uri)
+    store, root = _files(qualified(spark, uri))
     with store.open_input_file(f"{root}/manifest.json") as file:
         return _manifest(spark, json.loads(file.read()))
 
 
 def read_ids(spark: SparkSession, uri: str) -> DataFrame:
     """(doc_id, start, ids): every document from the files; start counts the ids of all documents before it; ids are little-endian uint32 bytes."""
+    uri = qualified(spark, uri)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -219,5 +233,3 @@ def read_ids(spark: SparkSession, uri: str) -> DataFrame:
 def _rows(held) -> pa.RecordBatch:
     kinds = (("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.binary()))
     return pa.RecordBatch.from_arrays([pa.array(x, kind) for x, (_, kind) in zip(held, kinds, strict=True)], names=[n for n, _ in kinds])
-
-

@@ -10,13 +10,12 @@ from lumencube.llm import idstore, packing, tokens
 from lumencube.llm.queries import op6_best_fit_packing, op7_token_id_files
 
 DATA = "/root/testdata/sf0.01"
-ODD = [None, "", " ", "a  b\n\n c", "it's  we'll\tI'D", "x" * 5000, "日本語 text é ü", "tail \r\n ", "½ 3²x <|endoftext|> y", "á́ \x0b \x1c z\x85", "naïve  Straße", "42" * 30 + "...!!"]
+ODD = [None, "", " ", "a  b\n\n c", "it's  we'll\tI'D", "x" * 5000, "日本語 text é ü", "tail \r\n ", "½ 3²x <|endoftext|> y", "hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|><|endoftext|>b <|endoftext", "á́ \x0b \x1c z\x85", "naïve  Straße", "42" * 30 + "...!!"]
 
 
 @pytest.fixture(scope="module")
 def library():
     t = Tokenizer.from_file(tokens.default_vocabulary())
-    t.encode_special_tokens = True
     return lambda text: t.encode(text or "", add_special_tokens=False).ids
 
 
@@ -31,6 +30,10 @@ def test_ids_are_the_librarys(spark, library, monkeypatch):
         assert [x.tolist() for x in own.batch(texts)] == [library(x) for x in texts]
 
 
+def test_added_tokens_have_their_own_id():
+    assert tokens.Encoder(tokens.default_vocabulary()).ids("hello <|endoftext|> world").tolist() == [31373, 220, 50256, 995]
+
+
 def check_plan(histogram, limit):
     taken, ranks = {}, {}
     for length, lo, hi, first, offset in packing.plan(histogram, limit):
@@ -136,6 +139,18 @@ def test_files_of_documents(spark, library):
     check_files(op7_token_id_files(spark, DATA).collect(), texts, library)
 
 
+def test_places_without_a_scheme_are_the_default_stores(spark, tmp_path):
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    before = conf.get("fs.defaultFS")
+    try:
+        conf.set("fs.defaultFS", "hdfs://names:8020")
+        assert idstore.qualified(spark, "/a/b") == "hdfs://names:8020/a/b"
+    finally:
+        conf.set("fs.defaultFS", before)
+    assert idstore.qualified(spark, str(tmp_path)) == f"file://{tmp_path}"
+    assert idstore.qualified(spark, f"file://{tmp_path}/x") == f"file://{tmp_path}/x"
+
+
 def test_files_edge_cases(spark, library, tmp_path):
     texts = dict(enumerate(ODD * 3))
     docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("shard", F.lit("x"))
@@ -144,11 +159,18 @@ def test_files_edge_cases(spark, library, tmp_path):
     got = got.select("doc_id", "start", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.crc32("ids").alias("ids_crc32"))
     check_files(got.collect(), texts, library)
     name = idstore.read_manifest(spark, str(tmp_path / "a")).first().name
-    reader = idstore.ShardReader(str(tmp_path / "a"), name)
+    reader = idstore.ShardReader(idstore.qualified(spark, str(tmp_path / "a")), name)
     everything = np.concatenate([ids for _, _, ids in reader.documents()])
     assert (reader.span(5, 41) == everything[5:41]).all()
     idstore.write_ids(docs.limit(0), str(tmp_path / "b"))
     assert idstore.read_ids(spark, str(tmp_path / "b")).count() == 0
+    many = spark.range(20_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit("same words").alias("text"))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    idstore.write_ids(many.unionByName(docs.select("doc_id", "text")), str(tmp_path / "d"))
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert idstore.read_manifest(spark, str(tmp_path / "d")).where("n_docs > 3000").count() > 2
+    rows = idstore.read_ids(spark, str(tmp_path / "d")).orderBy("start").collect()
+    assert len(rows) == 20_000 + docs.count() and [r.doc_id for r in rows[19_999:20_001]] == [None, 0]
     same = docs.withColumn("doc_id", F.when(F.col("doc_id") > 3, 4))
     idstore.write_ids(same, str(tmp_path / "c"))
     assert idstore.read_ids(spark, str(tmp_path / "c")).groupBy("doc_id").count().count() == 2
