@@ -14,7 +14,8 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     Returns (node, component) with one row for each node that some edge names. Null ends,
     loops and repeated edges don't matter; an empty table gives an empty result. Each round is
     two aggregations and joins on the shuffle, written to the shared folder; nothing but one
-    checksum comes to the driver, and no neighbour list is ever gathered in one row.
+    checksum comes to the driver, and no neighbour list is ever gathered in one row. The edges of a
+    hub meet one row in each join, so adaptive execution can split them.
     """
     spark = edges.sparkSession
     home = shared_dir(spark)
@@ -24,10 +25,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b", max_round
     mark = _mark(now)
     for k in range(1, max_rounds + 1):
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
+        # aggregates are tables of their own: joined in the stage that sums them, a hub's edges could not be split
+        least = written(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{home}/least{k}")
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u != v").distinct()
-        small_least = large.groupBy("u").agg(F.min("v").alias("m"))
+        large = written(large.where("u != v").distinct(), f"{home}/large{k}")
+        small_least = written(large.groupBy("u").agg(F.min("v").alias("m")), f"{home}/small{k}")
         small = large.join(small_least, "u")
         now = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small_least.select("u", F.col("m").alias("v")))
         now = written(now.where("u != v").distinct(), f"{home}/cc{k}")

@@ -89,3 +89,35 @@ def test_edge_cases(spark):
     got = sorted(((r.doc_id, r.component_id) for r in simhash.near_duplicates(docs).collect()), key=str)
     assert got == sorted([(1, 1), (2, 1), (3, 1), (7, 5), (5, 5), (5, 5), (None, 5)], key=str)
     assert simhash.near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_components_with_a_hub(spark):
+    from lumencube.llm.components import connected_components
+
+    hub, leaves = 1_000_000, 100_000
+    star = spark.range(1, leaves + 1).select(F.col("id").alias("a"), F.lit(hub).cast("long").alias("b"))
+    chain = spark.range(2_000_000, 2_000_040).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    got = connected_components(star.unionByName(chain)).groupBy("component").count().collect()
+    assert {tuple(r) for r in got} == {(1, leaves + 1), (2_000_000, 41)}
+
+
+def test_a_hubs_join_can_be_split(spark, monkeypatch):
+    from lumencube.llm import components
+
+    plans = []
+
+    def kept(frame, path, *rest):
+        if "/large" in path or "/cc" in path:
+            plans.append(frame._jdf.queryExecution().executedPlan().toString())
+        return real(frame, path, *rest)
+
+    real = components.written
+    monkeypatch.setattr(components, "written", kept)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    components.connected_components(spark.createDataFrame([(1, 9), (2, 9), (3, 9)], "a long, b long")).collect()
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    joins = [p for p in plans if "SortMergeJoin" in p]
+    assert len(joins) > 3
+    for plan in joins:
+        below = plan.split("SortMergeJoin", 1)[1]
+        assert below.count("Exchange") == 2 and "HashAggregate" not in below
