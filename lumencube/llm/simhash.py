@@ -8,7 +8,8 @@ every bit that table v keeps: each pair within radius r meets in one of the 2^(r
 Only distinct fingerprints are linked, so exact copies never multiply. A bucket over
 ``bucket_rows`` is not compared where it is: its rows go through the same construction over the
 bits that its mask left free, again exact, and there a bucket holds at most 2^(free bits)
-distinct fingerprints (about 2^16), whatever the size of the corpus.
+distinct fingerprints (about 2^16), whatever the size of the corpus. The largest buckets, which a
+bounded sketch finds, are told apart before the shuffle, so that no task reads one of them whole.
 """
 
 from __future__ import annotations
@@ -158,6 +159,12 @@ def _linker(radius: int, most: int):
     return run
 
 
+def _giants(keyed: DataFrame, most: int) -> list[int]:
+    """Hashes of the largest buckets, as a sketch of bounded size finds them: at most 1000, none of ``most`` rows or fewer."""
+    row = keyed.agg(F.expr("approx_top_k(xxhash64(path, key), 1000, 10000)").alias("top")).first()
+    return [x.item for x in row.top or [] if x["count"] > most]
+
+
 def links(fps: DataFrame, radius: int = 4, bucket_rows: int = 512) -> DataFrame:
     """(a, b): links that connect the distinct values of ``fp`` exactly as all pairs within ``radius`` bits do."""
     home = shared_dir(fps.sparkSession)
@@ -180,18 +187,24 @@ def links(fps: DataFrame, radius: int = 4, bucket_rows: int = 512) -> DataFrame:
             for path in {p for p, _, _ in paths}:
                 spread = F.when(F.col("path") == path, F.array(*entry[path])).otherwise(spread)
         keyed = rows.select(F.explode(spread).alias("x"), "fp").select("x.path", "x.key", "fp")
+        giants = [] if level else _giants(keyed, bucket_rows)
+        if giants:  # their rows go on from where they are, as one task would read all of a bucket
+            heavy = F.xxhash64("path", "key").isin(giants)
+            ahead = written(keyed.where(heavy).select("path", "fp"), f"{home}/giants")
+            keyed = keyed.where(~heavy)
         keyed = keyed.repartition("path", "key").sortWithinPartitions("path", "key", "fp")
         most = bucket_rows if level == 0 else 1 << 30
         got = written(mapped(keyed, _linker(radius, most), "kind int, path int, a long, b long"), f"{home}/links{level}")
         found.append(got.where("kind = 0").select("a", "b"))
         if level:
             break
-        over = got.where("kind = 1")
+        over = got.where("kind = 1").select("path", F.col("a").alias("fp"))
+        over = over.unionByName(ahead) if giants else over
         hot = {r.path for r in over.select("path").distinct().collect()}  # at most 31 values
         if not hot:
             break
         paths = [x for x in deeper if x[0] in hot]
-        rows = over.select("path", F.col("a").alias("fp"))
+        rows = over
     out = found[0]
     for more in found[1:]:
         out = out.unionByName(more)
