@@ -10,12 +10,15 @@ order through the sorted array of histories and their back-off weights.
 Prediction: the language of the lowest cross-entropy per character. Rejection: a text's
 cross-entropy, taken block by block in the language that fits each best (a text may mix learned
 languages), is compared with what calibration texts of that language (sample texts that were not
-counted) have, with the spread that its length allows; the limit is set so that at most
-``reject_rate`` of them would go, and never under ``least_z`` deviations.
+counted) have, with the spread that its length allows. The limit comes from both sides: blocks of the
+calibration texts with their letters shuffled are what should go, and the limit is where ``accept_rate``
+of them would pass, unless more than ``reject_rate`` of the calibration texts would go there; then it is
+where those stay. Longer noise lies further off. ``Model.report`` has both rates as measured on calibration texts that set no limit.
 """
 
 from __future__ import annotations
 
+import random
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -26,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import mapped, slices, text_bytes
+from .common import mapped, shared_dir, slices, text_bytes, written
 
 SPACE = 32
 PIECE = 1 << 19
@@ -157,6 +160,8 @@ class Model:
     within: np.ndarray = None
     limit: np.ndarray = None
     sharpness: float = 1.0
+    #: of each language: clean texts, share of them rejected, noise texts, share of them accepted
+    report: dict[str, tuple[int, float, int, float]] = None
 
     def log_probabilities(self, codes: np.ndarray, real: np.ndarray) -> np.ndarray:
         """For each real place the log probability of its character in each language."""
@@ -265,7 +270,7 @@ def _filled(model: Model, parts: list[Counts], suffixes: list[dict]) -> None:
         table[gap] = (back + low)[gap]
 
 
-def train(samples: list[tuple[str, list[str], list[str]]], order: int, reject_rate: float, least_z: float) -> Model:
+def train(samples: list[tuple[str, list[str], list[str]]], order: int, reject_rate: float, accept_rate: float) -> Model:
     """A model from (language, texts to count, texts to calibrate with), which are bounded."""
     samples = sorted(samples)
     parts, keys = [], [{} for _ in range(order)]
@@ -286,29 +291,58 @@ def train(samples: list[tuple[str, list[str], list[str]]], order: int, reject_ra
         assert (gram == model.grams[n - 1]).all()
         suffixes.append((np.concatenate(keys[n - 1]["history"])[at], np.concatenate(keys[n - 1]["suffix"])[at]))
     _filled(model, parts, suffixes)
-    _calibrate(model, [c or t for _, t, c in samples], reject_rate, least_z)
+    _calibrate(model, [c or t for _, t, c in samples], reject_rate, accept_rate)
     return model
 
 
-def _calibrate(model: Model, held: list[list[str]], reject_rate: float, least_z: float) -> None:
+def _noise(texts: list[str]) -> list[str]:
+    """Blocks of the texts with their characters shuffled, a few of each: letters of the language in no order of it."""
+    rng = random.Random(5)
+    out = []
+    for text in texts:
+        plain = "".join(map(chr, normalized(text) & (MARK - np.uint32(1))))
+        out += ["".join(rng.sample(x, len(x))) for x in (plain[k : k + BLOCK] for k in range(0, 8 * BLOCK, BLOCK)) if len(x) == BLOCK]
+    return out
+
+
+#: Calibration texts that a limit needs; a language with fewer has the limit of all together, and if
+#: these are fewer only texts without a letter are rejected.
+LEAST_TEXTS = 20
+
+
+def _calibrate(model: Model, held: list[list[str]], reject_rate: float, accept_rate: float) -> None:
     many = len(model.languages)
-    model.mean, model.between, model.within, model.limit = np.zeros(many), np.full(many, 1e-4), np.ones(many), np.full(many, least_z)
-    odds = []
+    model.mean, model.between, model.within, model.limit = np.zeros(many), np.full(many, 1e-4), np.ones(many), np.full(many, np.inf)
+    model.report, odds = {}, []
+
+    def deviations(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Of each text with letters its language, as it would be predicted, and how far off it is there."""
+        chars, total, _, piecewise = model.score(texts)
+        some = chars > 0
+        n, own = chars[some], total[some].argmax(axis=1)
+        return own, (-piecewise[some] / n - model.mean[own]) / np.sqrt(model.between[own] + model.within[own] / n)
+
     for k, texts in enumerate(held):
         chars, total, square, piecewise = model.score(texts)
         some = chars > 0
         if not some.any():
-            model.limit[k] = np.inf
             continue
         n, s, q = chars[some], total[some, k], square[some, k]
         entropy = -piecewise[some] / n
         model.mean[k] = np.average(entropy, weights=np.minimum(n, 2000))
         model.within[k] = max(4 * (q.sum() / n.sum() - (s.sum() / n.sum()) ** 2), 1e-3)  # characters depend on each other
         model.between[k] = max(float(np.average((entropy - model.mean[k]) ** 2, weights=n)), 1e-4)
-        z = (entropy - model.mean[k]) / np.sqrt(model.between[k] + model.within[k] / n)
-        model.limit[k] = max(least_z, float(np.quantile(z, 1 - reject_rate)), float(z.max()) * 1.05 if len(z) < 1 / reject_rate else 0.0)
         e = -total[some] / n[:, None]
         odds.append(((e.min(axis=1)[:, None] - e) * np.sqrt(n)[:, None], e.argmin(axis=1), k))
+    (clean_at, clean_all), (noise_at, noise_all) = deviations([t for x in held for t in x]), deviations([t for x in held for t in _noise(x)])
+    for k in range(many):
+        clean, noise = clean_all[clean_at == k], noise_all[noise_at == k]
+        if min(len(clean), len(noise)) < LEAST_TEXTS:
+            clean, noise = clean_all, noise_all
+        if min(len(clean), len(noise)) >= LEAST_TEXTS:
+            stay = float(clean[::2].max() * 1.05 if len(clean) < 2 / reject_rate else np.quantile(clean[::2], 1 - reject_rate))
+            model.limit[k] = max(stay, float(np.quantile(noise[::2], accept_rate)))
+            model.report[model.languages[k]] = len(clean[1::2]), float((clean[1::2] > model.limit[k]).mean()), len(noise[1::2]), float((noise[1::2] <= model.limit[k]).mean())
     best = (np.inf, 1.0)
     for sharp in (0.25, 0.5, 1.0, 2.0, 4.0, 8.0):
         loss = 0.0
@@ -327,25 +361,27 @@ def sample(docs: DataFrame, id_col: str, text_col: str, lang_col: str, train_cha
     """At most ``train_chars`` code points (or one text) of each language, ``total_chars`` in all: whole texts, in order of a hash of the id."""
     labelled = docs.where(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     counts = labelled.groupBy(F.col(lang_col).alias("__lang")).agg(F.count(F.lit(1)).alias("__n"), F.sum(F.char_length(F.col(text_col).cast("string")).cast("double")).alias("__chars"))
-    languages = labelled.select(lang_col).distinct().count()
-    train_chars = min(train_chars, total_chars // max(1, languages))
+    some = counts.limit(BROADCAST_ROWS + 1).collect()  # a row for each language
+    few = len(some) <= BROADCAST_ROWS
+    counts = docs.sparkSession.createDataFrame([tuple(r) for r in some], counts.schema) if few else written(counts, f"{shared_dir(docs.sparkSession)}/languages")
+    train_chars = min(train_chars, total_chars // max(1, len(some) if few else counts.count()))
     # a hash limit that leaves about twice the bound, so that the exact cut below sorts little
     share = F.least(F.lit(1.0), F.greatest(2.0 * train_chars / F.greatest("__chars", F.lit(1.0)), F.lit(64.0) / F.col("__n")))
-    rows = labelled.join(F.broadcast(counts) if languages <= BROADCAST_ROWS else counts, F.col(lang_col) == F.col("__lang"))
+    rows = labelled.join(F.broadcast(counts) if few else counts, F.col(lang_col) == F.col("__lang"))
     rows = rows.where((_place(docs, id_col).bitwiseAND(0x7FFFFFFF)) / F.lit(2.0**31) < share)
     rows = rows.select(F.col("__lang").cast("string").alias("lang"), F.col(text_col).cast("string").alias("text"), _place(docs, id_col).alias("place"))
     size = F.sum(F.char_length("text").cast("long")).over(Window.partitionBy("lang").orderBy("place", "text").rowsBetween(Window.unboundedPreceding, -1))
     return rows.withColumn("before", F.coalesce(size, F.lit(0))).where(F.col("before") < train_chars).select("lang", "text", "place")
 
 
-def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_chars: int = 1_500_000, total_chars: int = 24_000_000, order: int = 4, reject_rate: float = 0.0005, least_z: float = 8.0) -> Model | None:
+def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_chars: int = 1_500_000, total_chars: int = 24_000_000, order: int = 4, reject_rate: float = 0.0005, accept_rate: float = 0.01) -> Model | None:
     """Fit on labelled rows; None if there are none. ``train_chars`` (a language) and ``total_chars`` (all) bound the sample and with it the model."""
     rows = sample(docs, id_col, text_col, lang_col, train_chars, total_chars).collect()  # bounded by total_chars
     by: dict[str, tuple[list[str], list[str]]] = {}
     for lang, text, place in sorted((r.lang, r.text, r.place) for r in rows):
         by.setdefault(lang, ([], []))[place % 4 == 0].append(text)
     samples = [(lang, a or b, b) for lang, (a, b) in by.items()]
-    return train(samples, order, reject_rate, least_z) if samples else None
+    return train(samples, order, reject_rate, accept_rate) if samples else None
 
 
 def predict(docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text", keep: list[str] | None = None) -> DataFrame:

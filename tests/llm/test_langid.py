@@ -112,3 +112,32 @@ def test_sample_is_bounded(spark):
 def test_normalized(text, want):
     codes = langid.normalized(text)
     assert want is None or "".join(map(chr, codes)) == want
+
+
+def test_predictions_match_brute_force(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    rows = langid.sample(docs.where(~langid.held_out()), "doc_id", "text", "lang", 12_000, 48_000).collect()
+    by = {}
+    for lang, text, place in sorted((r.lang, r.text, r.place) for r in rows):
+        by.setdefault(lang, []).append((text, place % 4 == 0))
+    model = langid.learn(docs.where(~langid.held_out()), train_chars=12_000, total_chars=48_000)
+    assert model.languages == sorted(by)
+    plain = {lang: plain_kneser_ney([t for t, c in x if not c], 4) for lang, x in by.items()}
+    some = docs.where("n_chars < 400").orderBy("doc_id").limit(25)
+    for r in langid.predict(some, model, keep=["doc_id", "text"]).collect():
+        codes = [32] * 3 + langid.normalized(r.text).tolist()
+        want = {lang: -sum(math.log(p(tuple(codes[i - 3 : i + 1]))) for i in range(3, len(codes))) / (len(codes) - 3) for lang, p in plain.items()}
+        assert r.lang_pred == min(want, key=want.get) and r.cross_entropy == pytest.approx(want[r.lang_pred], abs=1e-4)
+
+
+def test_limits_are_calibrated(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    model = langid.learn(docs.where(~langid.held_out()))
+    assert set(model.report) == set(model.languages) and len(set(model.limit.tolist())) > 2
+    for n_clean, rejected, n_noise, accepted in model.report.values():
+        assert n_clean >= 5 and n_noise >= 20 and rejected <= 0.05 and accepted <= 0.1
+    strict = langid.learn(docs.where(~langid.held_out()), accept_rate=0.5)
+    assert (strict.limit > model.limit).all()
+    texts = [r.text for r in docs.where(langid.held_out()).collect()]
+    noise = langid._noise(texts)
+    assert model.decide(noise)["rejected"].mean() > 0.95 and model.decide(texts)["rejected"].mean() < 0.01
