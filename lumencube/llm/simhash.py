@@ -65,15 +65,15 @@ def fingerprint(text: bytes | None, words: int = 4, seed: int = 42) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4) -> DataFrame:
-    """(doc_id, fp) for every row of ``docs``; fp is the fingerprint's 64 bits as a signed long."""
+    """(doc_id, fp, print) for every row of ``docs``: the fingerprint's 64 bits as a signed long, and XXH64 of the text as Spark has it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             fps = np.array([fingerprint(t, words) for t in text_bytes(batch.column(1))], dtype=np.uint64)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps.view(np.int64)), batch.column(2)], names=["doc_id", "fp", "print"])
 
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return mapped(source, run, "doc_id long, fp long")
+    return mapped(source.withColumn("print", F.xxhash64("text")), run, "doc_id long, fp long, print long")
 
 
 def covering_masks(radius: int, free: list[int] | None = None) -> list[int]:
@@ -214,7 +214,7 @@ def links(fps: DataFrame, radius: int = 4, bucket_rows: int = 512) -> DataFrame:
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4, bucket_rows: int = 512) -> DataFrame:
     """Group documents whose fingerprints chain within ``radius`` bits.
 
-    One row for each input row: doc_id, fp (long), component_id (the smallest id of the group).
+    One row for each input row: doc_id, fp (long), component_id (the smallest id of the group), print (XXH64 of the text).
     Null or blank texts have fingerprint 0 and are linked like any other. Rows with a null id
     keep their row and take the group's smallest non-null id. Repeated rows stay repeated. Other
     columns of ``docs`` are not read. An empty table gives an empty result.
@@ -226,4 +226,4 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     labelled = classes.join(parts, classes.fp == parts.node, "left").select("fp", "least", F.coalesce("component", "fp").alias("component"))
     least = labelled.groupBy("component").agg(F.min("least").alias("component_id"))
     named = written(labelled.join(least, "component").select("fp", "component_id"), f"{home}/named")
-    return fps.join(named, "fp").select("doc_id", "fp", "component_id")
+    return fps.join(named, "fp").select("doc_id", "fp", "component_id", "print")

@@ -75,3 +75,15 @@ def test_leaks_are_filtered_row_by_row(spark):
     for block in (8 << 20, 5):
         got = decontaminate.without_leaks(docs, bench, block_bytes=block).select("doc_id", F.col("item_id")).collect()
         assert sorted(map(tuple, got)) == [(1, "x"), (2, None)]
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    near = [f"{' '.join(f'w{k % 13} x{k}' for k in range(60))} {end}" for end in ("one", "two")]
+    other = " ".join(f"y{k} z{k}" for k in range(50))
+    rows = [(4, near[0], "a"), (4, near[1], "b"), (7, near[0], "c"), (5, other, "d"), (5, near[0], "e"), (9, other, "f"), (9, other, "f"), (8, None, "g"), (8, "", "h"), (8, "", "h")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("print", F.lit("x")).withColumn("n", F.lit(0))
+    got = corpus_pipeline.near_dedup(spark, docs, DATA)
+    assert got.columns == docs.columns
+    kept = sorted((r.doc_id, r.text) for r in got.collect() if r.doc_id != 8)
+    assert [d for d, _ in kept] == [4, 5] and kept[0][1] in near and kept[1][1] == other
+    assert sum(r.doc_id == 8 for r in got.collect()) == 1
