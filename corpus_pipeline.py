@@ -27,11 +27,18 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep the document with the smallest id of each group, once. Rows with a null id stay as they are."""
-    groups = simhash.near_duplicates(docs)
-    first = written(groups.select(F.col("component_id").alias("doc_id")).where(F.col("doc_id").isNotNull()).distinct(), f"{shared_dir(spark)}/first")
-    named = docs.where(F.col("doc_id").isNotNull()).join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.select(*docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    """Keep one row of each group: of those with its smallest id the one whose text has the smallest hash (any of
+    rows equal in both). Rows with a null id stay as they are."""
+    groups = simhash.near_duplicates(docs).where(F.col("doc_id") == F.col("component_id"))
+    texts = groups.groupBy("doc_id", "print").agg(F.count(F.lit(1)).alias("n"))
+    first = texts.groupBy(F.col("doc_id").alias("__id")).agg(F.min(F.struct("print", "n")).alias("f")).select("__id", F.col("f.print").alias("__print"), F.col("f.n").alias("__n"))
+    first = written(first, f"{shared_dir(spark)}/first")
+    chosen = docs.where(F.col("doc_id").isNotNull()).join(first, (F.col("doc_id").cast("long") == F.col("__id")) & (F.xxhash64(F.col("text").cast("string")) == F.col("__print")))
+    out = chosen.where(F.col("__n") == 1).select(*docs.columns)
+    if not first.where(F.col("__n") > 1).isEmpty():
+        again = chosen.where(F.col("__n") > 1).groupBy("__id").agg(F.any_value(F.struct(*docs.columns)).alias("row"))
+        out = out.unionByName(again.select("row.*"))
+    return out.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
