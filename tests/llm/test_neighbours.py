@@ -79,3 +79,36 @@ def test_repeated_rows_leave_room_for_others(spark, tmp_path):
     index = neighbours.build(spark.createDataFrame(rows, "vec_id long, embedding array<double>").coalesce(1), str(tmp_path / "index"))
     got = found(neighbours.search(index, spark.createDataFrame([(1000, way.tolist())], "vec_id long, vector array<double>")))
     assert [i for i, _ in got[1000]] == list(range(400, 380, -1))
+
+
+def test_counts_are_inner_products_with_bits():
+    rng = np.random.default_rng(7)
+    bits, u = rng.integers(0, 2, (130, 192)), rng.integers(0, 16, (9, 192))
+    rotated = u * 0.25 - 1.0
+    rotated[:, 0], rotated[:, 1] = -1.0, 2.75  # so that u is what quantizing gives
+    q = neighbours.Quantized.of(rotated)
+    u = np.rint((rotated + 1) * 4).astype(int)
+    got = neighbours._counts(neighbours._words(np.packbits(bits.astype(np.uint8), axis=1, bitorder="little")), q.planes)
+    assert (got == bits @ u.T).all() and np.allclose(q.lost, 0, atol=1e-9)
+
+
+def test_scans_read_codes_and_few_rows_survive(spark, tmp_path):
+    rng = np.random.default_rng(8)
+    frame = spark.createDataFrame([(k, rng.standard_normal(64).tolist()) for k in range(2000)], "vec_id long, embedding array<double>")
+    index = neighbours.build(frame, str(tmp_path / "index"))
+    assert len(index.rows.first().code) == 64
+    queries = index.rows.where("vec_id % 200 = 0").select("vec_id", "vector")
+    ids = [r.vec_id for r in queries.collect()]
+    block = neighbours._Block.of(np.array(ids), np.array([r.vector for r in queries.collect()]), index.centroids[64], index.seed)
+    rows = index.rows.collect()
+    vectors = np.array([r.vector for r in rows])
+    exact = vectors @ block.vectors.T
+    kth = np.sort(exact, axis=0)[-21]
+    sieve = neighbours._sieve({64: block}, {64: kth}, 3.0)
+    left = index.rows.select(*neighbours.CODES).mapInArrow(sieve, "row long, queries array<int>").collect()
+    pairs = {(r.row, j) for r in left for j in r.queries}
+    assert len(pairs) < 0.15 * 2000 * len(ids)
+    wanted = {(rows[i].row, j) for i, j in zip(*np.nonzero(exact >= kth)) if rows[i].vec_id != ids[j]}
+    assert len(wanted & pairs) >= 0.99 * len(wanted)
+    plan = neighbours.mapped(index.rows.select(*neighbours.CODES), sieve, "row long, queries array<int>")._jdf.queryExecution().executedPlan().toString()
+    assert "vector" not in plan.split("ReadSchema")[1]
