@@ -16,6 +16,7 @@ from __future__ import annotations
 import json
 import random
 import re
+from collections.abc import Callable
 from dataclasses import dataclass
 from functools import cache
 
@@ -264,9 +265,22 @@ def train(seed: int = 7, copies: int = 8, rounds: int = 300, l2: float = 1e-3, f
 CUES = cues(0.5)
 
 
+def _alternatives(words: tuple[str, ...]) -> str:
+    """A pattern of the words that shares their beginnings, so that few branches are tried at a place."""
+    groups: dict[str, list[str]] = {}
+    for w in words:
+        groups.setdefault(w[:1], []).append(w[1:])
+    done = groups.pop("", None) is not None
+    parts = [(" " if c == " " else c).replace(" ", "[^a-z0-9]+") + _alternatives(tuple(rest)) for c, rest in sorted(groups.items())]
+    if not parts:
+        return ""
+    return f"(?:{'|'.join(parts)})" + ("?" if done else "") if done or len(parts) > 1 else parts[0]
+
+
 def has_cue(text: Column, words: tuple[str, ...] = CUES) -> Column:
-    some = "|".join(words).replace(" ", "[^a-z0-9]+")
-    return F.rlike(F.lower(text), F.lit(f"(?<![a-z0-9])(?:{some})(?![a-z0-9])")) if words else F.lit(True)
+    """Whether the text has one of the words, whole. Most places fail at the first letter's class."""
+    first = "".join(sorted({w[0] for w in words}))
+    return F.rlike(F.lower(text), F.lit(f"(?<![a-z0-9])(?=[{first}]){_alternatives(words)}(?![a-z0-9])")) if words else F.lit(True)
 
 
 def _gram_hashes(paragraph: Column) -> Column:
@@ -277,7 +291,7 @@ def _gram_hashes(paragraph: Column) -> Column:
         parts = [F.transform(F.sequence(F.lit(1), F.greatest(F.size(w) - n + 1, F.lit(1))), _window(w, n)) for n in SIZES]
         return F.array_distinct(F.concat(*[F.when(F.size(w) >= n, p).otherwise(F.array().cast("array<bigint>")) for p, n in zip(parts, SIZES, strict=True)]))
 
-    return F.element_at(F.transform(F.array(words), of), 1)
+    return _once(words, of)
 
 
 def _window(words: Column, n: int):
@@ -304,6 +318,11 @@ def _tables(spark: SparkSession, model: Classifier) -> tuple[DataFrame, DataFram
     )
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of the value, which is computed once and not in each place that names it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def _paragraphs(text: Column, words: tuple[str, ...] = CUES) -> Column:
     """Each line, and each two or more consecutive non-blank lines joined: array<struct<block, paragraph, joined, said>>.
 
@@ -318,13 +337,15 @@ def _paragraphs(text: Column, words: tuple[str, ...] = CUES) -> Column:
     def said(line: Column) -> Column:
         return F.regexp_replace(line, "^[0-9]+:", "")
 
-    def of(block: Column) -> Column:
-        full = F.filter(F.split(block, "\n", -1), lambda x: F.rlike(x, F.lit(r"^[0-9]+:[\s\S]*\S")))
-        first = number(F.get(full, F.lit(0)))
+    def listed(full: Column, first: Column) -> Column:
         alone = F.transform(full, lambda x: F.struct(first.alias("block"), number(x).alias("paragraph"), F.lit(False).alias("joined"), said(x).alias("said")))
         whole = F.struct(first.alias("block"), first.alias("paragraph"), F.lit(True).alias("joined"), F.array_join(F.transform(full, said), "\n").alias("said"))
         return F.when(F.size(full) > 1, F.concat(alone, F.array(whole))).otherwise(alone)
 
+    def of(block: Column) -> Column:
+        full = F.filter(F.split(block, "\n", -1), lambda x: F.rlike(x, F.lit(r"^[0-9]+:[\s\S]*\S")))
+        return _once(full, lambda f: _once(number(F.get(f, F.lit(0))), lambda first: listed(f, first)))
+
     return F.flatten(F.transform(F.filter(blocks, lambda x: has_cue(x, words)), of))
 
 
