@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import shared_dir, written
@@ -27,15 +27,16 @@ def composite_long(data: DataFrame, key: Sequence[str], components: Sequence[str
     """A row for each component and one for the mean of their normalized values.
 
     Columns: key, component, value (normalized, or the mean), raw (null for the mean), sources array<string>:
-    those of the component; the mean has all of them, sorted.
+    those of the component; the mean has those named ``aggregate``, or all of the components', sorted.
     """
-    sources = sources or {}
+    sources = dict(sources or {})
     none = F.array().cast("array<string>")
     own = {c: F.filter(sources.get(c, none), lambda x: x.isNotNull()) for c in components}
-    norm = normalized(data.withColumns({f"__src_{c}": s for c, s in own.items()}), components)
+    every = F.array_sort(F.array_distinct(F.concat(*own.values())))
+    norm = normalized(data.withColumns({f"__src_{c}": s for c, s in own.items()} | {"__src_mean": sources.get("aggregate", every)}), components)
     mean = sum((F.col(f"{c}_norm") for c in components[1:]), F.col(f"{components[0]}_norm")) / len(components)
     rows = {c: {"value": F.round(F.col(f"{c}_norm"), digits), "raw": F.round(F.col(c).cast("double"), digits), "sources": F.col(f"__src_{c}")} for c in components}
-    rows["aggregate"] = {"value": F.round(mean, digits), "raw": F.lit(None).cast("double"), "sources": F.array_sort(F.array_distinct(F.concat(*[F.col(f"__src_{c}") for c in components])))}
+    rows["aggregate"] = {"value": F.round(mean, digits), "raw": F.lit(None).cast("double"), "sources": F.col("__src_mean")}
     return unpivot(norm, key, rows, "component")
 
 
@@ -44,12 +45,14 @@ def index_components(pensions: DataFrame, employed: DataFrame, incomes: DataFram
 
     pensions: istat, total_count, total_millions, private, public, self_employed (counts);
     employed: istat, thousands; incomes: istat, amount (a row for each kind); offices: istat, count
-    (retributive, by office; an office of several provinces counts in each); projected: istat, count.
+    (retributive, by office; an office of several provinces counts in each) and, if provenance is to name
+    them, slug, which gives ``office_slugs``; projected: istat, count.
     d1 = pensions per employed person, d2 = pension spending by income, d3 = share of retributive
     pensions among the three managements.
     """
     income = incomes.groupBy("istat").agg(F.sum("amount").cast("double").alias("income"))
-    office = offices.groupBy("istat").agg(F.sum("count").alias("office"))
+    slugs = [F.array_sort(F.collect_set("slug")).alias("office_slugs")] if "slug" in offices.columns else []  # a province's offices are few
+    office = offices.groupBy("istat").agg(F.sum("count").alias("office"), *slugs)
     plan = projected.groupBy("istat").agg(F.sum("count").alias("plan"))
     all_ = pensions.join(employed, "istat").join(income, "istat").join(office, "istat").join(plan, "istat")
     return all_.select(
@@ -57,6 +60,7 @@ def index_components(pensions: DataFrame, employed: DataFrame, incomes: DataFram
         F.try_divide(F.col("total_count").cast("double"), F.col("thousands") * 1000).alias("d1"),
         F.try_divide(F.col("total_millions") * 1e6, F.col("income")).alias("d2"),
         F.try_divide((F.col("office") + F.col("plan")).cast("double"), F.col("private") + F.col("public") + F.col("self_employed")).alias("d3"),
+        *(["office_slugs"] if slugs else []),
     )
 
 
@@ -68,15 +72,9 @@ def ranked(data: DataFrame, value: str, tie: str) -> DataFrame:
     order = data.repartitionByRange(F.desc(value), F.col(tie)).sortWithinPartitions(F.desc(value), tie)
     placed = written(order.withColumn("__at", F.monotonically_increasing_id()), f"{shared_dir(data.sparkSession, 'ranks')}/rows")
     part, nth = F.shiftright("__at", 33), F.col("__at").bitwiseAND((1 << 33) - 1)
-    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n")).collect()  # a row for each partition
-    before, at = {}, 0
-    for r in sorted(sizes, key=lambda r: r["__part"]):
-        before[r["__part"]] = at
-        at += r["__n"]
-    if not before:
-        return data.withColumn("rank", F.lit(None).cast("bigint"))
-    base = F.create_map(*[F.lit(x).cast("bigint") for pair in before.items() for x in pair])
-    return placed.withColumn("rank", base[part] + nth + 1).drop("__at")
+    sizes = placed.groupBy(part.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))  # a row for each partition
+    base = sizes.select("__part", (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__base"))
+    return placed.withColumn("__part", part).join(F.broadcast(base), "__part").withColumn("rank", F.col("__base") + nth + 1).drop("__at", "__part", "__base")
 
 
 def quintile_colours(data: DataFrame, value: str, colours: Sequence[str]) -> DataFrame:

@@ -6,7 +6,7 @@ directly; ``EmitObservations`` adds the triple view.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,21 +31,43 @@ REGIME_COLUMNS = ["sede", "blank", *[f"{v}_{r}" for r in [*REGIMES, "TOT"] for v
 YEARS_COLUMNS = ["sede", "blank", *[f"{v}_{y}" for y in range(1998, 2027) for v in ("n", "media")]]
 
 
+# Codes of demographic indicators, the local names of their concepts and their units.
+INDICATORS = {
+    "POP014": ("ind-pop014", "%"),
+    "POP1564": ("ind-pop1564", "%"),
+    "POP65OVER": ("ind-pop65over", "%"),
+    "OLDAGEDEPR": ("ind-oldagedepr", "%"),
+    "AGEINDEX": ("ind-ageindex", "%"),
+    "MEANAGEP": ("ind-meanagep", "anni"),
+    "BIRTHRATE": ("ind-birthrate", "per mille"),
+    "LIFEEXP65T": ("ind-lifeexp65t", "anni"),
+}
+CC_BY = "https://creativecommons.org/licenses/by/4.0/"
+INCOME_KINDS = ("v2", "v4", "v5", "v6", "v7")
+
+
 def _coded(prefix: str, names: dict[str, str], v: Vocabulary) -> dict[str, str]:
     return {k: v(prefix + name) for k, name in names.items()}
 
 
 @dataclass
 class _CubeRecipe(Recipe):
-    """What all cubes share: the territory dimension, names, an optional output of triples."""
+    """What all cubes share: the territory dimension, names, an optional output of triples.
+
+    ``metadata`` (title, description, issued, source, license, rights) adds to the dataset's node or
+    replaces what the cube says of itself.
+    """
 
     dimension: DataFrame | None = None
     vocabulary: Vocabulary = Vocabulary()
     output: str | None = None
+    metadata: dict[str, str] = field(default_factory=dict)
 
     def emit(self, cube: str, template: str, dimensions: dict, **options) -> EmitObservations:
         v = self.vocabulary
-        return EmitObservations(v(cube), v(f"dsd-{cube}"), v.base + template, dimensions, output=self.output, **options)
+        about = " ".join((type(self).__doc__ or "").split())
+        own = {"title": cube.replace("-", " ").capitalize(), "description": about, "license": CC_BY}
+        return EmitObservations(v(cube), v(f"dsd-{cube}"), v.base + template, dimensions, output=self.output, metadata=own | self.metadata, **options)
 
 
 @dataclass
@@ -164,14 +186,14 @@ class Employment(_CubeRecipe):
 
 @dataclass
 class Demography(_CubeRecipe):
-    """Cube 6: province x year x indicator; union the yearly tables before. ``indicators`` maps codes to (concept, unit)."""
+    """Cube 6: province x year x indicator; union the yearly tables before. ``indicators`` maps codes to (concept, unit), INDICATORS if not given."""
 
     triples: DataFrame | None = None
     indicators: dict[str, tuple[str, str]] | None = None
 
     def build(self) -> Pipeline:
         v = self.vocabulary
-        table = self.indicators or {}
+        table = INDICATORS if self.indicators is None else self.indicators
         return Pipeline(
             [
                 RenameColumns({"TIME_PERIOD": "anno", "Osservazione": "valore", "DATA_TYPE": "indicatore"}),
@@ -192,7 +214,7 @@ class Incomes(_CubeRecipe):
 
     def build(self) -> Pipeline:
         v = self.vocabulary
-        kinds = {k: v(f"reddito-{k}") for k in ("v2", "v4", "v5", "v6", "v7")}
+        kinds = {k: v(f"reddito-{k}") for k in INCOME_KINDS}
         return Pipeline(
             [
                 AggregateIncomesByProvince(kinds),
@@ -209,16 +231,34 @@ class CompositeIndex(_CubeRecipe):
     """Cube 8: province x year x component. ``components`` has istat, d1, d2, d3 (``index_components``)."""
 
     year: int = 2026
+    work_year: int = 2025
+    income_year: int = 2024
     components: DataFrame | None = None
 
     @classmethod
     def from_tables(cls, pensions, employed, incomes, offices, projected, **options) -> CompositeIndex:
         return cls(components=index_components(pensions, employed, incomes, offices, projected), **options)
 
+    def sources(self) -> dict[str, Column]:
+        """The observations that each component was made from, and for the mean the three components' own.
+
+        Those of regimes by office are named where ``components`` has ``office_slugs``.
+        """
+        base, istat, year = self.vocabulary.base, F.col("istat"), self.year
+        of = lambda stem, *rest: F.concat(F.lit(f"{base}{stem}-"), istat, F.lit("".join(f"-{x}" for x in rest)))
+        total = of("obs-vigenti", year, "TOT")
+        d3 = F.array(*[of("obs-vigenti", year, m) for m in ("PRIV", "PUB", "AUTO")], of("obs-planb", year, REGIMES["RETR"]))
+        if "office_slugs" in self.components.columns:
+            d3 = F.concat(d3, F.transform("office_slugs", lambda x: F.concat(F.lit(f"{base}obs-regime-"), x, F.lit(f"-{year}-RETR-{MEASURES['count']}"))))
+        return {
+            "d1": F.array(total, of("obs-occupati", self.work_year)),
+            "d2": F.array(total, *[of("obs-redditi", self.income_year, k) for k in INCOME_KINDS]),
+            "d3": d3,
+            "aggregate": F.array(*[of("obs-index", year, d) for d in ("d1", "d2", "d3")]),
+        }
+
     def long(self) -> DataFrame:
-        v = self.vocabulary
-        own = {d: F.array(F.concat(F.lit(f"{v.base}src-{d}-"), F.col("istat"))) for d in ("d1", "d2", "d3")}
-        return composite_long(self.components, ["istat"], ["d1", "d2", "d3"], own)
+        return composite_long(self.components, ["istat"], ["d1", "d2", "d3"], self.sources())
 
     def build(self) -> Pipeline:
         v = self.vocabulary

@@ -83,7 +83,8 @@ def test_components_and_index_cube(spark):
     assert rows == {"001": (pytest.approx(1.5), 0.5, 0.5), "002": (pytest.approx(1.0), 0.25, 0.25)}
     cube = CompositeIndex.from_tables(pensions, employed, incomes, offices, plan).make()
     assert cube.data.count() == 8 and cube.history[-1].metrics["observations_emitted"] == 8
-    assert cube.data.where("component = 'aggregate' and istat = '001'").first().sources == ["https://example.org/cubes/src-d1-001", "https://example.org/cubes/src-d2-001", "https://example.org/cubes/src-d3-001"]
+    assert cube.data.where("component = 'aggregate' and istat = '001'").first().sources == [f"https://example.org/cubes/obs-index-001-2026-{d}" for d in ("d1", "d2", "d3")]
+    assert cube.data.where("component = 'd1' and istat = '001'").first().sources == ["https://example.org/cubes/obs-vigenti-001-2026-TOT", "https://example.org/cubes/obs-occupati-001-2025"]
 
 
 def emitter(**options):
