@@ -11,10 +11,15 @@ from pyspark.sql import functions as F
 from ..core import ColumnStep, Dataset, PipelineStep, distinct_names, need, renamed
 from ..functions.numbers import NO_NUMBER, italian_number, java_pattern, to_number
 from ..functions.text import normalize_text, snake_case, strip, strip_accents, title_case
+from .quantiles import exact_quantiles
 
 NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double", "decimal")
 
 
+#: How many values a metric lists at most, the first in order.
+LISTED = 1000
+
+
 def is_numeric(kind: str) -> bool:
     return kind.startswith(NUMERIC)
 
@@ -120,7 +125,7 @@ class ParseDates(PipelineStep):
 
 
 class FillMissing(PipelineStep):
-    """Fill nulls and NaN with each column's mean or exact median, or a constant; one aggregation for all columns."""
+    """Fill nulls and NaN with each column's mean, from one aggregation for all columns, or its exact median, or a constant."""
 
     def __init__(self, columns: Sequence[str] | str, strategy: str = "mean", value: Any = None):
         super().__init__()
@@ -136,12 +141,12 @@ class FillMissing(PipelineStep):
         need(data, self.columns)
         kinds = dict(data.dtypes)
         known = {c: F.nanvl(data[c], F.lit(None)) if kinds[c] in ("double", "float") else data[c] for c in self.columns}
-        measure = {"mean": F.avg, "median": F.median}.get(self.strategy)
-        row = data.agg(*[F.count(known[c]).alias(f"n{k}") for k, c in enumerate(self.columns)], F.count(F.lit(1)).alias("n"), *[measure(known[c]).alias(f"v{k}") for k, c in enumerate(self.columns) if measure]).first()
+        means = [F.avg(known[c]).alias(f"v{k}") for k, c in enumerate(self.columns) if self.strategy == "mean"]
+        row = data.agg(*[F.count(known[c]).alias(f"n{k}") for k, c in enumerate(self.columns)], F.count(F.lit(1)).alias("n"), *means).first()
         made, filled = {}, {}
         for k, c in enumerate(self.columns):
-            value = row[f"v{k}"] if measure else self.value
-            made[c] = known[c] if value is None else F.coalesce(known[c].cast("double") if measure and is_numeric(kinds[c]) else known[c], F.lit(value))
+            value = row[f"v{k}"] if means else self.value if self.strategy == "constant" else (exact_quantiles(data, known[c], [0.5]) or [None])[0]
+            made[c] = known[c] if value is None else F.coalesce(known[c].cast("double") if self.strategy != "constant" and is_numeric(kinds[c]) else known[c], F.lit(value))
             filled[c] = row["n"] - row[f"n{k}"]
         return self.done(dataset, data.withColumns(made), {"columns": self.columns, "strategy": self.strategy, "value": self.value}, {"filled_per_column": filled})
 
@@ -187,7 +192,7 @@ class EnrichWithStaticMapping(PipelineStep):
             raise ValueError(f"values of {self.source!r} without a mapping: {found}")
         kept = [data[c] for c in data.columns if c not in self.mappings]
         out = data.join(F.broadcast(table), key == table["__key"], "left").select(*kept, *[table[t] for t in self.mappings])
-        return self.done(dataset, out, {"source": self.source, "targets": list(self.mappings)}, lambda: {"unmatched": sorted(r.v for r in missing.collect())})
+        return self.done(dataset, out, {"source": self.source, "targets": list(self.mappings)}, lambda: {"unmatched": [r.v for r in missing.orderBy("v").limit(LISTED).collect()]})
 
 
 class EstimateAnnualAmount(PipelineStep):

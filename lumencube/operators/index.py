@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..scratch import shared_dir, written
+from .quantiles import exact_quantiles
 from .reshape import unpivot
 
 
@@ -80,7 +81,7 @@ def ranked(data: DataFrame, value: str, tie: str) -> DataFrame:
 def quintile_colours(data: DataFrame, value: str, colours: Sequence[str]) -> DataFrame:
     """``bucket`` and ``colour``: the first of the quantiles 1/n, 2/n, ... that is at least the value."""
     n = len(colours)
-    cuts = data.agg(F.percentile(value, [k / n for k in range(1, n + 1)])).first()[0]
+    cuts = exact_quantiles(data, F.col(value), [k / n for k in range(1, n + 1)])
     if cuts is None:
         return data.withColumn("bucket", F.lit(None).cast("int")).withColumn("colour", F.lit(None).cast("string"))
     ladder = F.lit(n - 1)

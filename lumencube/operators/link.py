@@ -15,6 +15,7 @@ from ..core import Dataset, PipelineStep, need
 from ..functions.fuzzy import best_matches
 from ..functions.text import last_segment, province_key, slugify
 from .closure import transitive_closure
+from .columns import LISTED
 
 CLV = "https://w3id.org/italia/onto/CLV/"
 SKOS = "http://www.w3.org/2004/02/skos/core#"
@@ -104,7 +105,8 @@ class _Lookup(PipelineStep):
 
         def measure():
             r = out.agg(F.count(F.lit(1)).alias("n"), F.count(self.outputs["uri"]).alias("hit")).first()
-            return {"matched": r.hit, "unmatched": r.n - r.hit, "unmatched_codes": sorted(str(x[0]) for x in lost.select(self.source).distinct().collect())}
+            codes = lost.select(F.col(self.source).cast("string").alias("c")).distinct()
+            return {"matched": r.hit, "unmatched": r.n - r.hit, "unmatched_codes": [str(x.c) for x in codes.orderBy("c").limit(LISTED).collect()], "n_unmatched_codes": codes.count()}
 
         return self.done(dataset, out, {"source": self.source}, measure)
 

@@ -773,13 +773,15 @@ class Engine:
             return not solution.frame.isEmpty()
         return solution.frame.select(*[F.col(f"`{v}`")["v"].alias(v) for v in solution.variables])
 
-    def to_json_result(self, text: str) -> dict:
-        """{columns, rows, row_count}, or {error} for a query that can't be run."""
+    def to_json_result(self, text: str, most: int = 10_000) -> dict:
+        """{columns, rows, row_count}, or {error} for a query that can't be run or has more than ``most`` rows, which ``query`` gives as a DataFrame."""
         try:
             found = self.query(text)
             if isinstance(found, bool):
                 return {"columns": ["ask"], "rows": [{"ask": found}], "row_count": 1}
-            rows = [r.asDict() for r in found.collect()]
+            rows = [r.asDict() for r in found.limit(most + 1).collect()]
+            if len(rows) > most:
+                return {"error": f"more than {most} rows"}
             return {"columns": found.columns, "rows": rows, "row_count": len(rows)}
         except SparqlError as error:
             return {"error": str(error)}

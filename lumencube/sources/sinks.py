@@ -54,10 +54,15 @@ def save_dataset(dataset: Dataset, path: str, *, format: str | None = None, save
 
 def _single(data: DataFrame, path: str, kind: str, options: dict) -> None:
     if kind == "json":
-        rows = [json.loads(r) for r in data.coalesce(1).toJSON().toLocalIterator()]
-        full = [{c: r.get(c) for c in data.columns} for r in rows]
         with open(path, "w", encoding="utf-8") as out:
-            json.dump(full, out, indent=2, ensure_ascii=False)
+            end = ""
+            out.write("[")
+            for line in data.coalesce(1).toJSON().toLocalIterator():  # row by row
+                row = json.loads(line)
+                text = json.dumps({c: row.get(c) for c in data.columns}, indent=2, ensure_ascii=False)
+                out.write(("," if end else "") + "\n" + "\n".join("  " + x for x in text.split("\n")))
+                end = "\n"
+            out.write(end + "]")
         return
     parts = f"{path}.parts"
     if kind == "csv":

@@ -174,3 +174,18 @@ def test_best_matches(spark):
             if -score >= least:
                 want[key] = (words[i], i)
         assert got == want
+
+
+def test_exact_quantiles(spark):
+    import random
+
+    import numpy as np
+
+    from lumencube.operators.quantiles import exact_quantiles
+
+    rng = random.Random(4)
+    shares = [0.0, 0.2, 0.5, 0.777, 1.0]
+    for values in ([5.0], [1.0, 2.0], [3.0] * 40, [rng.choice([0.0, 1.0, rng.random()]) for _ in range(5001)], [rng.gauss(0, 1e6) for _ in range(30_000)]):
+        frame = spark.createDataFrame([(x,) for x in [*values, None, float("nan")]], "x double")
+        assert np.allclose(exact_quantiles(frame, frame.x, shares), np.quantile(values, shares), rtol=1e-9, atol=1e-12)
+    assert exact_quantiles(frame.limit(0), frame.x, shares) is None
