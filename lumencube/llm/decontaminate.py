@@ -5,23 +5,25 @@ equal tokens in a row) are tiled: again and again the longest matches of tokens
 are found by running Karp-Rabin at a shrinking search length and marked, so passages whose parts
 were reordered count as well. The share of the item's tokens under tiles is its coverage.
 
-The benchmark goes to the executors in blocks of at most ``block_bytes`` of text, one pass over the
-documents for each block, so its size never breaks a broadcast.
+Neither side is broadcast. Every seed of the benchmark sets a bit of a filter of at most ``block_bytes``,
+and one pass over the documents keeps, of each, the runs of tokens whose seeds pass it (as 64-bit hashes
+of the tokens). The seeds of those runs are joined with the benchmark's on the shuffle, each different text
+once; a pair whose shared seeds could not cover enough of the item goes, the others are tiled.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import repeat
+from math import log2
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
-from pyspark.sql import DataFrame, SparkSession
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, slices, text_bytes
+from .common import mapped, shared_dir, slices, text_bytes, written
 
 _TOKEN = re.compile(r"\w+")
 # A Mersenne prime and the base of the rolling hash.
@@ -102,88 +104,19 @@ def tile(item: list[int], doc: list[int], least: int) -> list[tuple[int, int, in
         size = max(least, size // 2)
 
 
-class Bench:
-    """A block of test items with its vocabulary and seeds; words that no item has are 0 in a document.
+def token_ids(words: list[bytes]) -> np.ndarray:
+    """A 64-bit hash of each token."""
+    return np.fromiter(map(xxhash.xxh64_intdigest, words), np.uint64, len(words))
 
-    Items are keyed by their place in the block, as item ids may be null or shared; ``names`` has the ids.
-    """
 
-    def __init__(self, items: list[tuple[int | None, str]], seed_words: int):
-        self.names = [name for name, _ in items]
-        self.vocabulary: dict[bytes, int] = {}
-        self.items: dict[int, list[int]] = {}
-        self.seeds: dict[tuple, list[int]] = {}
-        self.shortest = seed_words
-        for key, (_, text) in enumerate(items):
-            ids = [self.vocabulary.setdefault(w, len(self.vocabulary) + 1) for w in tokens(text.encode())]
-            if ids:
-                self.items[key] = ids
-        self.least = {key: min(seed_words, len(ids)) for key, ids in self.items.items()}
-        for key, ids in self.items.items():
-            n = self.least[key]
-            for k in range(len(ids) - n + 1):
-                owners = self.seeds.setdefault(tuple(ids[k : k + n]), [])
-                if not owners or owners[-1] != key:
-                    owners.append(key)
-        self.sizes = sorted(set(self.least.values()))
-        self.first = {n: np.unique([hash_pair(s, n) for s in self.seeds if len(s) == n]) for n in self.sizes}
-
-    def ids(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.vocabulary.get, words, repeat(0)), np.int64, len(words))
-
-    def shared(self, ids: np.ndarray) -> set[int]:
-        """Items that share a seed with the document."""
-        out: set[int] = set()
-        for n in self.sizes:
-            if len(ids) < n:
-                continue
-            some = ids > 0
-            known = some[: len(ids) - n + 1].copy()
-            for k in range(1, n):
-                known &= some[k : len(ids) - n + 1 + k]
-            at = np.flatnonzero(known)
-            if not len(at):
-                continue
-            value = np.zeros(len(at), np.uint64)
-            for k in range(n):
-                value = value * np.uint64(BASE) + ids[at + k].astype(np.uint64)
-            first = self.first[n]
-            place = np.minimum(np.searchsorted(first, value), len(first) - 1)
-            at = at[first[place] == value]
-            for k in at.tolist():
-                out.update(self.seeds.get(tuple(ids[k : k + n].tolist()), ()))
-        return out
-
-    def overlaps(self, raw: bytes) -> Iterator[tuple[int, float, int, int, list]]:
-        """(item id, coverage, covered tokens, longest tile, tiles) for each item that shares a seed."""
-        ids = self.ids(tokens(raw)) if len(raw) <= PIECE else np.concatenate([self.ids(tokens(x)) for x in _pieces(raw)])
-        for key in sorted(self.shared(ids)):
-            item, least = self.items[key], self.least[key]
-            own, places = self._regions(ids, item, least, len(self.vocabulary))
-            tiles = tile(item, own, least)
-            covered = sum(n for _, _, n in tiles)
-            yield self.names[key], covered / len(item), covered, max((n for _, _, n in tiles), default=0), [(i, places[j], n) for i, j, n in tiles]
-
-    @staticmethod
-    def _regions(ids: np.ndarray, item: list[int], least: int, vocabulary: int) -> tuple[list[int], list[int]]:
-        """The document's runs of at least ``least`` words of the item, with a 0 between them; and their places."""
-        known = np.zeros(vocabulary + 1, bool)
-        known[item] = True
-        of_item = known[ids]
-        edges = np.flatnonzero(np.diff(np.concatenate([[False], of_item, [False]]).astype(np.int8)))
-        own, places = [], []
-        for s, e in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
-            if e - s >= least:
-                own += [*ids[s:e].tolist(), 0]
-                places += range(s, e + 1)
-        return own, places
-
-
-def hash_pair(seed: tuple, n: int) -> np.uint64:
-    value = 0
-    for x in seed:
-        value = (value * BASE + x) & 0xFFFFFFFFFFFFFFFF
-    return np.uint64(value)
+def seed_values(ids: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of every window of ``size`` tokens."""
+    n = max(0, len(ids) - size + 1)
+    value = np.full(n, size, np.uint64)
+    for k in range(size):
+        value = value * np.uint64(0x9E3779B97F4A7C15) + ids[k : n + k]
+        value ^= value >> np.uint64(29)
+    return value
 
 
 def _pieces(raw: bytes) -> Iterator[bytes]:
@@ -197,70 +130,163 @@ def _pieces(raw: bytes) -> Iterator[bytes]:
         at = end
 
 
-def _blocks(spark: SparkSession, benchmark: DataFrame, item_col: str, item_text: str, block_bytes: int, null_ids: bool = False) -> list[Broadcast]:
-    """The benchmark's items in broadcasts of about ``block_bytes`` of text each, those without an id too if ``null_ids``."""
-    items = benchmark.where((F.lit(null_ids) | F.col(item_col).isNotNull()) & F.col(item_text).isNotNull()).select(F.col(item_col).cast("long").alias("item"), F.col(item_text).cast("string").alias("text"))
-    items = items.dropDuplicates(["item", "text"])
-    n = max(1, -(-int(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
-    out = []
-    for b in range(n):
-        rows = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == b).orderBy("item", "text").collect()
-        out.append(spark.sparkContext.broadcast([(r.item, r.text) for r in rows]))
-    return out
-
-
-def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", seed_words: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
-    """Every document's coverage of every test item with which it shares a seed.
+def _ids_of(raw: bytes) -> np.ndarray:
+    return token_ids(tokens(raw)) if len(raw) <= PIECE else np.concatenate([token_ids(tokens(x)) for x in _pieces(raw)])
+
+
+def passing_runs(raw: bytes, bits: np.ndarray, sizes: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+    """(tokens, their places, distinct seeds) of the runs whose seeds pass the filter, a token 0 after each run; None if none does."""
+    ids, seeds = _ids_of(raw), []
+    mask = np.uint64(len(bits) * 8 - 1)
+    change = np.zeros(len(ids) + 1, np.int32)
+    for size in sizes:
+        value = seed_values(ids, size)
+        place = value & mask
+        at = np.flatnonzero(bits[place >> np.uint64(3)] >> (place & np.uint64(7)).astype(np.uint8) & 1)
+        if len(at):
+            change += np.bincount(at, minlength=len(change))
+            change -= np.bincount(at + size, minlength=len(change))
+            seeds.append(value[at])
+    if not seeds:
+        return None
+    inside = np.cumsum(change[:-1]) > 0
+    inside = np.append(inside, False)
+    last = inside.copy()
+    last[1:] |= inside[:-1]  # and the place after each run, for its 0
+    places = np.flatnonzero(last)
+    kept = np.where(inside, np.append(ids, np.uint64(0)), np.uint64(0))[places]
+    return kept, places, np.unique(np.concatenate(seeds))
+
+
+def tile_runs(item: list[int], least: int, kept: list[int], places: list[int]) -> list[tuple[int, int, int]]:
+    """Tiles (item place, document place, length) of an item in a document's runs."""
+    names = {x: k + 1 for k, x in enumerate(dict.fromkeys(item))}
+    own, at, run = [], [], []
+    for x, place in zip([*kept, 0], [*places, -1], strict=True):
+        known = names.get(x, 0)
+        if known and (not run or place == run[-1][1] + 1):
+            run.append((known, place))
+            continue
+        if len(run) >= least:  # a shorter run of the item's words holds no tile
+            own += [*(k for k, _ in run), 0]
+            at += [*(p for _, p in run), -1]
+        run = [(known, place)] if known else []
+    return [(i, at[j], n) for i, j, n in tile([names[x] for x in item], own, least)]
+
+
+def text_key(text: Column) -> tuple[Column, Column]:
+    """128 bits that stand for a text."""
+    return F.xxhash64(text), F.xxhash64(F.lit(1), text)
+
+
+def _benchmark(benchmark: DataFrame, item_col: str, item_text: str, seed_words: int, null_ids: bool, home: str) -> tuple[DataFrame, DataFrame]:
+    """The items (key, item_id, least, ids) and their seeds (seed, key, cover): ``cover`` tokens at most are in windows of the seed."""
+    rows = benchmark.where((F.lit(null_ids) | F.col(item_col).isNotNull()) & F.col(item_text).isNotNull())
+    rows = rows.select(F.col(item_col).cast("long").alias("item_id"), F.col(item_text).cast("string").alias("text")).dropDuplicates(["item_id", "text"])
+
+    def items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            ids = [_ids_of(raw).view(np.int64) if raw else np.empty(0, np.int64) for raw in text_bytes(batch.column(2))]
+            least = [min(seed_words, len(x)) for x in ids]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(least, pa.int32()), pa.array(ids, pa.list_(pa.int64()))], names=["key", "item_id", "least", "ids"])
+
+    made = mapped(rows.select(F.monotonically_increasing_id().alias("key"), "item_id", "text"), items, "key long, item_id long, least int, ids array<long>")
+    made = written(made.where(F.col("least") > 0), f"{home}/items")
+
+    def seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            for key, least, ids in zip(*(batch[c].to_pylist() for c in ("key", "least", "ids")), strict=True):
+                seed, many = np.unique(seed_values(np.array(ids, np.int64).view(np.uint64), least), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(seed.view(np.int64)), pa.array(np.full(len(seed), key)), pa.array(many * least), pa.array(np.full(len(seed), least, np.int32))], names=["seed", "key", "cover", "size"])
+
+    return made, written(mapped(made, seeds, "seed long, key long, cover long, size int"), f"{home}/seeds")
+
+
+def _filter(seeds: DataFrame, most_bytes: int) -> tuple[np.ndarray, list[int]]:
+    """A bit for each seed, about 256 bits a seed up to ``most_bytes`` (4 KiB at least); and the seeds' sizes."""
+    shape = seeds.agg(F.count(F.lit(1)).alias("n"), F.collect_set("size").alias("sizes")).first()  # sizes: at most seed_words
+    power = max(15, min(int(log2(256 * max(shape.n, 1))) + 1, int(log2(max(1, 8 * most_bytes)))))
+    place = F.col("seed").bitwiseAND((1 << power) - 1)
+    parts = seeds.groupBy(F.shiftright(place, 15).alias("part")).agg(F.bitmap_construct_agg(place.bitwiseAND(32767)).alias("bits")).collect()  # most_bytes in all
+    bits = np.zeros(1 << power - 3, np.uint8)
+    for r in parts:
+        bits[r.part << 12 : (r.part + 1) << 12] = np.frombuffer(bytes(r.bits), np.uint8)
+    return bits, sorted(shape.sizes)
+
+
+_TILES = "array<struct<item_at:int,doc_at:long,length:int>>"
+
+
+def _tiled(docs: DataFrame, benchmark: DataFrame, id_col: str | None, text_col: str, item_col: str, item_text: str, seed_words: int, block_bytes: int, least_coverage: float, null_ids: bool) -> tuple[DataFrame, DataFrame]:
+    """Coverage of items by texts (h1, h2, item_id, coverage, covered, longest, tiles), and the rows (doc_id, h1, h2) of texts with passing runs."""
+    home = shared_dir(docs.sparkSession)
+    items, seeds = _benchmark(benchmark, item_col, item_text, seed_words, null_ids, home)
+    bits, sizes = _filter(seeds, block_bytes)
+    shared = docs.sparkSession.sparkContext.broadcast(bits)  # at most block_bytes
+
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = shared.value
+        for batch in slices(batches):
+            found = [passing_runs(raw, own, sizes) if raw else None for raw in text_bytes(batch.column(3))]
+            some = [x for x in found if x is not None]
+            if some:
+                part = batch.filter(pa.array([x is not None for x in found], pa.bool_()))
+                lists = [pa.array([x[k].view(np.int64) for x in some], pa.list_(pa.int64())) for k in range(3)]
+                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), part.column(2), *lists], names=["doc_id", "h1", "h2", "ids", "places", "seeds"])
+
+    text = F.col(text_col).cast("string")
+    key = F.col(id_col).cast("long") if id_col else F.lit(None).cast("long")
+    h1, h2 = text_key(text)
+    source = docs.where(text.isNotNull()).select(key.alias("doc_id"), h1.alias("h1"), h2.alias("h2"), text.alias("text"))
+    rows = written(mapped(source, runs, "doc_id long, h1 long, h2 long, ids array<long>, places array<long>, seeds array<long>"), f"{home}/rows")
+    texts = written(rows.drop("doc_id").dropDuplicates(["h1", "h2"]), f"{home}/texts")
+    pairs = texts.select("h1", "h2", F.explode("seeds").alias("seed")).join(seeds, "seed").groupBy("h1", "h2", "key").agg(F.sum("cover").alias("cover"))
+    pairs = pairs.join(items.select("key", F.size("ids").alias("size")), "key").where(F.col("cover") >= F.col("size") * least_coverage - 1e-6)
+    pairs = written(pairs.select("h1", "h2", "key"), f"{home}/pairs")
+
+    def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.list_(pa.struct([("item_at", pa.int32()), ("doc_at", pa.int64()), ("length", pa.int32())])))
+        names = ("h1", "h2", "item_id", "coverage", "covered", "longest", "tiles")
+        for batch in slices(batches):
+            columns: tuple[list, ...] = tuple([] for _ in names)
+            for h1, h2, item_id, least, item, kept, places in zip(*(batch[c].to_pylist() for c in ("h1", "h2", "item_id", "least", "item", "ids", "places")), strict=True):
+                found = tile_runs(item, least, kept, places)
+                covered = sum(n for _, _, n in found)
+                row = (h1, h2, item_id, covered / len(item), covered, max((n for _, _, n in found), default=0), [{"item_at": i, "doc_at": j, "length": n} for i, j, n in found])
+                for column, x in zip(columns, row, strict=True):
+                    column.append(x)
+            yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=list(names))
+
+    both = pairs.join(texts.drop("seeds"), ["h1", "h2"]).join(items.select("key", "item_id", "least", F.col("ids").alias("item")), "key")
+    made = mapped(both.select("h1", "h2", "item_id", "least", "item", "ids", "places"), tiles, f"h1 long, h2 long, item_id long, coverage double, covered int, longest int, tiles {_TILES}")
+    return written(made, f"{home}/tiled"), rows.select("doc_id", "h1", "h2")
+
+
+def overlaps(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", seed_words: int = 5, block_bytes: int = 32 << 20, least_coverage: float = 0.0) -> DataFrame:
+    """Every document's coverage of every test item with which it shares a seed, if it may reach ``least_coverage``.
 
     Returns doc_id, item_id, coverage (0 to 1), covered, longest, tiles array<struct<item_at, doc_at,
     length>> (in tokens). Items under ``seed_words`` tokens must match whole. Null texts, texts without
     a token and null items or ids of items match nothing; rows with a null id keep their matches; repeated
     rows of documents repeat, repeated items (id and text) count once, and texts that share an id have a row each; empty tables give an empty result.
     """
-    shared_blocks = _blocks(docs.sparkSession, benchmark, item_col, item_text, block_bytes)
-    source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    tiles_of = pa.list_(pa.struct([("item_at", pa.int32()), ("doc_at", pa.int64()), ("length", pa.int32())]))
-    out = None
-    for shared in shared_blocks:
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            bench = Bench(shared.value, seed_words)
-            for batch in slices(batches):
-                columns = ([], [], [], [], [], [])
-                for key, raw in zip(batch.column(0).to_pylist(), text_bytes(batch.column(1)), strict=True):
-                    for item, coverage, covered, longest, tiles in bench.overlaps(raw) if raw else ():
-                        row = (key, item, coverage, covered, longest, [{"item_at": i, "doc_at": j, "length": n} for i, j, n in tiles])
-                        for column, x in zip(columns, row, strict=True):
-                            column.append(x)
-                kinds = (pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), tiles_of)
-                yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(columns, kinds, strict=True)], names=["doc_id", "item_id", "coverage", "covered", "longest", "tiles"])
-
-        got = mapped(source, run, "doc_id long, item_id long, coverage double, covered int, longest int, tiles array<struct<item_at:int,doc_at:long,length:int>>")
-        out = got if out is None else out.unionByName(got)
-    return out
+    tiled, rows = _tiled(docs, benchmark, id_col, text_col, item_col, item_text, seed_words, block_bytes, least_coverage, False)
+    return rows.join(tiled, ["h1", "h2"]).select("doc_id", "item_id", "coverage", "covered", "longest", "tiles")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, **columns) -> DataFrame:
     """The pairs whose coverage is ``threshold`` or more; as for ``overlaps``."""
-    return overlaps(docs, benchmark, **columns).where(F.col("coverage") >= threshold)
+    return overlaps(docs, benchmark, least_coverage=threshold, **columns).where(F.col("coverage") >= threshold)
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", seed_words: int = 5, block_bytes: int = 8 << 20) -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6, text_col: str = "text", item_col: str = "item_id", item_text: str = "text", seed_words: int = 5, block_bytes: int = 32 << 20) -> DataFrame:
     """The rows and columns of ``docs`` that cover no test item by ``threshold`` or more, test items without an id
     included; nulls and empty texts stay.
 
-    A filter inside each task, one after the other for the benchmark's blocks: nothing is shuffled.
+    Leaking texts are few rows of two numbers; documents are anti-joined with them by the same numbers.
     """
-    names, kinds = docs.columns, docs.schema
-    at = names.index(text_col)
-    out = docs
-    for shared in _blocks(docs.sparkSession, benchmark, item_col, item_text, block_bytes, null_ids=True):
-
-        def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
-            bench = Bench(shared.value, seed_words)
-            for batch in slices(batches):
-                clean = [not raw or all(c < threshold for _, c, *_ in bench.overlaps(raw)) for raw in text_bytes(batch.column(at))]
-                yield batch.filter(pa.array(clean, pa.bool_()))
-
-        out = mapped(out, run, kinds)
-    return out
+    tiled, _ = _tiled(docs, benchmark, None, text_col, item_col, item_text, seed_words, block_bytes, threshold, True)
+    leaks = tiled.where(F.col("coverage") >= threshold).select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2")).distinct()
+    leaks = written(leaks, f"{shared_dir(docs.sparkSession)}/leaks")
+    h1, h2 = text_key(docs[text_col].cast("string"))
+    return docs.join(leaks, (h1 == F.col("__h1")) & (h2 == F.col("__h2")), "left_anti")
