@@ -272,6 +272,13 @@ class TitleCase(ColumnStep):
         return title_case(column)
 
 
+class NormalizeCity(ColumnStep):
+    """Name of a city without white space around it, in title case."""
+
+    def transform_column(self, column: Column, name: str) -> Column:
+        return title_case(strip(column))
+
+
 class SmartTrim(ColumnStep):
     """At most so many characters: ``limits`` by column, else ``default``."""
 
@@ -284,7 +291,14 @@ class SmartTrim(ColumnStep):
 
 
 class FormatItalianPhone(ColumnStep):
-    """Digits only, without 00 and then 39 in front, after "+39 "; null if nothing is left."""
+    """Digits only, without 00 and then 39 in front, after "+39 "; null if nothing is left. ``n_changed`` counts the cells that differ after."""
+
+    def apply(self, dataset: Dataset) -> Dataset:
+        before = dataset.data
+        made = super().apply(dataset)
+        differs = [F.count_if(~before[c].cast("string").eqNullSafe(self.transform_column(before[c], c))) for c in self.columns]
+        count = lambda: {"n_changed": sum(before.agg(*differs).first())}
+        return self.done(dataset, made.data, {"columns": self.columns}, count)
 
     def transform_column(self, column: Column, name: str) -> Column:
         digits = F.regexp_replace(column.cast("string"), r"\D", "")

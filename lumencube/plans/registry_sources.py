@@ -172,6 +172,16 @@ def strip_string_columns(spark, d):
     return run(rows, C.StripStringColumns())
 
 
+@query("SELECT s_suppkey, 'Supplier#' || lpad(CAST(s_suppkey AS VARCHAR), 9, '0') AS city, (SELECT count(*) FROM supplier WHERE s_suppkey % 3 <> 0) AS n_changed FROM supplier")
+def city_and_phone_steps(spark, d):
+    """A city's name, and how many phone cells a step changed."""
+    s = t(spark, d, "supplier")
+    plain = F.concat(F.lit("+39 "), (F.col("s_suppkey") + 1000).cast("string"))
+    rows = s.select("s_suppkey", F.concat(F.lit("  "), F.upper("s_name"), F.lit(" ")).alias("city"), F.when(nth("s_suppkey", 3) == 0, plain).otherwise(F.replace(plain, F.lit("+39 "), F.lit("0039-"))).alias("phone"))
+    done = Pipeline([C.NormalizeCity("city"), C.FormatItalianPhone("phone")], on_error="raise").run(Dataset(rows))
+    return done.data.select("s_suppkey", "city", F.lit(done.history[-1].metrics["n_changed"]).cast("bigint").alias("n_changed"))
+
+
 @query("SELECT n_nationkey FROM nation WHERE n_nationkey < 10")
 def pipeline_skips_errors(spark, d):
     """A step that fails is left out and the others run."""

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import re
 import tempfile
 import uuid
 
@@ -21,7 +22,7 @@ def shared_dir(spark: SparkSession, label: str = "lumencube") -> str:
     conf = spark.sparkContext.getConf()
     base = conf.get("spark.checkpoint.dir")
     if not base:
-        if not conf.get("spark.master", "local").startswith("local"):
+        if not re.fullmatch(r"local(\[.*\])?", conf.get("spark.master", "local")):  # local-cluster has executors of its own
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = tempfile.mkdtemp(prefix="lumencube-")
         spark.sparkContext._conf.set("spark.checkpoint.dir", base)
