@@ -21,7 +21,8 @@ def transitive_closure(edges: DataFrame, a: str = "a", b: str = "b", max_rounds:
     for k in range(1, max_rounds + 1):
         left = new.select("a", F.col("b").alias("m")).join(known.select(F.col("a").alias("m"), "b"), "m").select("a", "b")
         right = known.select("a", F.col("b").alias("m")).join(new.select(F.col("a").alias("m"), "b"), "m").select("a", "b")
-        new = written(left.unionByName(right).distinct().join(known, ["a", "b"], "left_anti"), f"{home}/new{k}")
+        found = left if k == 1 else left.unionByName(right)  # at first all pairs are new
+        new = written(found.distinct().join(known, ["a", "b"], "left_anti"), f"{home}/new{k}")
         if new.isEmpty():
             return known
         known = written(known.unionByName(new), f"{home}/{k}")

@@ -494,20 +494,12 @@ def bridge_one_to_many(spark, d):
     return step.bridge(linked)
 
 
-# The hierarchy of manufacturers in miniature: part keys under 400, each with two lower ones, and a cycle.
-_EDGES = "SELECT p_partkey % 400 AS a, (p_partkey % 400) // 3 AS b FROM part UNION SELECT (p_partkey % 400), (p_partkey % 400) // 5 FROM part UNION SELECT 0, 7 FROM part"
+# A hierarchy over all part keys, each with two lower ones, and a cycle.
+_EDGES = "SELECT p_partkey AS a, p_partkey // 3 AS b FROM part UNION SELECT p_partkey, p_partkey // 5 FROM part UNION SELECT 0, 7 FROM part"
 
 
 @query(f"WITH RECURSIVE e AS ({_EDGES}), r AS (SELECT a, b FROM e UNION SELECT r.a, e.b FROM r JOIN e ON r.b = e.a) SELECT CAST(a AS BIGINT) AS a, CAST(b AS BIGINT) AS b FROM r")
 def transitive_pairs(spark, d):
-    k = t(spark, d, "part").select(nth("p_partkey", 400).alias("k"))
-    edges = k.select(F.col("k").alias("a"), F.floor(F.col("k") / 3).alias("b")).unionByName(k.select(F.col("k").alias("a"), F.floor(F.col("k") / 5).alias("b"))).unionByName(k.select(F.lit(0).cast("bigint").alias("a"), F.lit(7).cast("bigint").alias("b")))
-    return transitive_closure(edges)
-
-
-# The same over every part key; without SQL, and tested against brute force.
-@query()
-def transitive_pairs_whole(spark, d):
     k = t(spark, d, "part").select(F.col("p_partkey").cast("bigint").alias("k"))
     edges = [k.select(F.col("k").alias("a"), F.floor(F.col("k") / n).alias("b")) for n in (3, 5)]
     return transitive_closure(edges[0].unionByName(edges[1]).unionByName(k.select(F.lit(0).cast("bigint").alias("a"), F.lit(7).cast("bigint").alias("b"))))
