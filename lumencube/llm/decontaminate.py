@@ -8,7 +8,8 @@ were reordered count as well. The share of the item's tokens under tiles is its
 Neither side is broadcast. Every seed of the benchmark sets a bit of a filter of at most ``block_bytes``,
 and one pass over the documents keeps, of each, the runs of tokens whose seeds pass it (as 64-bit hashes
 of the tokens). The seeds of those runs are joined with the benchmark's on the shuffle, each different text
-once; a pair whose shared seeds could not cover enough of the item goes, the others are tiled.
+once; a pair whose shared seeds could not cover enough of the item goes, the others are tiled. An item's most
+common seeds that together cover too little of it are left out of that join: no pair needs them to be found.
 """
 
 from __future__ import annotations
@@ -214,6 +215,55 @@ def _filter(seeds: DataFrame, most_bytes: int) -> tuple[np.ndarray, list[int]]:
     return bits, sorted(shape.sizes)
 
 
+def telling_seeds(item: np.ndarray, least: int, seeds: np.ndarray, texts: np.ndarray, share: float) -> tuple[np.ndarray, int]:
+    """The places in ``seeds`` (those of the item that some text has, with the numbers of such texts) of the seeds
+    without which no text reaches ``share`` of the item, and how many tokens the others, the commonest, cover."""
+    order = np.lexsort((seeds, -texts))
+    by_value = np.argsort(seeds)
+    rank = np.empty(len(seeds) + 1, np.int64)
+    rank[order], rank[-1] = np.arange(len(seeds)), len(seeds)  # the last: in no text
+    value = seed_values(item, least)
+    at = np.minimum(np.searchsorted(seeds, value, sorter=by_value), len(seeds) - 1)
+    window = rank[np.where(seeds[by_value[at]] == value, by_value[at], len(seeds))]
+    first = np.full(len(item), len(seeds))  # of the seeds over a token, the commonest
+    for k in range(least):
+        np.minimum(first[k : k + len(window)], window, out=first[k : k + len(window)])
+    covered = np.cumsum(np.bincount(first, minlength=len(seeds) + 1))[:-1]
+    aside = int(np.searchsorted(covered, len(item) * share - 1e-6))
+    return order[aside:], int(covered[aside - 1]) if aside else 0
+
+
+def _candidates(texts: DataFrame, seeds: DataFrame, items: DataFrame, least_coverage: float) -> DataFrame:
+    """The pairs (h1, h2, key) of texts and items whose shared seeds may cover ``least_coverage`` of the item.
+
+    Of an item's seeds, from the one that most texts have, those are set aside which together cover less than
+    that: a text that shares only these can't reach it. So a phrase that very many texts and items share makes no
+    pairs, unless it is enough of an item by itself.
+    """
+    each = texts.select("h1", "h2", F.explode("seeds").alias("seed"))
+    common = each.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
+    known = seeds.join(common, "seed").groupBy("key").agg(F.collect_list(F.struct("seed", "n", "cover")).alias("known"))  # the seeds of one item
+
+    def telling(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            for key, least, ids, known in zip(*(batch[c].to_pylist() for c in ("key", "least", "ids", "known")), strict=True):
+                seed, texts, cover = (np.array([x[c] for x in known], np.int64) for c in ("seed", "n", "cover"))
+                kept, aside = telling_seeds(np.array(ids, np.int64).view(np.uint64), least, seed.view(np.uint64), texts, least_coverage)
+                needed = np.full(len(kept), len(ids) * least_coverage - 1e-6 - aside)
+                yield pa.RecordBatch.from_arrays([pa.array(seed[kept]), pa.array(np.full(len(kept), key)), pa.array(cover[kept]), pa.array(needed)], names=["seed", "key", "cover", "needed"])
+
+    wanted = mapped(known.join(items, "key").select("key", "least", "ids", "known"), telling, "seed long, key long, cover long, needed double")
+    pairs = each.join(wanted, "seed").groupBy("h1", "h2", "key").agg(F.sum("cover").alias("cover"), F.any_value("needed").alias("needed"))
+    return pairs.where(F.col("cover") >= F.col("needed")).select("h1", "h2", "key")
+
+
+def most_covered(item: np.ndarray, kept: np.ndarray, least: int) -> int:
+    """How many tokens of the item lie in windows of ``least`` that the runs have too: tiles cover no others."""
+    at = np.flatnonzero(np.isin(seed_values(item, least), seed_values(kept, least)))
+    change = np.bincount(at, minlength=len(item) + 1) - np.bincount(at + least, minlength=len(item) + 1)
+    return int(np.count_nonzero(np.cumsum(change) > 0))
+
+
 _TILES = "array<struct<item_at:int,doc_at:long,length:int>>"
 
 
@@ -240,9 +290,7 @@ def _tiled(docs: DataFrame, benchmark: DataFrame, id_col: str | None, text_col:
     source = docs.where(text.isNotNull()).select(key.alias("doc_id"), h1.alias("h1"), h2.alias("h2"), text.alias("text"))
     rows = written(mapped(source, runs, "doc_id long, h1 long, h2 long, ids array<long>, places array<long>, seeds array<long>"), f"{home}/rows")
     texts = written(rows.drop("doc_id").dropDuplicates(["h1", "h2"]), f"{home}/texts")
-    pairs = texts.select("h1", "h2", F.explode("seeds").alias("seed")).join(seeds, "seed").groupBy("h1", "h2", "key").agg(F.sum("cover").alias("cover"))
-    pairs = pairs.join(items.select("key", F.size("ids").alias("size")), "key").where(F.col("cover") >= F.col("size") * least_coverage - 1e-6)
-    pairs = written(pairs.select("h1", "h2", "key"), f"{home}/pairs")
+    pairs = written(_candidates(texts, seeds, items, least_coverage), f"{home}/pairs")
 
     def tiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kinds = (pa.int64(), pa.int64(), pa.int64(), pa.float64(), pa.int32(), pa.int32(), pa.list_(pa.struct([("item_at", pa.int32()), ("doc_at", pa.int64()), ("length", pa.int32())])))
@@ -250,6 +298,9 @@ def _tiled(docs: DataFrame, benchmark: DataFrame, id_col: str | None, text_col:
         for batch in slices(batches):
             columns: tuple[list, ...] = tuple([] for _ in names)
             for h1, h2, item_id, least, item, kept, places in zip(*(batch[c].to_pylist() for c in ("h1", "h2", "item_id", "least", "item", "ids", "places")), strict=True):
+                most = most_covered(np.array(item, np.int64).view(np.uint64), np.array(kept, np.int64).view(np.uint64), least)
+                if most < len(item) * least_coverage - 1e-6:
+                    continue
                 found = tile_runs(item, least, kept, places)
                 covered = sum(n for _, _, n in found)
                 row = (h1, h2, item_id, covered / len(item), covered, max((n for _, _, n in found), default=0), [{"item_at": i, "doc_at": j, "length": n} for i, j, n in found])

@@ -1,10 +1,12 @@
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from lumencube.llm import decontaminate
+from lumencube.llm.common import shared_dir
 from lumencube.llm.queries import op4_benchmark_leaks
 
 DATA = "/root/testdata/sf0.01"
@@ -95,3 +97,29 @@ def test_items_that_share_an_id_or_have_none(spark):
     for block in (8 << 20, 60):
         assert sorted((r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench, block_bytes=block).collect()) == [(0, 0), (1, 0)]
         assert [r.doc_id for r in decontaminate.without_leaks(docs, bench, block_bytes=block).collect()] == [3]
+
+
+def test_a_seed_that_all_share_makes_no_pairs(spark):
+    phrase = "which of the following statements is the most accurate one"  # 6 seeds of 10 tokens
+    items = [(k, phrase + "".join(f" i{k}x{n}" for n in range(20))) for k in range(30)]
+    docs = [(k, f"{phrase} d{k}a d{k}b d{k}c") for k in range(300)]
+    docs += [(300, items[7][1]), (301, items[9][1] + " " + phrase), (302, phrase + " " + " ".join(items[3][1].split()[12:]))]
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    bench = spark.createDataFrame([*items, (99, phrase)], "item_id long, text string")
+    got = {(r.doc_id, r.item_id) for r in decontaminate.contaminated(docs, bench).collect()}
+    assert got == {(k, 99) for k in range(303)} | {(300, 7), (301, 9), (302, 3)}
+    found, seeds = decontaminate._benchmark(bench, "item_id", "text", 5, False, shared_dir(spark))
+    bits, sizes = decontaminate._filter(seeds, 1 << 20)
+    runs = [(k, *decontaminate.passing_runs(r.text.encode(), bits, sizes)) for k, r in enumerate(docs.collect())]
+    texts = spark.createDataFrame([(k, 0, seen.view(np.int64).tolist()) for k, _, _, seen in runs], "h1 long, h2 long, seeds array<long>")
+    assert decontaminate._candidates(texts, seeds, found, 0.6).count() == 306  # the phrase alone would make 303 x 31
+    assert decontaminate._candidates(texts, seeds, found, 0.0).count() == 303 * 31
+
+
+def test_most_covered_bounds_the_tiles():
+    rng = random.Random(5)
+    for _ in range(300):
+        item = [rng.randint(1, rng.choice([3, 9])) for _ in range(rng.randint(3, 25))]
+        doc = [rng.randint(1, 9) for _ in range(rng.randint(0, 20))] + item[rng.randrange(len(item)) :]
+        most = decontaminate.most_covered(np.array(item, np.uint64), np.array(doc, np.uint64), 3)
+        assert sum(n for _, _, n in decontaminate.tile(item, doc, 3)) <= most <= len(item)
