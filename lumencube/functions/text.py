@@ -17,7 +17,7 @@ _QUOTES = {"’": "'", "‘": "'", "`": "'"}
 def _folds(keep_other: bool) -> tuple[str, str, dict[str, str]]:
     """What compatibility decomposition and dropping marks do: pairs for translate, and characters that become several.
 
-    Made from the Unicode database by rule. ``keep_other``: leave what has no ASCII form.
+    Made from the Unicode database by rule. ``keep_other``: leave what has no ASCII form. Hangul syllables stay whole.
     """
     one_from, one_to, many = [], [], {}
     for x in range(0x80, min(sys.maxunicode, 0x1FFFF) + 1):
@@ -27,28 +27,37 @@ def _folds(keep_other: bool) -> tuple[str, str, dict[str, str]]:
         plain = "".join(p for p in unicodedata.normalize("NFKD", c) if not unicodedata.combining(p))
         if not keep_other:
             plain = plain.encode("ascii", "ignore").decode()
-        if plain == c:
+        if plain == c or not plain:
             continue
         if len(plain) == 1:
             one_from.append(c)
             one_to.append(plain)
-        elif len(plain) > 1 and x < 0x250 or x in range(0xFB00, 0xFB07):
+        else:
             many[c] = plain
     return "".join(one_from), "".join(one_to), many
 
 
-#: Characters beyond these ranges are rare in keys; they are left (or dropped) as they are.
-_COMMON = re.compile("[\u00a0-\u024f\u1e00-\u1eff\u2000-\u206f\ufb00-\ufb06\uff01-\uff5e]")
+def _class(characters: str) -> str:
+    """The ranges of a character class; the Java regex engine tests one after another, so they are joined."""
+    points, spans = sorted(map(ord, characters)), []
+    for x in points:
+        if spans and x == spans[-1][1] + 1:
+            spans[-1][1] = x
+        else:
+            spans.append([x, x])
+    return "".join(f"{chr(a)}-{chr(b)}" for a, b in spans)
 
 
 def _folded(column: Column, keep_other: bool) -> Column:
+    """One pass of translate; texts with a character that becomes several are taken apart there, others are not."""
     source, target, many = _folds(keep_other)
-    pairs = [(a, b) for a, b in zip(source, target, strict=True) if _COMMON.match(a)]
-    out = column
-    for c, plain in many.items():
-        if _COMMON.match(c):
-            out = F.replace(out, F.lit(c), F.lit(plain))
-    out = F.translate(out, "".join(a for a, _ in pairs), "".join(b for _, b in pairs))
+    several = _class("".join(many))
+    early = _class("".join(chr(x) for x in [*range(0x250), *range(0x2000, 0x2070)] if chr(x) not in many))
+    table = F.map_from_arrays(F.array(*map(F.lit, many)), F.array(*map(F.lit, many.values())))
+    runs = F.regexp_extract_all(column, F.lit(f"[{several}]|[^{several}]+"), F.lit(0))
+    apart = F.array_join(F.transform(runs, lambda x: F.coalesce(F.element_at(table, x), x)), "")
+    some = column.rlike(f"[^{early}]") & column.rlike(f"[{several}]")  # Latin letters and punctuation take the first, short test
+    out = F.translate(F.when(some, apart).otherwise(column), source, target)
     out = F.regexp_replace(out, r"\p{Mn}", "")
     return out if keep_other else F.regexp_replace(out, r"[^\x00-\x7F]", "")
 

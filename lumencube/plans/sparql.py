@@ -70,6 +70,10 @@ class SparqlError(ValueError):
     pass
 
 
+#: Of two patterns without a shared variable one may have at most so many rows; it is broadcast.
+MOST_UNJOINED = 100_000
+
+
 class Query:
     def __init__(self, engine: Engine, text: str):
         self.engine, self.spark = engine, engine.spark
@@ -497,10 +501,22 @@ class Query:
     def renamed(self, b: Solution) -> DataFrame:
         return b.frame.select(*[F.col(f"`{v}`").alias(f"__r_{v}") for v in b.variables]) if b.variables else b.frame.select(F.lit(True).alias("__r"))
 
+    def unjoined(self, left: DataFrame, right: DataFrame, how: str) -> DataFrame:
+        """Every row with every row, one side being of a checked size. Two large ones are refused: their product is no result."""
+
+        def small(x: DataFrame) -> bool:
+            return x.limit(MOST_UNJOINED + 1).count() <= MOST_UNJOINED
+
+        if small(right):
+            return left.join(F.broadcast(right), F.lit(True), how)
+        if how == "inner" and small(left):
+            return F.broadcast(left).join(right, F.lit(True), how)
+        raise SparqlError(f"patterns that share no variable have more than {MOST_UNJOINED} rows on both sides; join them by a variable")
+
     def combine(self, a: Solution, b: Solution, how: str) -> Solution:
         right = self.renamed(b)
         shared, tests = self.on(a, b, right)
-        joined = a.frame.join(right, tests, how) if tests else a.frame.join(right, F.lit(True), how) if how == "left" else a.frame.crossJoin(right)
+        joined = a.frame.join(right, tests, how) if tests else self.unjoined(a.frame, right, how)
         columns = []
         for v in a.variables:
             c = a.frame[v]

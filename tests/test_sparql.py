@@ -77,3 +77,18 @@ def test_named_graphs(spark):
     engine = Engine(data)
     assert engine.query("SELECT ?x WHERE { ?x <ex:p> ?v }").count() == 2
     assert [r.x for r in engine.query("SELECT ?x WHERE { GRAPH <g:1> { ?x <ex:p> ?v } }").collect()] == ["ex:a"]
+
+
+def test_patterns_without_a_shared_variable(engine, monkeypatch):
+    from lumencube.plans import sparql
+
+    product = "SELECT ?n ?l WHERE { ?x ex:age ?n . ?r ex:label ?l } ORDER BY ?n ?l"
+    want = [(n, l) for n in ("30", "30.5", "40") for l in ("Due", "Uno")]
+    assert rows(engine, product) == want
+    monkeypatch.setattr(sparql, "MOST_UNJOINED", 2)  # the labels still fit, the ages do not
+    assert rows(engine, product) == want
+    assert rows(engine, "SELECT ?n ?l WHERE { ?x ex:age ?n OPTIONAL { ?r ex:label ?l } } ORDER BY ?n ?l") == want
+    monkeypatch.setattr(sparql, "MOST_UNJOINED", 1)
+    for text in (product, "SELECT ?n ?l WHERE { ?x ex:age ?n OPTIONAL { ?r ex:label ?l } }"):
+        with pytest.raises(SparqlError):
+            rows(engine, text)

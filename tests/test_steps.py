@@ -163,17 +163,33 @@ def test_best_matches(spark):
     import random
 
     rng = random.Random(3)
-    words = sorted({"".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(60)})
-    keys = sorted({"".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(40)} | {""})
+    words = sorted({"".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(60)} | {"".join(rng.choices("abcdef", k=rng.randint(15, 30))) for _ in range(20)})
+    keys = sorted({"".join(rng.choices("abc", k=rng.randint(1, 9))) for _ in range(40)} | {"", "xyz"})
+    for w in words[::3]:  # and words with some letters gone or added
+        keys.append("".join(c + rng.choice(["", "", "", "", "z"]) for c in w if rng.random() > 0.1))
+    keys = sorted(set(keys))
     names = spark.createDataFrame([(w, k) for k, w in enumerate(words)], "name string, i int")
-    for least in (0, 70, 90, 100):
+    for least in (0, 20, 50, 70, 80, 85, 90, 100):
         got = {r.key: (r.name, r.i) for r in fuzzy.best_matches(spark.createDataFrame([(k,) for k in keys], "key string"), names, least, "i").collect()}
         want = {}
         for key in keys:
             score, i = min((-fuzzy.ratio(key, w), i) for i, w in enumerate(words))
             if -score >= least:
                 want[key] = (words[i], i)
-        assert got == want
+        assert got == want, least
+
+
+def test_folding_follows_the_unicode_database(spark):
+    import unicodedata
+
+    from lumencube.functions import text
+
+    odd = [chr(x) for x in range(0x80, 0x20000) if not (0xD800 <= x <= 0xDFFF or 0xAC00 <= x <= 0xD7A3)]
+    rows = spark.createDataFrame([(k, "aé" + c + "ﬁ" * (k % 2) + "Z") for k, c in enumerate(odd)], "k int, c string")
+    got = rows.select("c", text.strip_accents(F.col("c")).alias("s")).collect()
+    bad = [r for r in got if r.s != unicodedata.normalize("NFKD", r.c).encode("ascii", "ignore").decode()]
+    assert not bad, bad[:5]
+    assert len(got) == len(odd)
 
 
 def test_exact_quantiles(spark):
