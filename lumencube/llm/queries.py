@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, idstore, langid, licences, linededup, neighbours, packing, pii, secrets, simhash
+from . import decontaminate, idstore, langid, licences, linededup, neighbours, packing, pii, repetitions, secrets, simhash
 from .common import shared_dir, table
 
 
@@ -58,6 +58,10 @@ def op2_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(table(spark, sf_dir, "documents"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetitions.digest(repetitions.periodic_runs(repetitions.with_planted_runs(table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_licence_scan": op2_licence_scan,
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_nearest_vectors": op8_nearest_vectors,
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
+    "op11_periodic_runs": op11_periodic_runs,
 }
 
 #: The line key in DuckDB: ends stripped, A-Z alone lower-cased.
