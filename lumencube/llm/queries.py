@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, idstore, langid, licences, linededup, neighbours, packing, pii, repetitions, secrets, simhash
+from . import decontaminate, fingerprints, idstore, langid, licences, linededup, negatives, neighbours, packing, pii, repetitions, secrets, simhash
 from .common import shared_dir, table
 
 
@@ -62,6 +62,15 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetitions.digest(repetitions.periodic_runs(repetitions.with_planted_runs(table(spark, sf_dir, "documents"))))
 
 
+def op12_quartile_digests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.compared(fingerprints.edited_by_next(table(spark, sf_dir, "documents")))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return negatives.hard_negatives(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", shifted.alias("label")))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_licence_scan": op2_licence_scan,
@@ -74,6 +83,8 @@ QUERIES = {
     "op9_secret_scan": op9_secret_scan,
     "op10_personal_data": op10_personal_data,
     "op11_periodic_runs": op11_periodic_runs,
+    "op12_quartile_digests": op12_quartile_digests,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 #: The line key in DuckDB: ends stripped, A-Z alone lower-cased.
@@ -89,4 +100,21 @@ marked AS (SELECT doc_id, i, l, last IS NOT NULL AND doc_id <> last AS gone FROM
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
   sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op13_hard_negatives": """
+WITH good AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS other, a.label = b.label AS same, list_dot_product(a.e, b.e)::BIGINT AS score
+  FROM good a JOIN good b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE a.vec_id % 50 = 0),
+positive AS (
+  SELECT anchor_id, other AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+negative AS (
+  SELECT anchor_id, positive_id, other AS negative_id, positive_score, score AS negative_score,
+    row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, other) AS nth
+  FROM positive JOIN scored USING (anchor_id)
+  WHERE NOT same AND 50 * positive_score <= 100 * score AND 100 * score <= 95 * positive_score)
+SELECT anchor_id, positive_id, nth::INTEGER AS rank, negative_id, positive_score, negative_score FROM negative WHERE nth <= 3""",
 }
