@@ -11,6 +11,7 @@ from ..operators.rows import FilterRows
 from ..scratch import shared_dir
 from ..sources import olap, sinks, tabular
 from ..sources.turtle import read_turtle
+from ..streaming import stateful
 from ..streaming import steps as S
 from .registry import _TYPE, _XSD, nation_triples, nth, query, run, t
 
@@ -209,3 +210,49 @@ def _drained(spark, stream: DataFrame) -> DataFrame:
 def stream_stateless(spark, d):
     steps = [FilterRows(lambda x: x["value"] > 10), C.WithColumn("kind", F.upper("event_type")), C.WithColumn("twice", F.col("value") * 2), C.DropColumns(["ts", "user_id", "event_type", "value", "props"])]
     return _drained(spark, S.apply_steps(_events(spark, d), steps))
+
+
+def _timed(spark, d) -> DataFrame:
+    return _events(spark, d).withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+_ENDED = "(SELECT date_trunc('millisecond', max(ts) - INTERVAL 1 HOUR) FROM events)"
+_SESSIONS = "SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS session FROM (SELECT *, CASE WHEN ts - lag(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id) < INTERVAL 2 HOUR THEN 0 ELSE 1 END AS new FROM events)"
+
+
+@query(
+    f"SELECT user_id, min(ts) AS session_start, max(ts) AS session_end, count(*) AS n, round(sum(value), 4) AS total, arg_min(event_type, (ts, event_type)) AS first_kind, arg_max(event_type, (ts, event_type)) AS last_kind"
+    f" FROM ({_SESSIONS}) GROUP BY user_id, session HAVING max(ts) + INTERVAL 2 HOUR <= {_ENDED}"
+)
+def stream_closed_sessions(spark, d):
+    """A stateful operator with timers over the stream; open sessions are not there yet."""
+    with stateful.state_store(spark):
+        got = _drained(spark, stateful.closed_sessions(_timed(spark, d), "ts", ["user_id"], "event_type", "value", 7200, "1 hour"))
+    return got.withColumns({"total": F.round("total", 4), "session_start": F.col("session_start").cast("timestamp_ntz"), "session_end": F.col("session_end").cast("timestamp_ntz")})
+
+
+@query("SELECT c.event_id AS click_id, p.event_id AS purchase_id, c.user_id FROM events c JOIN events p ON c.user_id = p.user_id AND p.ts >= c.ts AND p.ts <= c.ts + INTERVAL 90 MINUTE WHERE c.event_type = 'click' AND p.event_type = 'purchase'")
+def stream_interval_join(spark, d):
+    """Two streams: the purchases of a user within 90 minutes after a click."""
+    clicks = _timed(spark, d).where("event_type = 'click'").select(F.col("event_id").alias("click_id"), "user_id", F.col("ts").alias("clicked"))
+    bought = _timed(spark, d).where("event_type = 'purchase'").select(F.col("event_id").alias("purchase_id"), F.col("user_id").alias("buyer"), F.col("ts").alias("bought"))
+    return _drained(spark, stateful.interval_join(clicks, bought, "clicked", "bought", [("user_id", "buyer")], "0 seconds", "90 minutes", "2 hours")).select("click_id", "purchase_id", "user_id")
+
+
+@query(f"SELECT time_bucket(INTERVAL 6 HOUR, ts) AS window_start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2 HAVING window_start + INTERVAL 6 HOUR <= {_ENDED}")
+def stream_windows(spark, d):
+    """Windows that the watermark has passed."""
+    got = _drained(spark, S.windowed(_timed(spark, d), "ts", ["event_type"], "6 hours", "1 hour", "value"))
+    return got.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
+@query(f"SELECT user_id, min(ts) AS session_start, count(*) AS n FROM ({_SESSIONS}) GROUP BY user_id, session HAVING max(ts) + INTERVAL 2 HOUR <= {_ENDED}")
+def stream_native_sessions(spark, d):
+    got = _drained(spark, S.sessions(_timed(spark, d), "ts", ["user_id"], "2 hours", "1 hour"))
+    return got.select("user_id", F.col("session_start").cast("timestamp_ntz").alias("session_start"), "n")
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def stream_duplicates(spark, d):
+    """Keys seen once, as long as the watermark has not passed them."""
+    return _drained(spark, S.drop_duplicates(_timed(spark, d), ["user_id", "event_type"], "ts", "1 hour").select("user_id", "event_type"))
