@@ -7,12 +7,13 @@ import os
 import shutil
 from datetime import UTC, datetime
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..core import Dataset
+from . import files
 from .turtle import COLUMNS, n_triples
+from .versions import Conflict, Versions
 
 FORMATS = ("csv", "parquet", "json")
 
@@ -75,7 +76,7 @@ def _single(data: DataFrame, path: str, kind: str, options: dict) -> None:
 
 
 def write_history(dataset: Dataset, path: str) -> str:
-    """The sidecar: when, what file, its shape and columns, and each step with parameters and metrics."""
+    """The sidecar, wherever Spark can write: when, what file, its shape and columns, and each step with parameters and metrics."""
     rows, cols = dataset.shape
     body = {
         "saved_at": datetime.now(UTC).isoformat(),
@@ -86,8 +87,7 @@ def write_history(dataset: Dataset, path: str) -> str:
         "steps": [{"name": r.name, "params": dict(r.params), "metrics": r.metrics} for r in dataset.history],
     }
     place = f"{os.path.splitext(path)[0]}.history.json"
-    with open(place, "w", encoding="utf-8") as out:
-        json.dump(body, out, indent=2, ensure_ascii=False, default=str)
+    files.write_text(dataset.data.sparkSession, place, json.dumps(body, indent=2, ensure_ascii=False, default=str))
     return place
 
 
@@ -97,40 +97,61 @@ def write_triples(triples: DataFrame, path: str) -> None:
 
 
 class GraphStore:
-    """Named graphs in one Parquet table partitioned by ``graph``. Reading without a graph gives the union of all."""
+    """Named graphs with a version for each change. Reading without a graph gives the union of all.
+
+    A reader sees one version whole, also while a writer replaces a graph; older versions can be read until ``vacuum``. A writer
+    whose graph another has changed meanwhile gets ``Conflict``; changes of other graphs are taken over.
+    """
 
     def __init__(self, spark: SparkSession, path: str):
         self.spark, self.path = spark, path
+        self.versions = Versions(spark, path, lambda content: {f for folders in content.values() for f in folders})
 
-    def put(self, graph: str, triples: DataFrame) -> None:
-        """Replace one graph; the others stay."""
-        rows = triples.select(*COLUMNS).dropDuplicates().withColumn("graph", F.lit(graph))
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("graph").parquet(self.path)
+    def put(self, graph: str, triples: DataFrame, base: int | None = None) -> int:
+        """Replace one graph; the others stay. ``base`` is the version that the writer has seen, the newest by default. Returns the new version."""
+        base = self.versions.latest() if base is None else base
+        return self._publish(base, graph, [self.versions.write(triples.select(*COLUMNS).dropDuplicates())])
 
-    def post(self, graph: str, triples: DataFrame) -> None:
-        """Add to a graph what it doesn't have yet."""
+    def post(self, graph: str, triples: DataFrame, base: int | None = None) -> int:
+        """Add to a graph what it doesn't have yet. Returns the new version."""
+        base = self.versions.latest() if base is None else base
+        own = self.versions.content(base).get(graph, [])
         new = triples.select(*COLUMNS).dropDuplicates()
-        if self._exists():
-            new = _minus(new, self.read(graph))
-        new.withColumn("graph", F.lit(graph)).write.mode("append").partitionBy("graph").parquet(self.path)
-
-    def _exists(self) -> bool:
-        try:
-            self.spark.read.parquet(self.path)
-        except AnalysisException as error:
-            if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return False
-            raise
-        return True
-
-    def read(self, graph: str | None = None) -> DataFrame:
-        rows = self.spark.read.parquet(self.path)
-        if graph is None:
-            return rows.select(*COLUMNS).dropDuplicates()
-        return rows.where(F.col("graph") == graph).select(*COLUMNS)
-
-    def graphs(self) -> list[str]:
-        return sorted(r.graph for r in self.spark.read.parquet(self.path).select("graph").distinct().collect())
+        if own:
+            new = _minus(new, self._rows(own))
+        return self._publish(base, graph, [*own, self.versions.write(new)])
+
+    def drop(self, graph: str, base: int | None = None) -> int:
+        """Remove a graph. Returns the new version."""
+        base = self.versions.latest() if base is None else base
+        if graph not in self.versions.content(base):
+            raise KeyError(f"no graph {graph!r}")
+        return self._publish(base, graph, None)
+
+    def _publish(self, base: int, graph: str, folders: list[str] | None) -> int:
+        seen = self.versions.content(base)
+        while True:
+            now = self.versions.content(base)
+            if now.get(graph) != seen.get(graph):
+                raise Conflict(f"another writer has changed the graph {graph!r}")
+            rest = {g: f for g, f in now.items() if g != graph}
+            try:
+                return self.versions.publish(base, rest if folders is None else rest | {graph: folders})
+            except Conflict:
+                base += 1  # someone was faster: look at what that version did
+
+    def _rows(self, folders: list[str]) -> DataFrame:
+        schema = ", ".join(f"{c} string" for c in COLUMNS)
+        return self.spark.read.schema(schema).parquet(*[self.versions.place(f) for f in folders]) if folders else self.spark.createDataFrame([], schema)
+
+    def read(self, graph: str | None = None, version: int | None = None) -> DataFrame:
+        content = self.versions.content(version)
+        if graph is not None:
+            return self._rows(content.get(graph, []))
+        return self._rows([f for folders in content.values() for f in folders]).dropDuplicates()
+
+    def graphs(self, version: int | None = None) -> list[str]:
+        return sorted(self.versions.content(version))
 
 
 def _minus(new: DataFrame, old: DataFrame) -> DataFrame:
