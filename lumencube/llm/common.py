@@ -43,6 +43,15 @@ def slices(batches: Iterator[pa.RecordBatch], most: int = 8 << 20) -> Iterator[p
             yield batch.slice(k, step)
 
 
+def apart(docs: DataFrame, **known: str) -> DataFrame:
+    """``docs`` with the columns ``known`` under the given names and all others as column_0, column_1 and so on, in their order.
+
+    So no column's own name can meet one that an operator uses, or need quoting; ``toDF`` gives the names back.
+    """
+    new = {old: name for name, old in known.items()}
+    return docs.toDF(*[new.get(c, f"column_{k}") for k, c in enumerate(docs.columns)])
+
+
 #: Bytes of rows that go to a Python worker at once.
 BATCH_BYTES = 8 << 20
 
@@ -57,4 +66,4 @@ def mapped(df: DataFrame, run: Callable, schema: str | StructType) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-__all__ = ["mapped", "shared_dir", "slices", "table", "text_bytes", "written"]
+__all__ = ["apart", "mapped", "shared_dir", "slices", "table", "text_bytes", "written"]

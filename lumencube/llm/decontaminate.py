@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import mapped, shared_dir, slices, text_bytes, written
+from .common import apart, mapped, shared_dir, slices, text_bytes, written
 
 _TOKEN = re.compile(r"\w+")
 # A Mersenne prime and the base of the rolling hash.
@@ -336,8 +336,10 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, threshold: float = 0.6,
 
     Leaking texts are few rows of two numbers; documents are anti-joined with them by the same numbers.
     """
+    names, docs = docs.columns, apart(docs, text=text_col)
+    text_col = "text"
     tiled, _ = _tiled(docs, benchmark, None, text_col, item_col, item_text, seed_words, block_bytes, threshold, True)
     leaks = tiled.where(F.col("coverage") >= threshold).select(F.col("h1").alias("__h1"), F.col("h2").alias("__h2")).distinct()
     leaks = written(leaks, f"{shared_dir(docs.sparkSession)}/leaks")
     h1, h2 = text_key(docs[text_col].cast("string"))
-    return docs.join(leaks, (h1 == F.col("__h1")) & (h2 == F.col("__h2")), "left_anti")
+    return docs.join(leaks, (h1 == F.col("__h1")) & (h2 == F.col("__h2")), "left_anti").toDF(*names)

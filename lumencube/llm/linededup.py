@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import shared_dir, written
+from .common import apart, shared_dir, written
 
 SPACE = " \t\n\x0b\x0c\r"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -148,12 +148,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     documents or more go, except from the document with the largest id among them.
 
     Returns the columns of ``docs`` with the text replaced by the kept lines, and n_lines and
-    n_dropped (which replace columns of those names). Null texts become one empty line. Rows with the
+    n_dropped (which replace columns of those names; other names are free). Null texts become one empty line. Rows with the
     same id are one document and are treated alike; rows with a null id are kept whole and don't
     count. An empty table gives an empty result. Batches are ranges of ids, in descending order.
     """
     spark = docs.sparkSession
     home = shared_dir(spark)
+    names, docs = docs.columns, apart(docs, doc_id=id_col, text=text_col)
+    left = [k for k, c in enumerate(names) if c in (id_col, text_col) or c not in ("n_lines", "n_dropped")]
+    names, docs = [names[k] for k in left], docs.select(*[docs.columns[k] for k in left])
+    id_col, text_col = "doc_id", "text"
     named = docs.where(F.col(id_col).isNotNull())
     cuts = named.agg(F.percentile_approx(F.col(id_col).cast("long"), [k / batches for k in range(1, batches)])).first()[0] if batches > 1 else None
     bounds = sorted(set(cuts or []))
@@ -166,12 +170,12 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # a table of its own: joined with an aggregation in the same stage, a hot line's rows could not be split
     common = written(runs.survivors(min_docs), f"{home}/common")
     gone = hashes.join(common, ["h1", "h2"]).where(F.col("doc") != F.col("last"))
-    return apply_drops(docs, gone.select("doc", "h1", "h2"), min_chars, id_col, text_col)
+    return apply_drops(docs, gone.select("doc", "h1", "h2"), min_chars, id_col, text_col).toDF(*names, "n_lines", "n_dropped")
 
 
 def apply_drops(docs: DataFrame, gone: DataFrame, min_chars: int, id_col: str, text_col: str) -> DataFrame:
-    """Drop from each text the lines whose hashes ``gone`` (doc, h1, h2) lists for its id; rows with a null id stay as they are."""
-    own = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
+    """Drop from each text the lines whose hashes ``gone`` (doc, h1, h2) lists for its id; rows with a null id stay as they are. Names are those of ``apart``."""
+    own = docs.columns
     slot = F.pmod("h1", F.lit(SLOTS)).cast("int")
     parts = gone.repartition("doc").groupBy("doc", slot.alias("slot")).agg(F.collect_set(F.struct("h1", "h2")).alias("of"))
     listed = parts.groupBy("doc").agg(F.map_from_entries(F.collect_list(F.struct("slot", "of"))).alias("gone"))  # at most the document's own lines

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 import corpus_pipeline
-from lumencube.llm import decontaminate, langid, tokens
+from lumencube.llm import decontaminate, langid, linededup, tokens
 
 from .test_decontaminate import plain_tile, plain_tokens
 from .test_linededup import plain as plain_lines
@@ -87,3 +87,32 @@ def test_near_dedup_keeps_one_row_of_each_group(spark):
     kept = sorted((r.doc_id, r.text) for r in got.collect() if r.doc_id != 8)
     assert [d for d, _ in kept] == [4, 5] and kept[0][1] in near and kept[1][1] == other
     assert sum(r.doc_id == 8 for r in got.collect()) == 1
+
+
+#: Names that the stages use themselves, or that need quoting.
+NAMES = ["n_lines", "n_dropped", "__kept", "__doc", "__gone", "__n", "__h1", "__h2", "__id", "__print", "a.b", "a`b", "TEXT", "column_0", "h1", "doc", "print", "score", "lang_pred", "sp ace"]
+
+
+def test_every_extra_column_keeps_its_values(spark):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet").where("doc_id < 60")
+    held = docs.select(*docs.columns, *[(F.col("doc_id") * 100 + k).alias(f"c{k}") for k in range(len(NAMES) - 1)], F.concat(F.lit("x"), "doc_id").alias("last")).toDF(*docs.columns, *NAMES)
+    columns = held.columns
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES[:4]):
+        made = stage(spark, held, DATA)
+        assert made.columns == columns, name
+        rows = made.collect()
+        assert rows, name
+        for r in rows:
+            assert list(r)[5:] == [r[0] * 100 + k for k in range(len(NAMES) - 1)] + [f"x{r[0]}"], name
+        held = spark.createDataFrame([tuple(r) for r in rows], made.schema)
+    assert corpus_pipeline.best_fit_packing(spark, held, DATA).count() >= len(rows)
+
+
+def test_line_dedup_and_leaks_alone_keep_extra_columns(spark):
+    line = "a line of forty characters or a few more than that"
+    docs = spark.createDataFrame([(k, f"{line}\nown {k}", *[k * 10 + i for i in range(4)]) for k in range(6)], "id long, body string, a long, b long, c long, d long").toDF("h1", "a.b", "__doc", "__h1", "batch", "n_lines")
+    got = linededup.dedup_lines(docs, "h1", "a.b")
+    assert got.columns == ["h1", "a.b", "__doc", "__h1", "batch", "n_lines", "n_dropped"]
+    assert sorted(tuple(r) for r in got.collect()) == [(k, f"own {k}" if k < 5 else f"{line}\nown 5", k * 10, k * 10 + 1, k * 10 + 2, 2, int(k < 5)) for k in range(6)]
+    bench = spark.createDataFrame([(1, "a line of forty characters or a few more")], "item_id long, text string")
+    assert decontaminate.without_leaks(docs, bench, text_col="a.b").columns == docs.columns
