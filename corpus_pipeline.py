@@ -8,24 +8,40 @@ table to the next stage.
 
 from __future__ import annotations
 
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumencube.llm import decontaminate, langid, linededup, packing, simhash
-from lumencube.llm.common import shared_dir, table, written
+from lumencube.llm.common import apart, shared_dir, table, written
+
+
+def _keeps_columns(stage):
+    """The stage sees the columns it reads and all others under names of their own, and gives all their names back."""
+
+    @wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = {c: c for c in ("doc_id", "text", "lang", "n_chars") if c in docs.columns}
+        return stage(spark, apart(docs, **read), sf_dir).toDF(*docs.columns)
+
+    return run
 
 
+@_keeps_columns
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that the language models reject, those without a letter (null and empty texts) among them."""
     return langid.without_rejected(docs, langid.learn(docs.where(~langid.held_out())))
 
 
+@_keeps_columns
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop repeated lines; every document stays, n_chars follows its text. Null texts become empty; rows with a null id stay as they are."""
     kept = linededup.dedup_lines(docs).select(*docs.columns)
     return kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
 
 
+@_keeps_columns
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one row of each group: of those with its smallest id the one whose text has the smallest hash (any of
     rows equal in both). Rows with a null id stay as they are."""
@@ -41,6 +57,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return out.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
+@_keeps_columns
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that hold a test item of ``benchmark``; null and empty texts stay."""
     return decontaminate.without_leaks(docs, table(spark, sf_dir, "benchmark"))
@@ -48,7 +65,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of all remaining documents and their places in sequences; null texts are one end id."""
-    return packing.pack(docs)
+    return packing.pack(apart(docs, doc_id="doc_id", text="text"))
 
 
 STAGES = [
