@@ -1,9 +1,10 @@
 """Secret scan: fixed patterns, and guess-cost dynamic programming over values in credential contexts.
 
 A value is cut into common words (those of WORDS, and the whole words of the tokenizer's vocabulary,
-which is roughly in order of frequency), dates, repeats, keyboard walks, sequences and brute-force characters so
-that the total log10 of guesses is least. Values that stay costly, or wherever a context names a
-credential that the fixed patterns miss, become ``guess`` spans; cheap ones (placeholders, words,
+which is roughly in order of frequency), dates, repeats, keyboard walks, sequences, separators and brute-force characters so
+that the total log10 of guesses is least. A word that stands alone between separators is a piece of a name, a path or a call
+(``process.env.TOKEN``, ``your_api_key_here``), of which few are in use, and costs no more than that. Values that stay costly, or wherever a
+context names a credential that the fixed patterns miss, become ``guess`` spans, one for each value; cheap ones (placeholders, names, words,
 dates) do not.
 """
 
@@ -47,7 +48,9 @@ WORDS = (
     "password 123456 12345678 qwerty letmein welcome admin login master dragon monkey football baseball shadow sunshine princess iloveyou "
     "trustno1 superman batman secret changeme default example test sample guest root user hello freedom whatever computer internet "
     "summer winter spring autumn monday friday january december love money test123 temp token key pass access public private value none null "
-    "true false your here string placeholder redacted hidden masked xxx todo the and for with this that from have not are you all can"
+    "true false your here string placeholder redacted hidden masked xxx todo the and for with this that from have not are you all can "
+    "api env get set var arg cfg config process getpass self str int http https url uuid hash auth oauth jwt ssh rsa aws gcp sdk cli app svc dev prod staging based bearer client server "
+    "value values credential credentials passphrase passwd required missing expired invalid removed rotated environ embedding embeddings tokenizer configs param params args kwargs payload"
 ).split()
 #: The rows of the keyboard.
 ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
@@ -55,7 +58,11 @@ ROWS = ("`1234567890-=", "qwertyuiop[]\\", "asdfghjkl;'", "zxcvbnm,./")
 SWAPS = str.maketrans("@4831!05$7", "aabeliosst")
 
 _DATE = re.compile(r"(?:19|20)\d\d(?:([-/.]?)(?:0[1-9]|1[0-2])\1(?:0[1-9]|[12]\d|3[01]))?|(?:0[1-9]|[12]\d|3[01])([-/.]?)(?:0[1-9]|1[0-2])\2(?:19|20)\d\d")
-_RANK = {w: math.log10(k + 2) for k, w in enumerate(WORDS)}
+_RANK = {w: math.log10(k + 2) for k, w in reversed([*enumerate(WORDS)])}
+#: What separates the pieces of names, and its cost; the most that a known word costs as such a piece.
+SEPARATORS, SEPARATOR, PIECE = frozenset("-_./:()[]{}"), 0.4, 1.2
+#: Shorter runs and repeats than the longest are tried up to this length, or so many times.
+SHORTER = 16
 #: Letters of the shortest word taken from the vocabulary; shorter ones would be found in random letters.
 LEAST_WORD = 4
 
@@ -112,7 +119,7 @@ def _brute(value: str) -> float:
 
 
 def _tail_costs(value: str, brute: float) -> list[float]:
-    """For each place, log10 of the guesses that the cheapest segmentation from there on needs; linear in the length."""
+    """For each place, log10 of the guesses that the cheapest segmentation of a value that begins there needs; linear in the length."""
     low = value.lower()
     plain = low.translate(SWAPS)
     n = len(value)
@@ -122,26 +129,32 @@ def _tail_costs(value: str, brute: float) -> list[float]:
     up = _run_ends(low, lambda a, b: ord(b) - ord(a) == 1)
     down = _run_ends(low, lambda a, b: ord(a) - ord(b) == 1)
     again = {size: _same_for(low, size) for size in range(2, min(16, n // 2) + 1)}
-    best = [0.0] * (n + 1)
+    alone = [True, *(c in SEPARATORS for c in value), True]  # of place k, whether k - 1 is a separator or none
+    best, first = [0.0] * (n + 1), [0.0] * (n + 1)  # from each place on within the value, and if it began there
     for i in range(n - 1, -1, -1):
-        cost = brute + best[i + 1]
+        begun = math.inf
+        cost = (SEPARATOR if value[i] in SEPARATORS else brute) + best[i + 1]
         for form, extra in ((low, 0.0), (plain, 0.5)):
-            for size in range(3, min(longest, n - i) + 1):
+            for size in range(2, min(longest, n - i) + 1):
                 rank = known.get(form[i : i + size])
                 if rank is not None:
-                    upper = 0.3 if value[i : i + size] != low[i : i + size] else 0.0
-                    cost = min(cost, SEGMENT + rank + extra + upper + best[i + size])
+                    more = SEGMENT + extra + best[i + size] + (0.3 if value[i : i + size] != low[i : i + size] else 0.0)
+                    piece = min(rank, PIECE) if alone[i + size + 1] else rank
+                    begun = min(begun, piece + more)
+                    cost = min(cost, (piece if alone[i] else rank) + more)
         if (m := _DATE.match(value, i)) is not None:
             cost = min(cost, SEGMENT + (2.1 if m.end() - i == 4 else 4.6) + best[m.end()])
         for ends, pattern in ((walks, 2.0), (same, 1.0), (up, 1.2), (down, 1.5)):
             if ends[i] - i > 2:
-                cost = min(cost, SEGMENT + pattern + math.log10(ends[i] - i) * (3 if ends is walks else 1) + best[ends[i]])
+                for end in {*range(i + 3, min(ends[i], i + SHORTER) + 1), ends[i]}:
+                    cost = min(cost, SEGMENT + pattern + math.log10(end - i) * (3 if ends is walks else 1) + best[end])
         for size, same_for in again.items():  # a block said again
             if same_for[i] >= size:
-                times = 1 + same_for[i] // size
-                cost = min(cost, SEGMENT + size * brute + math.log10(times) + best[i + times * size])
-        best[i] = cost
-    return best
+                most = 1 + same_for[i] // size
+                for times in {*range(2, min(most, SHORTER) + 1), most}:
+                    cost = min(cost, SEGMENT + size * brute + math.log10(times) + best[i + times * size])
+        best[i], first[i] = cost, min(cost, begun)
+    return first
 
 
 def guess_cost(value: str) -> float:
@@ -176,24 +189,28 @@ def find(raw: bytes, least_cost: float = 9.0) -> list[tuple[str, int, int]]:
     out = [("access", *m.span()) for m in ACCESS.finditer(raw) if m.end() - m.start() >= 20]
     out += [("hex", *m.span()) for m in HEX.finditer(raw)]
     if HINT.search(raw):
-        values: dict[int, set[int]] = {}  # of each end, the places where values begin
+        ends: dict[int, int] = {}  # where a value begins, and the furthest place where it may end
         for m in ASSIGN.finditer(raw):
             if m.end(2) - m.start(2) >= 6:
                 out.append(("assign", *m.span()))
-                values.setdefault(m.end(2), set()).add(m.start(2))
+                ends[m.start(2)] = m.end(2)
         end = 0
         for m in CONTEXT.finditer(raw):
             if m.end() >= end:
                 end = _END.search(raw, m.end()).start()
-            values.setdefault(end, set()).add(m.end())
-        for e, begins in values.items():
-            starts = sorted(begins)
+            ends[m.end()] = max(end, ends.get(m.end(), 0))
+        values: dict[int, list[int]] = {}
+        for start in sorted(ends):
+            values.setdefault(ends[start], []).append(start)
+        for e, starts in values.items():
             text = raw[starts[0] : e].decode(errors="replace").rstrip(".,;:!?)")
             places, at = [0], 0
             for s, t in zip(starts, starts[1:], strict=False):
                 at += len(raw[s:t].decode(errors="replace"))
                 places.append(min(at, len(text)))
-            out += [("guess", s, e) for s, cost in zip(starts, _costs(text, places), strict=True) if cost >= least_cost]
+            costly = [s for s, cost in zip(starts, _costs(text, places), strict=True) if cost >= least_cost]
+            if costly:  # a value that begins with a cue holds the value after it
+                out.append(("guess", costly[-1], e))
     out.sort(key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
     return out
 
