@@ -9,7 +9,7 @@ from dataclasses import dataclass, field
 from functools import cached_property
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 log = logging.getLogger(__name__)
 
@@ -52,10 +52,18 @@ class History:
 class Dataset:
     """A DataFrame and the history that led to it. Never changes; steps return new ones."""
 
-    def __init__(self, data: DataFrame, history: History | None = None):
+    def __init__(self, data: DataFrame, history: History | None = None, is_observed: bool = False):
         if not isinstance(data, DataFrame):
             raise TypeError(f"a Spark DataFrame is needed, not {type(data).__name__}")
-        self._data, self._history = data, history or History()
+        self._data, self._history, self.is_observed = data, history or History(), is_observed
+
+    def observed(self) -> Dataset:
+        """The same data, whose later steps are measured by the job that writes the result, not by jobs of their own.
+
+        Spark counts in the first action that completes, so let that be one over all rows, such as a sink's. Reading
+        metrics before that runs one job for all steps so far.
+        """
+        return Dataset(self._data, self._history, True)
 
     @classmethod
     def from_csv(cls, path: str, spark: SparkSession | None = None, **options) -> Dataset:
@@ -90,6 +98,8 @@ class Dataset:
         return self._history
 
     def head(self, n: int = 5):
+        if self.is_observed and len(self._history):
+            _ = self._history[-1].metrics  # or a few rows would be counted as all
         return self._data.limit(n).toPandas()
 
     def to_pandas(self):
@@ -106,7 +116,7 @@ class Dataset:
     def with_data(self, data: DataFrame, *, step_name: str | None = None, step_record: StepRecord | None = None) -> Dataset:
         if (step_name is None) == (step_record is None):
             raise ValueError("give either step_name or step_record")
-        return Dataset(data, self._history.append(step_record or StepRecord(step_name)))
+        return Dataset(data, self._history.append(step_record or StepRecord(step_name)), self.is_observed)
 
     def with_columns_renamed(self, mapping: Mapping[str, str]) -> Dataset:
         need(self._data, mapping)
@@ -139,6 +149,37 @@ def renamed(data: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
     return data.toDF(*distinct_names([mapping.get(c, c) for c in data.columns]))
 
 
+class Measured:
+    """What a step counts in its input and its output, of a dataset that is observed or not.
+
+    Observed counts ride on the plan; others are one aggregation over each side when the metrics are read.
+    """
+
+    def __init__(self, dataset: Dataset):
+        self.dataset, self.sides, self.observations = dataset, [], []
+
+    def on(self, data: DataFrame, **counts: Column) -> DataFrame:
+        """The data to go on with, in which ``counts`` (aggregates) are taken."""
+        if not self.dataset.is_observed:
+            self.sides.append((data, counts))
+            return data
+        self.observations.append(Observation())
+        return data.observe(self.observations[-1], *[c.alias(n) for n, c in counts.items()])
+
+    def metrics(self, out: DataFrame, say: Callable[[dict[str, Any]], Mapping[str, Any]]) -> Callable[[], Mapping[str, Any]]:
+        def measure() -> Mapping[str, Any]:
+            found: dict[str, Any] = {}
+            for data, counts in self.sides:
+                found |= data.agg(*[c.alias(n) for n, c in counts.items()]).first().asDict()
+            if not all(o._jo.future().isCompleted() for o in self.observations):
+                out.write.format("noop").mode("overwrite").save()
+            for o in self.observations:
+                found |= o.get
+            return say(found)
+
+        return measure
+
+
 class PipelineStep(ABC):
     """One transformation. Subclasses return a new dataset from ``apply``."""
 
@@ -179,10 +220,10 @@ class Pipeline:
 
     MODES = ("interactive", "raise", "skip")
 
-    def __init__(self, steps: Sequence[PipelineStep] = (), on_error: str = "interactive", eager: bool = False):
+    def __init__(self, steps: Sequence[PipelineStep] = (), on_error: str = "interactive", eager: bool = False, observed: bool = False):
         if on_error not in self.MODES:
             raise ValueError(f"on_error must be one of {self.MODES}")
-        self.on_error, self.eager, self._steps = on_error, eager, []
+        self.on_error, self.eager, self.observed, self._steps = on_error, eager, observed, []
         for step in steps:
             self.add(step)
 
@@ -197,7 +238,9 @@ class Pipeline:
         return self
 
     def run(self, dataset: Dataset) -> Dataset:
-        """Fold the steps. Spark finds errors in the data only in an action; ``eager`` forces one after each step."""
+        """Fold the steps. Spark finds errors in the data only in an action; ``eager`` forces one after each step. With ``observed`` the
+        job that writes the result measures the steps too; see ``Dataset.observed``."""
+        dataset = dataset.observed() if self.observed else dataset
         for step in self._steps:
             try:
                 made = step.apply(dataset)

@@ -8,13 +8,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..core import Dataset, PipelineStep, need
+from ..core import Dataset, Measured, PipelineStep, need
 from ..functions.fuzzy import best_matches
 from ..functions.text import last_segment, province_key, slugify
-from .closure import transitive_closure
+from ..sources.turtle import XSD
+from .closure import reachable
 from .columns import LISTED
 
 CLV = "https://w3id.org/italia/onto/CLV/"
@@ -24,6 +25,11 @@ RDF_TYPE = "http://www.w3.org/1999/02/22-rdf-syntax-ns#type"
 NUTS = "http://nuts.geovocab.org/id/"
 PROVINCES = "https://w3id.org/italia/controlled-vocabulary/territorial-classifications/provinces/"
 
+DCT = "http://purl.org/dc/terms/"
+CC_BY = "https://creativecommons.org/licenses/by/4.0/"
+# Where the names of offices and the external labels come from.
+OFFICE_SOURCE = "https://www.inps.it/osservatorio"
+LABEL_SOURCE = "https://dbpedia.org/sparql"
 OUTPUTS = {"uri": "uri_agid", "label": "label_agid", "istat": "codice_istat", "acronym": "sigla"}
 
 # Spellings of province names (normalized) and the codes they mean.
@@ -79,7 +85,8 @@ def nuts_index(triples: DataFrame, dimension: DataFrame) -> DataFrame:
     """
     same = triples.where((F.col("p") == OWL + "sameAs") & (F.col("o_kind") == "iri")).select(F.col("s").alias("a"), F.col("o").alias("b"))
     ours = dimension.select("uri", "istat")
-    over = transitive_closure(same).join(ours, F.col("a") == F.col("uri")).where(F.col("b").startswith(NUTS)).select("uri", "istat", last_segment(F.col("b")).alias("code"))
+    reached = reachable(same, ours.select(F.col("uri").alias("start"))).where(F.col("node").startswith(NUTS))  # from the provinces alone
+    over = reached.join(ours, F.col("start") == F.col("uri")).select("uri", "istat", last_segment(F.col("node")).alias("code"))
     match = triples.where(F.col("p") == SKOS + "exactMatch").join(ours, F.col("o") == F.col("uri")).select("uri", "istat", last_segment(F.col("s")).alias("code"))
     found = over.unionByName(match).where(~F.col("code").isin("", "-")).distinct()
     found = found.withColumn("n", F.count(F.lit(1)).over(Window.partitionBy("uri")))
@@ -102,13 +109,15 @@ class _Lookup(PipelineStep):
         kept = [d[c] for c in d.columns if c not in self.outputs.values()]
         out = d.join(index, key == index["__key"], "left").select(*kept, *[index[c].alias(n) for c, n in self.outputs.items()])
         lost = out.where(F.col(self.outputs["uri"]).isNull())
+        counted = Measured(dataset)
+        out = counted.on(out, n=F.count(F.lit(1)), hit=F.count(out[self.outputs["uri"]]))
 
-        def measure():
-            r = out.agg(F.count(F.lit(1)).alias("n"), F.count(self.outputs["uri"]).alias("hit")).first()
+        def say(m):
             codes = lost.select(F.col(self.source).cast("string").alias("c")).distinct()
-            return {"matched": r.hit, "unmatched": r.n - r.hit, "unmatched_codes": [str(x.c) for x in codes.orderBy("c").limit(LISTED).collect()], "n_unmatched_codes": codes.count()}
+            listed = [str(x.c) for x in codes.orderBy("c").limit(LISTED + 1).collect()] if m["hit"] < m["n"] else []
+            return {"matched": m["hit"], "unmatched": m["n"] - m["hit"], "unmatched_codes": listed[:LISTED], "n_unmatched_codes": len(listed) if len(listed) <= LISTED else codes.count()}
 
-        return self.done(dataset, out, {"source": self.source}, measure)
+        return self.done(dataset, out, {"source": self.source}, counted.metrics(out, say))
 
 
 class LinkProvinceByNUTS(_Lookup):
@@ -135,7 +144,7 @@ def cascade(keys: DataFrame, dimension: DataFrame, aliases: Mapping[str, str], m
     """(key, uri, how) for distinct normalized keys: direct, then alias, then fuzzy.
 
     An alias whose code the dimension lacks goes on to fuzzy. Only the keys left over are compared
-    with the names, in blocks by length; the best score wins, then the lowest istat code.
+    with the names, where they share a part; the best score wins, then the lowest istat code.
     """
     names = dimension.select(province_key(F.col("label")).alias("name"), "istat", "uri")
     one = Window.partitionBy("name").orderBy("istat")
@@ -179,13 +188,15 @@ class LinkOffice(PipelineStep):
     """Offices to provinces; an office of several provinces has them all in ``aggregates`` (joined by commas).
 
     Adds office uri, slug, the code it corresponds to (one province), the codes it aggregates
-    (several) and the uri of the first province. ``bridge`` gives one row for each office and province.
+    (several) and the uri of the first province. ``bridge`` gives one row for each office and province. With ``sidecar_to`` the
+    triples of ``sidecar`` are written there as Turtle, with a header and the names in ``labels``.
     """
 
     COLUMNS = ("uri_sede", "slug_sede", "correspondsto_codice_istat", "aggregates_codici_istat", "uri_provincia_principale")
 
-    def __init__(self, office_column: str, dimension: DataFrame, namespace: str, offices: Mapping[str, list[str]] | None = None, min_fuzzy_score: float = 90):
+    def __init__(self, office_column: str, dimension: DataFrame, namespace: str, offices: Mapping[str, list[str]] | None = None, min_fuzzy_score: float = 90, sidecar_to: str | None = None, labels: DataFrame | None = None):
         super().__init__()
+        self.sidecar_to, self.labels = sidecar_to, labels
         self.source, self.dimension, self.namespace, self.score = office_column, dimension, namespace, min_fuzzy_score
         self.offices = OFFICES if offices is None else dict(offices)
 
@@ -204,6 +215,10 @@ class LinkOffice(PipelineStep):
         slug = slugify(d[self.source].cast("string"))
         values = (F.concat(F.lit(self.namespace + "sede-"), slug), slug, index.one, index.many, index.uri)
         out = d.join(index, key == index.key, "left").select(*[d[c] for c in d.columns if c not in self.COLUMNS], *[v.alias(n) for n, v in zip(self.COLUMNS, values, strict=True)])
+        if self.sidecar_to:
+            from ..sources.turtle_sink import write_turtle
+
+            write_turtle(self.sidecar(out, self.namespace, labels=self.labels, header=True), self.sidecar_to)
         return self.done(dataset, out, {"source": self.source})
 
     def bridge(self, linked: DataFrame) -> DataFrame:
@@ -211,15 +226,27 @@ class LinkOffice(PipelineStep):
         codes = F.split(F.coalesce("correspondsto_codice_istat", "aggregates_codici_istat"), ",")
         return linked.select("uri_sede", F.explode(codes).alias("codice_istat")).distinct()
 
-    def sidecar(self, linked: DataFrame, vocabulary: str, province_base: str = PROVINCES) -> DataFrame:
-        """Triples of each office: type, label, notation and its provinces."""
+    def sidecar(self, linked: DataFrame, vocabulary: str, province_base: str = PROVINCES, labels: DataFrame | None = None, header: bool = False) -> DataFrame:
+        """Triples of each office: type, label, notation and its provinces.
+
+        ``labels`` (istat, label) are the provinces' names in the source of residences, each of which becomes an altLabel in the language
+        it-x-inps. ``header`` adds the sidecar's own node.
+        """
         codes = F.split(F.coalesce("correspondsto_codice_istat", "aggregates_codici_istat"), ",")
         rows = linked.select("uri_sede", "slug_sede", F.col(self.source).alias("label"), codes.alias("codes")).where(F.col("codes").isNotNull()).distinct()
         item = lambda p, o, kind, lang=None: F.struct(F.lit(p).alias("p"), o.alias("o"), F.lit(kind).alias("o_kind"), F.lit(lang).cast("string").alias("lang"))
         verb = F.when(F.size("codes") > 1, F.lit(vocabulary + "aggregatesProvince")).otherwise(F.lit(vocabulary + "correspondsToProvince"))
         to = F.transform("codes", lambda c: F.struct(verb.alias("p"), F.concat(F.lit(province_base), c).alias("o"), F.lit("iri").alias("o_kind"), F.lit(None).cast("string").alias("lang")))
         fixed = F.array(item(RDF_TYPE, F.lit(vocabulary + "Office"), "iri"), item(SKOS + "prefLabel", F.col("label"), "literal", "it"), item(SKOS + "notation", office_notation(F.col("slug_sede"), F.size("codes")), "literal"))
-        return rows.select(F.col("uri_sede").alias("s"), F.explode(F.concat(fixed, to)).alias("x")).select("s", "x.p", "x.o", "x.o_kind", F.lit(None).cast("string").alias("datatype"), "x.lang").distinct()
+        out = rows.select(F.col("uri_sede").alias("s"), F.explode(F.concat(fixed, to)).alias("x")).select("s", "x.p", "x.o", "x.o_kind", F.lit(None).cast("string").alias("datatype"), "x.lang").distinct()
+        if labels is not None:
+            none = F.lit(None).cast("string")
+            named = labels.where(F.col("istat").isNotNull() & F.col("label").isNotNull())
+            out = out.unionByName(named.select(F.concat(F.lit(province_base), "istat").alias("s"), F.lit(SKOS + "altLabel").alias("p"), F.col("label").alias("o"), F.lit("literal").alias("o_kind"), none.alias("datatype"), F.lit("it-x-inps").alias("lang")).distinct())
+        if header:
+            about = "Names of offices and provinces in the pension sources, and the provinces of the official vocabulary that they stand for"
+            out = out.unionByName(sidecar_header(linked.sparkSession, vocabulary + "offices-to-provinces", "Offices and provinces", about, OFFICE_SOURCE))
+        return out
 
 
 def reconcile_labels(rows: DataFrame, provinces: DataFrame, overrides: Mapping[str, str]) -> tuple[DataFrame, DataFrame]:
@@ -240,7 +267,18 @@ def reconcile_labels(rows: DataFrame, provinces: DataFrame, overrides: Mapping[s
     return found.where(F.col("resource").isNotNull()), found.where(F.col("resource").isNull()).select("istat")
 
 
-def same_as_sidecar(found: DataFrame, province_base: str = PROVINCES) -> DataFrame:
-    """sameAs triples of reconciled provinces."""
+def sidecar_header(spark: SparkSession, uri: str, title: str, description: str, source: str, created: str | None = None, language: str = "en") -> DataFrame:
+    """What a sidecar says of itself: type, title, description, source, licence and, if given, the day it was made."""
+    rows = [(RDF_TYPE, DCT + "Standard", "iri", None, None), (DCT + "title", title, "literal", None, language), (DCT + "description", description, "literal", None, language), (DCT + "source", source, "iri", None, None), (DCT + "license", CC_BY, "iri", None, None)]
+    if created:
+        rows.append((DCT + "created", created, "literal", XSD + "date", None))
+    return spark.createDataFrame([(uri, *r) for r in rows], "s string, p string, o string, o_kind string, datatype string, lang string")
+
+
+def same_as_sidecar(found: DataFrame, province_base: str = PROVINCES, header_uri: str | None = None, source: str = LABEL_SOURCE, created: str | None = None) -> DataFrame:
+    """sameAs triples of reconciled provinces; with ``header_uri`` also the sidecar's own node, which says how many there are."""
     none = F.lit(None).cast("string")
+    if header_uri:
+        about = f"{found.count()} links of provinces to resources of {source}, by their labels and by hand where names differ"
+        return same_as_sidecar(found, province_base).unionByName(sidecar_header(found.sparkSession, header_uri, "Provinces and external resources", about, source, created))
     return found.select(F.concat(F.lit(province_base), "istat").alias("s"), F.lit(OWL + "sameAs").alias("p"), F.col("resource").alias("o"), F.lit("iri").alias("o_kind"), none.alias("datatype"), none.alias("lang"))

@@ -10,7 +10,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..core import Dataset, PipelineStep, need
+from ..core import Dataset, Measured, PipelineStep, need
 from ..sources.turtle import COLUMNS, RDF, XSD
 
 QB = "http://purl.org/linked-data/cube#"
@@ -19,7 +19,7 @@ SDMX = "http://purl.org/linked-data/sdmx/2009/"
 PROV = "http://www.w3.org/ns/prov#"
 STATUS = SDMX + "attribute#obsStatus"
 STATUS_CODE = SDMX + "code#obsStatus-"
-METADATA = {k: DCT + k for k in ("title", "description", "publisher", "license", "issued", "source")}
+METADATA = {k: DCT + k for k in ("title", "description", "publisher", "license", "issued", "source", "rights")}
 
 
 def _null() -> Column:
@@ -79,7 +79,7 @@ class EmitObservations(PipelineStep):
     properties, or ``measure_type_column`` (a property's IRI) and ``value_column`` give one measure
     a row. Rows lacking a dimension are not emitted and keep a null ``_obs_uri``. The triples are in
     ``triples`` of the step after ``apply`` and are written to ``output`` if given; equal observation
-    IRIs merge.
+    IRIs merge. Texts of ``metadata`` are in ``language``, unless they are written as ``"text"@lang``.
     """
 
     def __init__(
@@ -99,8 +99,10 @@ class EmitObservations(PipelineStep):
         metadata: Mapping[str, str] | None = None,
         dataset_attributes: Mapping[str, str] | None = None,
         output: str | None = None,
+        language: str = "it",
     ):
         super().__init__()
+        self.language = language
         if (measure_type_column is None) != (value_column is None):
             raise ValueError("measure_type_column and value_column go together")
         if not measures and value_column is None:
@@ -126,7 +128,7 @@ class EmitObservations(PipelineStep):
             elif key == "issued":
                 items.append(node(p, F.lit(value), "literal", F.lit(XSD + "date")))
             else:
-                items.append(node(p, F.lit(value), "literal", None, F.lit("it")))
+                items.append(constant_node(p, value) if re.fullmatch(r'".*"@[A-Za-z-]+', value, re.DOTALL) else node(p, F.lit(value), "literal", None, F.lit(self.language)))
         items += [constant_node(p, v) for p, v in self.dataset_attributes.items()]
         one = spark.range(1).select(F.lit(self.dataset_uri).alias("s"), F.explode(F.array(*items)).alias("x"))
         return one.select("s", "x.*")
@@ -159,16 +161,16 @@ class EmitObservations(PipelineStep):
         whole = F.lit(True)
         for c in self.dimensions:
             whole = whole & d[c].isNotNull()
-        out = d.withColumn("_obs_uri", F.when(whole, template_column(self.template, d.columns)))
-        self.triples = self.header(d.sparkSession).unionByName(self.observations(out)).select(*COLUMNS).dropDuplicates()
+        counted = Measured(dataset)
+        out = counted.on(d.withColumn("_obs_uri", F.when(whole, template_column(self.template, d.columns))), n=F.count(F.lit(1)), hit=F.count("_obs_uri"))
+        self.triples = self.header(d.sparkSession).unionByName(self.observations(out)).select(*COLUMNS).dropDuplicates(COLUMNS)
         triples = self.triples
         if self.output:
             from ..sources.sinks import write_triples
 
             write_triples(triples, self.output)
 
-        def measure() -> dict[str, Any]:
-            r = out.agg(F.count(F.lit(1)).alias("n"), F.count("_obs_uri").alias("hit")).first()
-            return {"input_rows": r.n, "observations_emitted": r.hit, "rows_skipped_missing_dimension": r.n - r.hit, "triples_written": triples.count()}
+        def say(m: dict[str, Any]) -> dict[str, Any]:
+            return {"input_rows": m["n"], "observations_emitted": m["hit"], "rows_skipped_missing_dimension": m["n"] - m["hit"], "triples_written": triples.count()}
 
-        return self.done(dataset, out, {"dataset": self.dataset_uri}, measure)
+        return self.done(dataset, out, {"dataset": self.dataset_uri}, counted.metrics(out, say))

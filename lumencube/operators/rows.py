@@ -7,7 +7,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..core import Dataset, PipelineStep, need
+from ..core import Dataset, Measured, PipelineStep, need
 
 
 class FilterRows(PipelineStep):
@@ -18,21 +18,19 @@ class FilterRows(PipelineStep):
         self.predicate = predicate
 
     def apply(self, dataset: Dataset) -> Dataset:
-        out = dataset.data.where(self.predicate(dataset.data))
-
-        def measure():
-            before, after = dataset.data.count(), out.count()
-            return {"rows_before": before, "rows_after": after, "rows_removed": before - after}
-
-        return self.done(dataset, out, measure=measure)
+        counted = Measured(dataset)
+        data = counted.on(dataset.data, before=F.count(F.lit(1)))
+        out = counted.on(data.where(self.predicate(data)), after=F.count(F.lit(1)))
+        return self.done(dataset, out, measure=counted.metrics(out, lambda m: {"rows_before": m["before"], "rows_after": m["after"], "rows_removed": m["before"] - m["after"]}))
 
 
 class DropDuplicateRows(PipelineStep):
     """Equal rows once; nulls are equal."""
 
     def apply(self, dataset: Dataset) -> Dataset:
-        out = dataset.data.dropDuplicates()
-        return self.done(dataset, out, measure=lambda: {"removed_count": dataset.data.count() - out.count()})
+        counted = Measured(dataset)
+        out = counted.on(counted.on(dataset.data, before=F.count(F.lit(1))).dropDuplicates(), after=F.count(F.lit(1)))
+        return self.done(dataset, out, measure=counted.metrics(out, lambda m: {"removed_count": m["before"] - m["after"]}))
 
 
 class KeepFirst(PipelineStep):
@@ -75,11 +73,7 @@ class LeftJoinEnrich(PipelineStep):
         small = right.select(*[right[c].alias(f"__k{k}") for k, c in enumerate(self.right_on)], *[right[c].alias(f"__c{k}") for k, c in enumerate(self.columns)])
         on = [left[c].eqNullSafe(small[f"__k{k}"]) for k, c in enumerate(self.left_on)]
         out = left.join(small, on, "left").select(*[left[c] for c in left.columns], *[small[f"__c{k}"].alias(names[c]) for k, c in enumerate(self.columns)])
-
-        def measure():
-            if not self.columns:
-                return {"matched": out.count(), "unmatched": 0}
-            r = out.agg(F.count(F.lit(1)).alias("n"), F.count(names[self.columns[0]]).alias("hit")).first()
-            return {"matched": r.hit, "unmatched": r.n - r.hit}
-
-        return self.done(dataset, out, {"left_on": self.left_on, "right_on": self.right_on, "columns": self.columns}, measure)
+        counted = Measured(dataset)
+        hit = F.count(out[names[self.columns[0]]]) if self.columns else F.count(F.lit(1))
+        out = counted.on(out, n=F.count(F.lit(1)), hit=hit)
+        return self.done(dataset, out, {"left_on": self.left_on, "right_on": self.right_on, "columns": self.columns}, counted.metrics(out, lambda m: {"matched": m["hit"], "unmatched": m["n"] - m["hit"]}))

@@ -15,7 +15,7 @@ from ..core import Dataset, Pipeline, Recipe
 from ..functions.text import last_segment
 from ..operators.columns import CastTypes, EnrichWithStaticMapping, ParseItalianNumbers, RenameColumns, WithColumn
 from ..operators.index import composite_long, index_components
-from ..operators.link import LinkOffice, LinkProvinceByAcronym, LinkProvinceByName, LinkProvinceByNUTS
+from ..operators.link import CC_BY, LinkOffice, LinkProvinceByAcronym, LinkProvinceByName, LinkProvinceByNUTS
 from ..operators.observations import SDMX, EmitObservations
 from ..operators.reshape import AggregateIncomesByProvince, AggregateSardiniaProvinces, ProjectRegimes, UnpivotPensionsInForce, UnpivotRegimes, UnpivotYears
 from ..operators.rows import FilterRows
@@ -42,7 +42,18 @@ INDICATORS = {
     "BIRTHRATE": ("ind-birthrate", "per mille"),
     "LIFEEXP65T": ("ind-lifeexp65t", "anni"),
 }
-CC_BY = "https://creativecommons.org/licenses/by/4.0/"
+#: What each cube says of itself: title, description, source. The texts are in English.
+ABOUT = {
+    "pensions-by-residence": ("Pensions in force by province of residence and management", "Numbers of pensions, mean monthly and total annual amounts by province of residence, year and management. The provinces of Sardinia are regrouped to those of today; means are weighted by numbers.", "https://www.inps.it/osservatorio"),
+    "regime-by-office": ("Pensions by office and settlement regime", "Numbers of pensions and mean monthly amounts by local office and settlement regime, one measure an observation. Annual amounts are estimated as number x mean x 13, and name the observations they were made from. Public pensions are not included.", "https://www.inps.it/osservatorio"),
+    "series-by-office": ("Pensions by office and year", "Numbers of pensions and mean monthly amounts by local office and year, one measure an observation. Annual amounts are estimated as number x mean x 13; Sardinian offices before their reform are estimates too.", "https://www.inps.it/osservatorio"),
+    "public-start-years": ("Public pensions by start year", "Numbers of public pensions, mean amounts and mean ages by the year they started. The oldest class has all that started by 1980.", "https://www.inps.it/osservatorio"),
+    "employment": ("Employed persons by province", "Thousands of employed persons by province and year.", "https://www.istat.it"),
+    "demography": ("Demographic indicators by province", "Shares of ages, dependency and ageing indices, mean age, birth rate and life expectancy at 65 by province and year.", "https://www.istat.it"),
+    "incomes": ("Declared incomes by province", "Numbers of taxpayers and declared amounts by province, year and kind of income, summed from municipalities.", "https://www.finanze.gov.it"),
+    "composite-index": ("Composite index of territorial dependence on pensions", "Three components by province, normalized between their least and greatest values, and their mean. Raw values are attributes; each observation names those it was made from.", "https://www.w3.org/TR/vocab-data-cube/"),
+    "projected-regimes": ("Public pensions by province and regime, projected", "Public pensions of each province shared out by the national composition of regimes by start year. All values are estimates.", "https://www.inps.it/osservatorio"),
+}
 INCOME_KINDS = ("v2", "v4", "v5", "v6", "v7")
 
 
@@ -55,19 +66,20 @@ class _CubeRecipe(Recipe):
     """What all cubes share: the territory dimension, names, an optional output of triples.
 
     ``metadata`` (title, description, issued, source, license, rights) adds to the dataset's node or
-    replaces what the cube says of itself.
+    replaces what the cube says of itself; its texts are in ``language``.
     """
 
     dimension: DataFrame | None = None
     vocabulary: Vocabulary = Vocabulary()
     output: str | None = None
     metadata: dict[str, str] = field(default_factory=dict)
+    language: str = "en"
 
     def emit(self, cube: str, template: str, dimensions: dict, **options) -> EmitObservations:
         v = self.vocabulary
-        about = " ".join((type(self).__doc__ or "").split())
-        own = {"title": cube.replace("-", " ").capitalize(), "description": about, "license": CC_BY}
-        return EmitObservations(v(cube), v(f"dsd-{cube}"), v.base + template, dimensions, output=self.output, metadata=own | self.metadata, **options)
+        title, description, source = ABOUT[cube]
+        own = {"title": title, "description": description, "license": CC_BY, "source": source, "rights": "Derived from open data of the source, under the same licence"}
+        return EmitObservations(v(cube), v(f"dsd-{cube}"), v.base + template, dimensions, output=self.output, metadata=own | self.metadata, language=self.language, **options)
 
 
 @dataclass
@@ -97,13 +109,15 @@ class PensionsByResidence(_CubeRecipe):
 
 @dataclass
 class RegimeByOffice(_CubeRecipe):
-    """Cube 2: office x year x regime x measure, one value a row; the annual amount is an estimate."""
+    """Cube 2: office x year x regime x measure, one value a row; the annual amount is an estimate. ``sidecar`` is where the offices and provinces go as Turtle, with the names in ``residences``."""
 
     year: int = 2026
+    sidecar: str | None = None
+    residences: DataFrame | None = None
 
     def build(self) -> Pipeline:
         v = self.vocabulary
-        link = LinkOffice("sede", self.dimension, v.base)
+        link = LinkOffice("sede", self.dimension, v.base, sidecar_to=self.sidecar, labels=self.residences)
         return Pipeline(
             [
                 ParseItalianNumbers([c for c in REGIME_COLUMNS if c not in ("sede", "blank")]),
@@ -129,7 +143,10 @@ def estimated_sources(data: DataFrame, v: Vocabulary, keys: list[str], kind: str
 
 @dataclass
 class SeriesByOffice(_CubeRecipe):
-    """Cube 3: office x year x management x measure; Sardinian offices before 2012 are estimates too."""
+    """Cube 3: office x year x management x measure; Sardinian offices before 2012 are estimates too. ``sidecar`` and ``residences`` as for cube 2."""
+
+    sidecar: str | None = None
+    residences: DataFrame | None = None
 
     def build(self) -> Pipeline:
         v = self.vocabulary
@@ -138,7 +155,7 @@ class SeriesByOffice(_CubeRecipe):
             [
                 ParseItalianNumbers([c for c in YEARS_COLUMNS if c not in ("sede", "blank")]),
                 UnpivotYears({k: v(n) for k, n in MEASURES.items()}),
-                LinkOffice("sede", self.dimension, v.base),
+                LinkOffice("sede", self.dimension, v.base, sidecar_to=self.sidecar, labels=self.residences),
                 WithColumn("gestione_uri", v(MANAGEMENTS["TOT"])),
                 WithColumn("misura", lambda d: last_segment(d["measure_type"])),
                 WithColumn("status", lambda d: F.when(d["is_estimated"] | broken(d), STATUS_CODE + "E").otherwise(STATUS_CODE + "A")),

@@ -758,4 +758,4 @@ def revenue_ratio_index(spark, d):
     return flagship(spark, d)
 
 
-from . import registry_cubes, registry_joins, registry_lattice, registry_sources  # noqa: E402, F401  (they register their queries here)
+from . import registry_cubes, registry_graphs, registry_joins, registry_lattice, registry_sources  # noqa: E402, F401  (they register their queries here)

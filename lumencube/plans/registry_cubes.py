@@ -2,20 +2,26 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..core import Dataset
+from ..core import Dataset, Pipeline
 from ..functions.text import last_segment
 from ..operators import columns as C
 from ..operators import link
 from ..operators.index import index_components
 from ..operators.observations import PROV, QB, EmitObservations
 from ..operators.reshape import INCOME_COLUMNS
+from ..operators.rows import FilterRows
+from ..scratch import shared_dir
+from ..sources import sinks
+from ..sources.turtle import read_turtle
 from . import cube_queries, quality
 from .examples import CustomersRecipe, EnrichmentRecipe, MunicipalitiesRecipe, ProvincesRecipe
 from .profile import profile
-from .recipes import IN_FORCE_COLUMNS, CompositeIndex, Demography, Employment, Incomes, PensionsByResidence, PublicStartYears, RegimeByOffice, REGIME_COLUMNS
+from .recipes import IN_FORCE_COLUMNS, REGIME_COLUMNS, YEARS_COLUMNS, CompositeIndex, Demography, Employment, Incomes, PensionsByResidence, ProjectedPublicRegimes, PublicStartYears, RegimeByOffice, SeriesByOffice, public_counts
 from .registry import _CODE, _STATUS, _TYPE, _XSD, Engine, nation_triples, nth, query, run, t
 
 _EX = "https://example.org/cubes/"
@@ -367,3 +373,96 @@ def profile_report(spark, d):
     rows = c.select("c_custkey", "c_acctbal", F.col("c_name").alias("Odd Name"), F.lit(None).cast("int").alias("void"), F.when(nth("c_custkey", 4) == 0, F.lit(1.0)).when(nth("c_custkey", 4) == 1, F.lit(float("nan"))).alias("sparse"))
     r = profile(Dataset(rows.unionByName(rows)))
     return spark.createDataFrame([(r.rows, r.columns, ",".join(r.non_snake_case), ",".join(r.empty_columns), round(r.high_null_columns["sparse"], 6), r.duplicate_rows)], "rows long, columns int, odd string, empty string, share double, again long")
+
+
+_SERIES = (
+    "WITH b AS (SELECT c_nationkey AS k, y, CASE WHEN y % 10 <> 0 THEN count(*) + y - 1998 END AS n, CASE WHEN y % 10 <> 0 AND y % 7 <> 0 THEN count(*) / 4.0 END AS m FROM customer, range(1998, 2027) r(y) GROUP BY c_nationkey, y),"
+    " v AS (SELECT k, y, 'numeroPensioni' AS misura, CAST(n AS DOUBLE) AS value, 'A' AS st, 0 AS derived FROM b WHERE n IS NOT NULL OR m IS NOT NULL UNION ALL SELECT k, y, 'importoMedioMensile', m, 'A', 0 FROM b WHERE n IS NOT NULL OR m IS NOT NULL"
+    " UNION ALL SELECT k, y, 'importoAnnuoComplessivo', n * m * 13, 'E', 2 FROM b WHERE n IS NOT NULL OR m IS NOT NULL)"
+)
+
+
+@query(
+    f"{_SERIES} SELECT {_ISTAT} AS istat, CAST(y AS INTEGER) AS anno, misura, round(value, 2) AS value, '{_CODE}' || st AS status, CAST(derived AS INTEGER) AS derived, '{_EX}obs-serie-' || lower(replace(n_name, '_', '')) || '-' || y || '-' || misura AS _obs_uri FROM v JOIN nation ON n_nationkey = k"
+)
+def recipe_series(spark, d):
+    """Cube 3: years with neither number nor mean are left out; a missing mean leaves the annual amount missing."""
+    n = t(spark, d, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("n"))
+    rows = n.join(t(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    said = lambda c, missing: F.lit("- ") if missing else F.replace(c.cast("string"), F.lit("."), F.lit(","))
+    cells = [x for y in range(1998, 2027) for x in (said(F.col("n") + (y - 1998), y % 10 == 0), said(F.col("n") / 4, y % 10 == 0 or y % 7 == 0))]
+    table = rows.select(F.col("n_name").alias("sede"), F.lit("").alias("blank"), *[x.alias(c) for x, c in zip(cells, YEARS_COLUMNS[2:], strict=True)])
+    got = SeriesByOffice(dimension=_dimension(spark, d)).apply(Dataset(table)).data
+    return got.select(F.col("correspondsto_codice_istat").alias("istat"), "anno", "misura", F.round("value", 2).alias("value"), "status", F.size("derived").alias("derived"), "_obs_uri")
+
+
+_SHARES = "SELECT count(*) FILTER (WHERE y <= 1995) / CAST(count(*) AS DOUBLE) AS retributivo, count(*) FILTER (WHERE y BETWEEN 1996 AND 2011) / CAST(count(*) AS DOUBLE) AS dini, count(*) FILTER (WHERE y BETWEEN 2012 AND 2025) / CAST(count(*) AS DOUBLE) AS fornero FROM (SELECT 1980 + p_partkey % 46 AS y FROM part)"
+
+
+@query(
+    f"SELECT {_ISTAT} AS codice_istat, r[1] AS regime_notation, round(n * CAST(r[2] AS DOUBLE), 4) AS projected, '{_CODE}E' AS status, '{_EX}obs-planb-' || {_ISTAT} || '-2026-' || r[1] AS _obs_uri, '{_EX}obs-vigenti-' || {_ISTAT} || '-2026-PUB' AS derived"
+    f" FROM (SELECT c_nationkey AS k, count(*) AS n FROM customer GROUP BY 1), (SELECT unnest([['retributivo', CAST(retributivo AS VARCHAR)], ['misto-dini', CAST(dini AS VARCHAR)], ['misto-fornero', CAST(fornero AS VARCHAR)], ['contributivo-puro', '0']]) AS r FROM ({_SHARES})) JOIN nation ON n_nationkey = k"
+)
+def recipe_projected(spark, d):
+    """Cube 9, from the public pensions of cube 1 read back and the composition of a start-years export."""
+    n = t(spark, d, "part").groupBy((1980 + nth("p_partkey", 46)).alias("y")).agg(F.count(F.lit(1)).cast("string").alias("n"))
+    place = f"{shared_dir(spark, 'io')}/years"
+    n.select(F.concat(F.lit('"'), F.col("y").cast("string"), F.lit('";"";"'), "n", F.lit(' ";"40,5 ";"1,0 ";"1,0 ";"80,0 "')).alias("value")).write.text(place)
+    one = t(spark, d, "customer").groupBy("c_nationkey").agg(F.count(F.lit(1)).alias("numero"))
+    rows = one.join(t(spark, d, "nation"), F.col("n_nationkey") == F.col("c_nationkey"))
+    cube1 = rows.select(F.concat(F.lit(link.PROVINCES), _istat()).alias("uri_agid"), F.lit("PUB").alias("gestione"), "numero")
+    cube1 = cube1.unionByName(cube1.withColumn("gestione", F.lit("TOT"))).unionByName(cube1.withColumn("uri_agid", F.lit(None).cast("string")))
+    done = ProjectedPublicRegimes(spark=spark, start_years_path=place).apply(Dataset(public_counts(cube1))).data
+    return done.select("codice_istat", "regime_notation", F.round("projected", 4).alias("projected"), "status", "_obs_uri", F.get("derived", F.lit(0)).alias("derived"))
+
+
+@query(
+    f"SELECT '{link.PROVINCES}' || {_ISTAT} AS s, '{link.SKOS}altLabel' AS p, n_name || ' (res.)' AS o, 'literal' AS o_kind, NULL AS datatype, 'it-x-inps' AS lang FROM nation WHERE n_nationkey % 5 <> 4"
+    f" UNION ALL SELECT 'https://v/offices-to-provinces', '{_TYPE}', 'http://purl.org/dc/terms/Standard', 'iri', NULL, NULL UNION ALL SELECT 'https://v/offices-to-provinces', 'http://purl.org/dc/terms/title', 'Offices and provinces', 'literal', NULL, 'en'"
+    f" UNION ALL SELECT 'https://v/offices-to-provinces', 'http://purl.org/dc/terms/source', '{link.OFFICE_SOURCE}', 'iri', NULL, NULL UNION ALL SELECT 'https://v/offices-to-provinces', 'http://purl.org/dc/terms/license', '{link.CC_BY}', 'iri', NULL, NULL"
+)
+def office_sidecar_header(spark, d):
+    """What the sidecar of offices says of provinces' names and of itself, written as Turtle and read back."""
+    n = t(spark, d, "nation")
+    labels = n.where(nth("n_nationkey", 5) != 4).select(_istat().alias("istat"), F.concat("n_name", F.lit(" (res.)")).alias("label"))
+    place = f"{shared_dir(spark, 'io')}/sidecar"
+    step = link.LinkOffice("sede", _dimension(spark, d), "https://v/", min_fuzzy_score=100, sidecar_to=place, labels=labels)
+    step.apply(Dataset(n.select(F.col("n_name").alias("sede"))))
+    got = read_turtle(spark, place, one_document=True)
+    return got.where((F.col("p") == link.SKOS + "altLabel") | ((F.col("s") == "https://v/offices-to-provinces") & ~F.col("p").endswith("description")))
+
+
+@query(
+    "SELECT p, CASE WHEN p = 'http://purl.org/dc/terms/description' THEN '(' || (SELECT count(*) FROM nation WHERE n_nationkey % 4 <> 3) || ' links)' ELSE o END AS o, lang FROM (VALUES"
+    f" ('{_TYPE}', 'http://purl.org/dc/terms/Standard', NULL), ('http://purl.org/dc/terms/title', 'Provinces and external resources', 'en'), ('http://purl.org/dc/terms/description', '', 'en'),"
+    f" ('http://purl.org/dc/terms/source', '{link.LABEL_SOURCE}', NULL), ('http://purl.org/dc/terms/license', '{link.CC_BY}', NULL), ('http://purl.org/dc/terms/created', '2026-01-31', NULL)) x(p, o, lang)"
+)
+def reconcile_sidecar_header(spark, d):
+    n = t(spark, d, "nation")
+    rows = n.where(nth("n_nationkey", 4) != 3).select(F.concat(F.lit("http://db/"), F.col("n_nationkey").cast("string")).alias("resource"), F.col("n_name").alias("label_it"), F.lit(None).cast("string").alias("label_en"))
+    found, _ = link.reconcile_labels(rows, n.select(_istat().alias("istat"), F.col("n_name").alias("label")), {})
+    got = link.same_as_sidecar(found, header_uri="http://ex/sidecar", created="2026-01-31").where("s = 'http://ex/sidecar'")
+    many = F.concat(F.lit("("), F.regexp_extract("o", "^([0-9]+ links)", 1), F.lit(")"))
+    return got.select("p", F.when(F.col("p").endswith("description"), many).otherwise(F.col("o")).alias("o"), "lang")
+
+
+@query("SELECT n_regionkey AS region, count(*) AS n FROM nation GROUP BY 1")
+def graph_query_json(spark, d):
+    """The JSON result of a graph query, as rows again."""
+    engine = Engine.stored(nation_triples(spark, d))
+    told = engine.to_json_result("SELECT ?r (COUNT(?n) AS ?c) WHERE { ?n a <http://ex/Nation> ; <http://ex/in> ?r } GROUP BY ?r")
+    rows = spark.createDataFrame([(json.dumps(r),) for r in told["rows"]], "row string")  # a row for each region
+    parsed = rows.select(F.from_json("row", "r string, c string").alias("x"))
+    return parsed.select(F.regexp_extract("x.r", "([0-9]+)$", 1).cast(t(spark, d, "nation").schema["n_regionkey"].dataType).alias("region"), F.col("x.c").cast("bigint").alias("n"))
+
+
+@query("SELECT step, metric, CAST(value AS BIGINT) AS value FROM (SELECT 'FilterRows' AS step, unnest(['rows_before', 'rows_after', 'rows_removed']) AS metric, unnest([(SELECT count(*) FROM orders), (SELECT count(*) FROM orders WHERE o_orderkey % 3 = 0), (SELECT count(*) FROM orders WHERE o_orderkey % 3 <> 0)]) AS value) UNION ALL SELECT 'file', 'rows', count(*) FROM orders WHERE o_orderkey % 3 = 0")
+def history_sidecar(spark, d):
+    """The history beside a saved dataset, whose metrics come from the job that writes it."""
+    place = f"{shared_dir(spark, 'io')}/orders.parquet"
+    done = Pipeline([FilterRows(lambda x: nth("o_orderkey", 3) == 0)], on_error="raise", observed=True).run(Dataset(t(spark, d, "orders")))
+    sinks.save_dataset(done, place, save_history=True)
+    schema = "rows bigint, steps array<struct<name: string, metrics: map<string, bigint>>>"
+    told = spark.read.text(place.replace(".parquet", ".history.json"), wholetext=True).select(F.from_json("value", schema).alias("x"))
+    steps = told.select(F.explode("x.steps").alias("s")).select(F.col("s.name").alias("step"), F.explode("s.metrics").alias("metric", "value"))
+    return steps.unionByName(told.select(F.lit("file").alias("step"), F.lit("rows").alias("metric"), F.col("x.rows").alias("value")))

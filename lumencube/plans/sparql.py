@@ -18,7 +18,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.closure import transitive_closure
+from ..operators.closure import reachable, transitive_closure
 from ..scratch import shared_dir, written
 from ..sources.turtle import RDF, XSD
 
@@ -463,10 +463,11 @@ class Query:
         if "+" in path:
             if predicate[0] != "term":
                 raise SparqlError("a path needs a fixed predicate")
-            key = (self.graph, predicate[1][0])
-            rows = self.engine.closure(*key)
         if "^" in path:
             subject, obj = obj, subject
+        if "+" in path:
+            ends = [x[1][0] if x[0] == "term" else None for x in (subject, obj)]
+            rows = self.engine.closure(self.graph, predicate[1][0], *ends)
         parts = (("s", subject, term(F.col("s"), F.when(F.col("s").startswith("_:"), "bnode").otherwise("iri"))), ("p", predicate, term(F.col("p"), "iri")), ("o", obj, term(F.col("o"), F.col("o_kind"), F.col("datatype"), F.col("lang"))))
         test, made = F.lit(True), {}
         for column, (kind, value), whole in parts:
@@ -772,11 +773,18 @@ class Engine:
             return self.data.where(F.col("graph") == graph).select(*columns)
         return self.data.select(*columns).dropDuplicates()
 
-    def closure(self, graph: str | None, predicate: str) -> DataFrame:
-        key = (graph, predicate)
+    def closure(self, graph: str | None, predicate: str, start: str | None = None, end: str | None = None) -> DataFrame:
+        """The pairs of a path, from ``start`` or to ``end`` alone if one is given: then only what it reaches is joined, not all pairs."""
+        key = (graph, predicate, start, end)
         if key not in self._closures:
             edges = self.triples(graph).where((F.col("p") == predicate) & (F.col("o_kind") != "literal"))
-            pairs = transitive_closure(edges.select(F.col("s").alias("a"), F.col("o").alias("b")))
+            edges = edges.select(F.col("s").alias("a"), F.col("o").alias("b"))
+            if start is None and end is None:
+                pairs = transitive_closure(edges)
+            else:
+                one = self.spark.createDataFrame([(start if start is not None else end,)], "start string")
+                way = ("a", "b") if start is not None else ("b", "a")
+                pairs = reachable(edges, one, *way).select(F.col("start").alias(way[0]), F.col("node").alias(way[1]))
             none = F.lit(None).cast("string")
             kind = F.when(F.col("b").startswith("_:"), "bnode").otherwise("iri")
             self._closures[key] = pairs.select(F.col("a").alias("s"), F.lit(predicate).alias("p"), F.col("b").alias("o"), kind.alias("o_kind"), none.alias("datatype"), none.alias("lang"))

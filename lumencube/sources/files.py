@@ -68,3 +68,9 @@ def names(spark: SparkSession, path: str) -> list[str]:
 def remove(spark: SparkSession, path: str) -> None:
     system, place = _path(spark, path)
     system.delete(place, True)
+
+
+def rename(spark: SparkSession, path: str, to: str) -> None:
+    system, place = _path(spark, path)
+    if not system.rename(place, spark._jvm.org.apache.hadoop.fs.Path(to)):
+        raise OSError(f"{path} could not be renamed to {to}")

@@ -12,7 +12,6 @@ from itertools import islice
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 XSD = "http://www.w3.org/2001/XMLSchema#"
 RDF = "http://www.w3.org/1999/02/22-rdf-syntax-ns#"
@@ -21,7 +20,7 @@ COLUMNS = ["s", "p", "o", "o_kind", "datatype", "lang"]
 
 _LEXER = re.compile(
     r"""(?P<space>\s+|\#[^\n]*)
-    |(?P<iri><[^<>"{}|^`\\\x00-\x20]*>)
+    |(?P<iri><(?:[^<>"{}|^`\\\x00-\x20]|\\u[0-9A-Fa-f]{4}|\\U[0-9A-Fa-f]{8})*>)
     |(?P<long>\"\"\"(?:[^\"\\]|\\.|\"(?!\"\"))*\"\"\"|'''(?:[^'\\]|\\.|'(?!''))*''')
     |(?P<text>"(?:[^"\\\n]|\\.)*"|'(?:[^'\\\n]|\\.)*')
     |(?P<lang>@[A-Za-z]+(?:-[A-Za-z0-9]+)*)
@@ -44,7 +43,8 @@ def _unescape(text: str) -> str:
 class _Parser:
     """Recursive descent over the tokens of one document."""
 
-    def __init__(self, text: str, label: str):
+    def __init__(self, text: str, label: str, scope: str | None = None):
+        self.scope = f"{label}-" if scope is None else scope
         self.label, self.prefixes, self.base, self.blanks, self.out = label, {}, "", 0, []
         self.tokens = self._lex(text)
         self.kind = self.value = None
@@ -134,7 +134,7 @@ class _Parser:
             if value in ("true", "false"):
                 return value, "literal", XSD + "boolean", None
         if kind == "bnode":
-            return f"_:{self.label}-{value[2:]}", "bnode", None, None
+            return f"_:{self.scope}{value[2:]}", "bnode", None, None
         if kind == "number":
             whole = "double" if "e" in value.lower() else "decimal" if "." in value else "integer"
             return value, "literal", XSD + whole, None
@@ -167,58 +167,16 @@ class _Parser:
         return here
 
 
-def parse(text: str, label: str = "doc") -> Iterator[tuple]:
-    """(s, p, o, o_kind, datatype, lang) of a Turtle document; blank nodes are named after ``label``."""
-    return _Parser(text, label).triples()
+def parse(text: str, label: str = "doc", scope: str | None = None) -> Iterator[tuple]:
+    """(s, p, o, o_kind, datatype, lang) of a Turtle document; blank nodes are named after ``label``, those with a name after ``scope`` if that is given."""
+    return _Parser(text, label, scope).triples()
 
 
-class _Reader(DataSourceReader):
-    def __init__(self, options: dict):
-        self.options = options
-
-    def partitions(self) -> list[InputPartition]:
-        from pyarrow import fs
-
-        found = []
-        for place in self.options["path"].split(","):
-            store, path = fs.FileSystem.from_uri(place if "://" in place or place.startswith("file:") else f"file://{place}")
-            info = store.get_file_info(path)
-            if info.type == fs.FileType.Directory:
-                found += [x.path for x in store.get_file_info(fs.FileSelector(path, recursive=True)) if x.path.endswith(".ttl")]
-            elif info.type == fs.FileType.File:
-                found.append(path)
-            else:
-                raise FileNotFoundError(place)
-        return [InputPartition(x) for x in sorted(found)]
-
-    def read(self, partition: InputPartition) -> Iterator[tuple]:
-        from pyarrow import fs
-
-        place = self.options["path"].split(",")[0]
-        store, _ = fs.FileSystem.from_uri(place if "://" in place or place.startswith("file:") else f"file://{place}")
-        with store.open_input_stream(partition.value) as file:
-            text = file.read().decode("utf-8-sig")
-        yield from parse(text, re.sub(r"\W+", "-", partition.value.rsplit("/", 1)[-1]))
-
-
-class TurtleSource(DataSource):
-    """``spark.read.format("turtle").load(path)``: a file or folder, or several with commas; one partition a file."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "turtle"
-
-    def schema(self) -> str:
-        return SCHEMA
-
-    def reader(self, schema) -> DataSourceReader:
-        return _Reader(dict(self.options))
-
-
-def read_turtle(spark: SparkSession, *paths: str) -> DataFrame:
+def read_turtle(spark: SparkSession, *paths: str, one_document: bool = False) -> DataFrame:
     """The union of the files' triples, as a set: files, or folders of ``.ttl`` files.
 
-    Spark reads the files, so any store it reaches will do; each file is parsed in one task.
+    Spark reads the files, so any store it reaches will do; each file is parsed in one task. With ``one_document`` a blank node's
+    name means the same in all files and stays as it is, as ``write_turtle`` writes them.
     """
     files = spark.read.text(list(paths), wholetext=True, recursiveFileLookup=True).select("value", F.input_file_name().alias("place"))
     files = files.where(F.lower("place").endswith(".ttl"))
@@ -226,15 +184,15 @@ def read_turtle(spark: SparkSession, *paths: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for text, place in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                triples = parse(text.removeprefix("\ufeff"), re.sub(r"\W+", "-", place.rsplit("/", 1)[-1]))
+                triples = parse(text.removeprefix("\ufeff"), re.sub(r"\W+", "-", place.rsplit("/", 1)[-1]), "" if one_document else None)
                 while rows := list(islice(triples, 10_000)):
                     yield pa.RecordBatch.from_arrays([pa.array(c, pa.string()) for c in zip(*rows, strict=True)], names=COLUMNS)
 
     return files.mapInArrow(run, SCHEMA).dropDuplicates(COLUMNS)
 
 
-def n_triples(triples: DataFrame) -> DataFrame:
-    """One N-Triples line (column ``value``) for each triple."""
+def n_triples(triples: DataFrame, *keep: str) -> DataFrame:
+    """One N-Triples line (column ``value``) for each triple, beside the columns ``keep``."""
 
     def escaped(c):
         for a, b in (("\\", "\\\\"), ('"', '\\"'), ("\n", "\\n"), ("\r", "\\r"), ("\t", "\\t")):
@@ -248,4 +206,4 @@ def n_triples(triples: DataFrame) -> DataFrame:
     typed = F.when(F.col("lang").isNotNull(), F.concat(literal, F.lit("@"), F.col("lang")))
     typed = typed.when(F.col("datatype").isNotNull() & (F.col("datatype") != XSD + "string"), F.concat(literal, F.lit("^^<"), F.col("datatype"), F.lit(">"))).otherwise(literal)
     obj = F.when(F.col("o_kind") == "literal", typed).otherwise(node(F.col("o")))
-    return triples.select(F.concat_ws(" ", node(F.col("s")), node(F.col("p")), obj, F.lit(".")).alias("value"))
+    return triples.select(F.concat_ws(" ", node(F.col("s")), node(F.col("p")), obj, F.lit(".")).alias("value"), *keep)

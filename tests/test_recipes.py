@@ -53,7 +53,7 @@ def test_cubes(cubes):
     assert len(p) == 15 and p["001", "PUB"] == (1000, 500.5, 6.5) and p["111", "TOT"] == (10, 300.0, 0.0)
     assert {(r.codice_istat, r.n_pubblici) for r in public_counts(made["pensions"].data).collect()} == {("001", 1000), ("092", 100), ("111", 10)}
     assert made["regimes"].history[-1].metrics["observations_emitted"] == 24
-    assert made["employment"].history[-1].metrics == {"input_rows": 4, "observations_emitted": 3, "rows_skipped_missing_dimension": 1, "triples_written": 3 * 6 + 2 + 3}
+    assert made["employment"].history[-1].metrics == {"input_rows": 4, "observations_emitted": 3, "rows_skipped_missing_dimension": 1, "triples_written": 3 * 6 + 2 + 5}
     assert {(r.code, r.kind, r.freq, r.amount) for r in made["incomes"].data.where("kind = 'v2'").collect()} == {("TO", "v2", 3, 1000), ("CA", "v2", 1, 500)}
     assert {r.unita for r in made["demography"].data.collect()} == {"anni"}
 
