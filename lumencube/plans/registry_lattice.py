@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import functions as F
 
 from ..operators import lattice as L
@@ -24,14 +26,32 @@ def lattice_rollup(spark, d):
     store.add(rows.where(nth("l_orderkey", 2) == 0))
     store.add(rows.where(nth("l_orderkey", 2) == 1))
     cells = store.read()
-    low, high = F.expr("percentile(l_extendedprice, 0.47)"), F.expr("percentile(l_extendedprice, 0.53)")
-    exact = rows.rollup(*_FLAGS).agg(F.grouping_id().cast("long").alias("at"), F.count_distinct("l_partkey").alias("exact"), low.alias("low"), high.alias("high"))
-    exact = exact.select(*[F.col(c).alias(f"x_{c}") for c in _FLAGS], "at", "exact", "low", "high")
-    same = cells.level == exact.at
-    for c in _FLAGS:
-        same = same & cells[c].eqNullSafe(exact[f"x_{c}"])
+    exact = rows.rollup(*_FLAGS).agg(F.grouping_id().cast("long").alias("level"), F.count_distinct("l_partkey").alias("exact"))
     near = F.abs(F.col("parts") - F.col("exact")) <= F.greatest(F.lit(1.0), 4 * 1.04 / 64 * F.col("exact"))
-    return cells.join(exact, same).select(*_FLAGS, "level", "n", F.round("total", 2).alias("total"), "least", "most", near.alias("parts_within_error"), F.col("median").between(F.col("low"), F.col("high")).alias("median_within_error"))
+    middle = (F.col("below") <= 0.53 * F.col("n")) & (F.col("upto") >= 0.47 * F.col("n"))
+    both = _beside(_beside(cells, exact), _around(rows, cells, store))
+    return both.select(*_FLAGS, "level", "n", F.round("total", 2).alias("total"), "least", "most", near.alias("parts_within_error"), middle.alias("median_within_error"))
+
+
+def _beside(cells, other):
+    """The cells with what another table says of each; null is equal to null."""
+    named = other.select(*[F.col(c).alias(f"x_{c}") for c in ("level", *_FLAGS)], *[c for c in other.columns if c not in ("level", *_FLAGS)])
+    same = cells.level == named.x_level
+    for c in _FLAGS:
+        same = same & cells[c].eqNullSafe(named[f"x_{c}"])
+    return cells.join(named, same).drop(*[f"x_{c}" for c in ("level", *_FLAGS)])
+
+
+def _around(rows, cells, store):
+    """For each cell how many of its rows lie below its median, and how many up to it; one pass a level."""
+    found = []
+    for dims in store.sets:
+        level = store.level(dims)
+        own = cells.where(F.col("level") == level).select("level", *dims, "median")
+        met = rows.withColumn("level", F.lit(level).cast("long")).join(own, ["level", *dims])
+        sums = [F.sum((F.col("l_extendedprice") < F.col("median")).cast("long")).alias("below"), F.sum((F.col("l_extendedprice") <= F.col("median")).cast("long")).alias("upto")]
+        found.append(met.groupBy("level", *dims).agg(*sums).select("level", *[F.col(c) if c in dims else F.lit(None).cast(rows.schema[c].dataType).alias(c) for c in _FLAGS], "below", "upto"))
+    return reduce(lambda a, b: a.unionByName(b), found)
 
 
 @query("SELECT o_orderpriority, count(*) AS n, round(sum(o_totalprice), 2) AS total, max(o_orderdate) AS latest FROM orders GROUP BY o_orderpriority")
