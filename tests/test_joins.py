@@ -187,3 +187,51 @@ def test_asof_edges(spark):
         asof_join(a, b.withColumn("then", F.lit(1)), "at", "then")
     with pytest.raises(TypeError):
         asof_join(a, b.withColumn("key", F.array("key")), "at", "then", on=[("list", "key")])
+
+
+@pytest.mark.parametrize("closed", [False, True])
+@pytest.mark.parametrize("kind", ["long", "double"])
+def test_totals_equal_pairs_aggregated(spark, closed, kind, monkeypatch):
+    left, right = rows(300, 7, 5, 100, kind == "long"), rows(80, 8, 9, 100, kind == "long")
+    left += [(900 + k, "a", None if k else 5, None) for k in range(3)] * 2  # repeated rows, and some that lie nowhere
+    right += [(80, "a", None, None), (81, "c", 1, 2), (82, "b", 5, 5), (None, "a", 0, 9), (83, "b", 9, -9)]
+    number = lambda x: None if x is None else (int if kind == "long" else float)(x)
+    left, right = ([(i, key, number(lo), number(hi)) for i, key, lo, hi in side] for side in (left, right))
+    a, b = frames(spark, left, right, kind)
+    want = []
+    for l in left:
+        hits = [r[0] for r in right if l[1] == r[1] and r[0] is not None and meet((l[2], l[2], False, True), (r[2], r[3], closed, False))]
+        want.append((l[0], len(hits), min(hits, default=-1)))
+    for nodes in (1 << 16, 2):  # all blocks come down to the places, or few
+        monkeypatch.setattr(intervals, "_NODES", nodes)
+        found = intervals.overlap_totals(a, b, "low", Span("rlow", "rhigh", closed), "rid", on=[("the.key", "rkey")])
+        assert found.columns == [*a.columns, "n", "least"]
+        assert sorted((r.id, r.n, -1 if r.least is None else r.least) for r in found.collect()) == sorted(want)
+
+
+def test_totals_make_no_pairs(spark):
+    """3,000 spans over each of 3,000 points are 9 million pairs; blocks are a few dozen a span."""
+    points, spans = spark.range(3000).select(F.col("id").alias("x")), spark.range(3000).select(F.col("id").alias("rid"), (-F.col("id") - 1).alias("low"), (F.col("id") + 3000).alias("high"))
+    frame = intervals.overlap_totals(points, spans, "x", Span("low", "high"), "rid")
+    assert frame.where("n = 3000 AND least = 0").count() == 3000
+    plan = frame._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+    with pytest.raises(ValueError):
+        intervals.overlap_totals(points, spans, "x", Span("low"), "rid")
+
+
+def test_bands_query_totals_without_joining_spans_to_points(spark, tmp_path, monkeypatch):
+    from lumencube.plans import registry_joins
+
+    from .oracle import connect, differences
+
+    spark.createDataFrame([(k, k % 3 if k % 11 else None, float(k % 50) * 20) for k in range(200)], "c_custkey long, c_nationkey int, c_acctbal double").coalesce(1).write.parquet(str(tmp_path / "w/customer"))
+    spark.createDataFrame([(k, k % 4 if k % 7 else None, float(k) * 11) for k in range(90)], "s_suppkey long, s_nationkey int, s_acctbal double").coalesce(1).write.parquet(str(tmp_path / "w/supplier"))
+    for t in ("customer", "supplier"):
+        (part,) = (tmp_path / "w" / t).glob("part-*.parquet")
+        part.rename(tmp_path / f"{t}.parquet")
+    monkeypatch.setattr(registry_joins, "overlap_join", None)
+    query = registry_joins.balances_in_open_bands
+    from lumencube.plans.registry import ORACLES
+
+    assert differences(query(spark, str(tmp_path)), ORACLES["balances_in_open_bands"], connect(tmp_path)) == ""
