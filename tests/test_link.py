@@ -95,3 +95,28 @@ def test_closure(spark):
     assert {tuple(r) for r in transitive_closure(edges).collect()} == ring
     assert {tuple(r) for r in reachable(edges, spark.createDataFrame([(4,), (9,)], "start int")).collect()} == {(4, 1), (4, 2), (4, 3)}
     assert transitive_closure(edges.limit(0)).count() == 0
+
+
+def test_closure_deals_out_each_pair_once_for_an_edge(spark, monkeypatch):
+    """A grid has many paths between two nodes; rounds deal out what edges before the newest pairs make and nothing else."""
+    n, dealt = 8, []
+    edges = spark.createDataFrame([(x * n + y, (x + i) * n + y + j) for x in range(n) for y in range(n) for i, j in ((1, 0), (0, 1)) if x + i < n and y + j < n], "a int, b int")
+    real = type(edges).repartition
+    monkeypatch.setattr(type(edges), "repartition", lambda self, *by: dealt.append(self.count()) or real(self, *by))
+    got = [tuple(r) for r in transitive_closure(edges).collect()]
+    want = {(x * n + y, u * n + v) for x in range(n) for y in range(n) for u in range(x, n) for v in range(y, n)} - {(k, k) for k in range(n * n)}
+    assert len(got) == len(want) and set(got) == want
+    assert len(dealt) > 2 and sum(dealt) <= 2 * edges.count() + 2 * len(want)
+
+
+def test_closure_of_a_path_longer_than_its_single_rounds(spark, monkeypatch):
+    from lumencube.operators import closure
+
+    monkeypatch.setattr(closure, "SINGLE_ROUNDS", 3)
+    before = spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition")
+    edges = spark.createDataFrame([(k, k + 1) for k in range(40)] + [(40, 30)], "a int, b int")
+    got = [tuple(r) for r in closure.transitive_closure(edges).collect()]
+    want = {(i, j) for i in range(41) for j in range(41) if i < j} | {(i, j) for i in range(30, 41) for j in range(30, 41)}
+    assert len(got) == len(set(got)) and set(got) == want
+    assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
+    assert spark.sql("SHOW TABLES").where("tableName LIKE 'closure_%' OR tableName LIKE 'links_%'").count() == 0
