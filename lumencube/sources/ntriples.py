@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..scratch import distinct, parts
 from .turtle import COLUMNS, XSD, n_triples
 
 _NODE = r"<[^<>\"{}|^`\\\x00-\x20]*(?:\\u[0-9A-Fa-f]{4}[^<>\"{}|^`\\\x00-\x20]*|\\U[0-9A-Fa-f]{8}[^<>\"{}|^`\\\x00-\x20]*)*>"
@@ -102,4 +103,5 @@ def n_quads(quads: DataFrame) -> DataFrame:
 
 def write_quads(quads: DataFrame, path: str) -> None:
     """N-Quads text, each quad once."""
-    n_quads(quads.select(*COLUMNS, "graph").dropDuplicates()).write.mode("overwrite").text(path)
+    rows = quads.select(*COLUMNS, "graph")
+    n_quads(distinct(rows, parts(rows))).write.mode("overwrite").text(path)
