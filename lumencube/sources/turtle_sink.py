@@ -14,6 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..scratch import distinct, parts
 from . import files
 from .turtle import COLUMNS, RDF, XSD
 
@@ -79,8 +80,9 @@ def turtle_lines(triples: DataFrame, prefixes: Mapping[str, str] | None = None)
         if open_line is not None:
             yield pa.RecordBatch.from_arrays([pa.array([open_line + " ."])], names=["value"])
 
-    rows = triples.select(*COLUMNS).where(F.col("s").isNotNull() & F.col("p").isNotNull() & F.col("o").isNotNull()).dropDuplicates()
-    ordered = rows.repartitionByRange(*COLUMNS).sortWithinPartitions(*COLUMNS)
+    rows = triples.select(*COLUMNS).where(F.col("s").isNotNull() & F.col("p").isNotNull() & F.col("o").isNotNull())
+    n = parts(rows)  # documents of so few triples that a reader can hold one
+    ordered = distinct(rows, n).repartitionByRange(n, *COLUMNS).sortWithinPartitions(*COLUMNS)
     return ordered.mapInArrow(run, "value string")
 
 

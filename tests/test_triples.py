@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -167,3 +168,19 @@ def test_rare_predicates_share_a_partition(spark, tmp_path, monkeypatch):
     store.close()
     empty = PredicateStore.build(spark.createDataFrame([], SCHEMA), str(tmp_path / "e"), buckets=2)
     assert empty.triples().count() == 0
+
+
+@pytest.mark.parametrize("kind", ["quads", "turtle"])
+def test_writers_hold_a_share_in_each_task(spark, tmp_path, monkeypatch, kind):
+    """One partition that makes many rows is dealt out before repeated ones are left out, and files are as many."""
+    from lumencube import scratch
+
+    monkeypatch.setattr(scratch, "PART_ROWS", 50)
+    frame = spark.range(1000, numPartitions=1).select(F.concat(F.lit("http://ex/"), F.col("id") % 500).alias("s"), F.lit("http://ex/p").alias("p"), F.lit("x").alias("o"), F.lit("literal").alias("o_kind"), F.lit(None).cast("string").alias("datatype"), F.lit(None).cast("string").alias("lang"))
+    if kind == "quads":
+        ntriples.write_quads(frame.withColumn("graph", F.lit(None).cast("string")), str(tmp_path / "t"))
+        assert ntriples.read_quads(spark, str(tmp_path / "t")).count() == 500
+    else:
+        turtle_sink.write_turtle(frame, str(tmp_path / "t"))
+        assert read_turtle(spark, str(tmp_path / "t"), one_document=True).count() == 500
+    assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("part-")]) > 10
