@@ -176,9 +176,9 @@ def test_writers_hold_a_share_in_each_task(spark, tmp_path, monkeypatch, kind):
     from lumencube import scratch
 
     monkeypatch.setattr(scratch, "PART_ROWS", 50)
-    frame = spark.range(1000, numPartitions=1).select(F.concat(F.lit("http://ex/"), F.col("id") % 500).alias("s"), F.lit("http://ex/p").alias("p"), F.lit("x").alias("o"), F.lit("literal").alias("o_kind"), F.lit(None).cast("string").alias("datatype"), F.lit(None).cast("string").alias("lang"))
+    frame = spark.createDataFrame([(f"http://ex/{k % 500}", f"http://ex/p{k % 5}", "x", "literal", None, None) for k in range(1000)], SCHEMA).coalesce(1)
     if kind == "quads":
-        ntriples.write_quads(frame.withColumn("graph", F.lit(None).cast("string")), str(tmp_path / "t"))
+        ntriples.write_quads(frame.withColumn("graph", F.concat("p", F.lit("/g"))), str(tmp_path / "t"))
         assert ntriples.read_quads(spark, str(tmp_path / "t")).count() == 500
     else:
         turtle_sink.write_turtle(frame, str(tmp_path / "t"))
