@@ -4,6 +4,9 @@ Terms are numbered in their order by a range partition, so numbers are as small
 longs. Triples lie in one table that is partitioned by predicate and, within each, bucketed and sorted by subject. So a
 pattern with a fixed predicate reads that predicate alone, and a star of patterns about one subject joins bucket by
 bucket, without an exchange. Terms are looked up only for what a query returns.
+
+Tasks hold a share of fixed size however many triples there are: buckets and partitions follow the number of rows, and rows of a term
+that very many triples have get its number, or its text, from a broadcast and are spread over all partitions.
 """
 
 from __future__ import annotations
@@ -15,7 +18,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from .. import scratch
 from . import files
 from .turtle import XSD
 
@@ -23,6 +28,8 @@ _TERM = ("v", "kind", "datatype", "lang")
 #: Predicates that have a partition of their own; all others share one.
 MOST_PREDICATES = 10_000
 _OTHERS = -1
+#: Numbers of terms in more than ``scratch.PART_ROWS`` places are broadcast, so many at most.
+MOST_HOT = 100_000
 
 
 def _term(v: str, kind: Column, datatype: Column | None = None, lang: Column | None = None) -> list[Column]:
@@ -34,6 +41,24 @@ def _node_kind(name: str) -> Column:
     return F.when(F.col(name).startswith("_:"), "bnode").otherwise("iri")
 
 
+def _looked_up(frame: DataFrame, key: Column, terms: DataFrame, value: str, n: int) -> DataFrame:
+    """``frame`` with the ``value`` of the term (columns key, value, uses) that has its ``key``, or null.
+
+    Frequent keys are looked up in a broadcast; their rows, and those without a key, are dealt out by all their columns and meet nothing in the join.
+    """
+    hot = terms.where(F.col("uses") > scratch.PART_ROWS).orderBy(F.desc("uses"), "key").limit(MOST_HOT).select(F.col("key").alias("__hot"), F.struct(F.col(value).alias("v")).alias("__found"))
+    plain = [F.col(f.name) for f in frame.schema.fields if isinstance(f.dataType, T.AtomicType)]
+    spread = F.pmod(F.xxhash64(*plain), F.lit(n)) + 1
+    rows = frame.withColumn("__key", key).join(F.broadcast(hot), F.col("__key") == F.col("__hot"), "left")
+    salt = F.when(F.col("__found").isNotNull() | F.col("__key").isNull(), spread).otherwise(F.lit(0).cast("long"))
+    # one struct of one type is the whole key of the join, so that the partitions are those of these lines
+    whole = f"struct<key:{terms.schema['key'].dataType.simpleString()},salt:bigint>"
+    rows = rows.withColumn("__at", F.struct(F.col("__key").alias("key"), salt.alias("salt")).cast(whole)).drop("__key", "__hot").repartition(n, "__at")
+    own = terms.select(F.struct(F.col("key").alias("key"), F.lit(0).cast("long").alias("salt")).cast(whole).alias("__own"), F.col(value).alias("__value")).repartition(n, "__own")
+    joined = rows.join(own, F.col("__at") == F.col("__own"), "left")
+    return joined.select(*frame.columns, F.coalesce(F.col("__found.v"), F.col("__value")).alias(value))
+
+
 class PredicateStore:
     """Opened with ``build`` or ``open``. The triples are a set; rows with a null subject, predicate or object are left out."""
 
@@ -50,31 +75,34 @@ class PredicateStore:
 
     @classmethod
     def build(cls, triples: DataFrame, path: str, buckets: int | None = None) -> PredicateStore:
+        """Write a store to ``path``, with at least ``buckets`` buckets, and so many that one has about ``scratch.PART_ROWS`` triples."""
         spark = triples.sparkSession
-        buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         rows = triples.where(F.col("s").isNotNull() & F.col("p").isNotNull() & F.col("o").isNotNull())
         # a plain literal is a string, however it was written
         datatype = F.when((F.col("o_kind") == "literal") & F.col("lang").isNull(), F.coalesce("datatype", F.lit(XSD + "string")))
-        rows = rows.select("s", "p", "o", "o_kind", datatype.alias("datatype"), "lang").dropDuplicates()
-        rows.write.parquet(f"{path}/raw")
-        rows = spark.read.parquet(f"{path}/raw")
-        each = [rows.select(*_term("s", _node_kind("s"))), rows.select(*_term("p", F.lit("iri"))), rows.select(*_term("o", F.col("o_kind"), F.col("datatype"), F.col("lang")))]
-        terms = reduce(DataFrame.unionByName, each).dropDuplicates()
+        rows = rows.select("s", "p", "o", "o_kind", datatype.alias("datatype"), "lang")
+        scratch.distinct(rows, scratch.parts(rows)).write.parquet(f"{path}/raw")
+        rows = spark.read.schema(rows.schema).parquet(f"{path}/raw")
+        total = rows.count()
+        n = -(-total // scratch.PART_ROWS) or 1
+        buckets = max(n, buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+        n = max(n, spark.sparkContext.defaultParallelism)
+        predicates = rows.groupBy("p").agg(F.count(F.lit(1)).alias("uses"))
+        each = [rows.select(*_term("s", _node_kind("s")), F.lit(1).cast("long").alias("uses")), predicates.select(*_term("p", F.lit("iri")), "uses"), rows.select(*_term("o", F.col("o_kind"), F.col("datatype"), F.col("lang")), F.lit(1).cast("long").alias("uses"))]
+        terms = reduce(DataFrame.unionByName, each).repartition(n, *_TERM).groupBy(*_TERM).agg(F.sum("uses").alias("uses"))
         # the number of a row within its range, and the range; fixed once written
-        ordered = terms.repartitionByRange(*_TERM).sortWithinPartitions(*_TERM)
+        ordered = terms.repartitionByRange(n, *_TERM).sortWithinPartitions(*_TERM)
         ordered.withColumn("id", F.monotonically_increasing_id()).write.parquet(f"{path}/terms")
         terms = spark.read.parquet(f"{path}/terms")
-        counted = rows.groupBy("p").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "p").limit(MOST_PREDICATES + 1).collect()
+        terms = terms.select(F.struct(*_TERM).alias("key"), "id", "uses")
+        counted = predicates.orderBy(F.desc("uses"), "p").limit(MOST_PREDICATES + 1).collect()
         named = {r.p: k for k, r in enumerate(counted[:MOST_PREDICATES])}
         numbers = spark.createDataFrame([*named.items()] or [("", 0)], "p string, number int")
         coded = rows.join(F.broadcast(numbers), "p", "left").withColumn("number", F.coalesce("number", F.lit(_OTHERS)))  # at most MOST_PREDICATES rows
-        parts = {"s": _node_kind("s"), "q": F.lit("iri"), "o": F.col("o_kind")}
-        for name, source in (("s", "s"), ("q", "p"), ("o", "o")):
-            t = terms.select(*[F.col(c).alias(f"t_{c}") for c in _TERM], F.col("id").alias(f"id_{name}"))
-            same = (F.col(source) == F.col("t_v")) & (parts[name] == F.col("t_kind"))
-            for c in ("datatype", "lang"):
-                same = same & (F.col(c).eqNullSafe(F.col(f"t_{c}")) if name == "o" else F.col(f"t_{c}").isNull())
-            coded = coded.join(t, same).drop(*[f"t_{c}" for c in _TERM])
+        own = {"s": ("s",), "q": ("p",), "o": ("o", "o_kind", "datatype", "lang")}
+        keys = {"s": F.struct(*_term("s", _node_kind("s"))), "q": F.struct(*_term("p", F.lit("iri"))), "o": F.struct(*_term("o", F.col("o_kind"), F.col("datatype"), F.col("lang")))}
+        for name, given in own.items():
+            coded = _looked_up(coded, keys[name], terms, "id", n).withColumnRenamed("id", f"id_{name}").drop(*given)
         out = coded.select(F.col("id_s").alias("s"), F.col("id_q").alias("q"), F.col("id_o").alias("o"), F.col("number").alias("p"))
         name = f"made_{uuid.uuid4().hex}"
         dealt = out.repartition(buckets, "s")  # the buckets' own hash, so that each predicate has one file a bucket
@@ -126,17 +154,23 @@ class PredicateStore:
 
     def decoded(self, frame: DataFrame, *columns: str) -> DataFrame:
         """The frame with the numbers in ``columns`` replaced by the terms' lexical forms; null stays null."""
+        n = self._parts(frame)
+        terms = self.terms.select(F.col("id").alias("key"), F.col("v").alias("__v"), "uses")
         for c in columns:
-            t = self.terms.select(F.col("id").alias("__id"), F.col("v").alias("__v"))
             others = [F.col("__v").alias(c) if x == c else F.col(x) for x in frame.columns]
-            frame = frame.join(t, F.col(c) == F.col("__id"), "left").select(*others)
+            frame = _looked_up(frame, F.col(c), terms, "__v", n).select(*others)
         return frame
 
+    def _parts(self, frame: DataFrame) -> int:
+        """Partitions in which neither the frame nor the terms are large."""
+        return max(scratch.parts(frame), scratch.parts(self.terms))
+
     def triples(self) -> DataFrame:
         """All triples as they were given, as a set."""
-        t = self.terms
         out = self._triples.select("s", "q", "o")
+        n = self._parts(out)
         for name, columns in (("s", ("v",)), ("q", ("v",)), ("o", _TERM)):
-            side = t.select(F.col("id").alias("__id"), *[F.col(c).alias(f"{name}_{c}") for c in columns])
-            out = out.join(side, F.col(name) == F.col("__id")).drop("__id", name)
-        return out.select(F.col("s_v").alias("s"), F.col("q_v").alias("p"), F.col("o_v").alias("o"), F.col("o_kind"), F.col("o_datatype").alias("datatype"), F.col("o_lang").alias("lang"))
+            terms = self.terms.select(F.col("id").alias("key"), F.struct(*columns).alias("term"), "uses")
+            out = _looked_up(out, F.col(name), terms, "term", n).withColumnRenamed("term", f"{name}_term")
+        o = F.col("o_term")
+        return out.select(F.col("s_term.v").alias("s"), F.col("q_term.v").alias("p"), o["v"].alias("o"), o["kind"].alias("o_kind"), o["datatype"].alias("datatype"), o["lang"].alias("lang"))

@@ -184,3 +184,24 @@ def test_writers_hold_a_share_in_each_task(spark, tmp_path, monkeypatch, kind):
         turtle_sink.write_turtle(frame, str(tmp_path / "t"))
         assert read_turtle(spark, str(tmp_path / "t"), one_document=True).count() == 500
     assert len([p for p in (tmp_path / "t").iterdir() if p.name.startswith("part-")]) > 10
+
+
+def test_store_holds_a_share_in_each_task(spark, tmp_path, monkeypatch):
+    """Buckets follow the triples, and rows with a frequent object or with none are spread when numbers become terms."""
+    from lumencube import scratch
+
+    monkeypatch.setattr(scratch, "PART_ROWS", 200)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(f"http://ex/s{k}", "http://ex/kind", "http://ex/one", "iri", None, None) for k in range(2000)]
+        rows += [(f"http://ex/s{k}", "http://ex/name", f"n{k}", "literal", XSD + "string", None) for k in range(0, 2000, 4)]
+        store = PredicateStore.build(spark.createDataFrame(rows, SCHEMA), str(tmp_path / "s"), buckets=2)
+        assert store.manifest["buckets"] == 13 and as_set(store.triples()) == set(rows)
+        got = store.decoded(store.star({"kind": "http://ex/kind", "name": "http://ex/name"}, ["name"]), "subject", "kind", "name")
+        assert {tuple(r) for r in got.collect()} == {(f"http://ex/s{k}", "http://ex/one", None if k % 4 else f"n{k}") for k in range(2000)}
+        for frame in (got, store.triples()):
+            assert "ENSURE_REQUIREMENTS" not in frame._jdf.queryExecution().executedPlan().toString()  # rows are dealt out once for each join
+            assert max(r["count"] for r in frame.groupBy(F.spark_partition_id().alias("part")).count().collect()) < 500
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
