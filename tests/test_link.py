@@ -120,3 +120,26 @@ def test_closure_of_a_path_longer_than_its_single_rounds(spark, monkeypatch):
     assert len(got) == len(set(got)) and set(got) == want
     assert spark.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == before
     assert spark.sql("SHOW TABLES").where("tableName LIKE 'closure_%' OR tableName LIKE 'links_%'").count() == 0
+
+
+@pytest.mark.parametrize("single", [24, 1])
+def test_closures_send_no_table_through_the_driver(spark, monkeypatch, single):
+    """Files of pairs look small, so Spark would broadcast them; here that is an error."""
+    from lumencube.operators import closure
+
+    monkeypatch.setattr(closure, "SINGLE_ROUNDS", single)
+    monkeypatch.setattr(closure, "PART_ROWS", 0, raising=False)
+    rows = [(k, k // n) for k in range(1, 600) for n in (3, 5)]
+    edges = spark.createDataFrame(rows, "a int, b int")
+    after = {}
+    for a, b in sorted(rows):
+        after.setdefault(a, set()).update({b} | after.get(b, set()))
+    want = {(a, b) for a, found in after.items() for b in found}
+    spark.conf.set("spark.sql.maxBroadcastTableSize", "1k")
+    try:
+        got = [tuple(r) for r in closure.transitive_closure(edges).collect()]
+        assert len(got) == len(want) and set(got) == want
+        got = [tuple(r) for r in closure.reachable(edges, edges.select(F.col("a").alias("start"))).collect()]
+        assert len(got) == len(want) and set(got) == want
+    finally:
+        spark.conf.unset("spark.sql.maxBroadcastTableSize")
