@@ -235,3 +235,33 @@ def test_bands_query_totals_without_joining_spans_to_points(spark, tmp_path, mon
     from lumencube.plans.registry import ORACLES
 
     assert differences(query(spark, str(tmp_path)), ORACLES["balances_in_open_bands"], connect(tmp_path)) == ""
+
+
+@pytest.mark.parametrize("kind", ["long", "double"])
+@pytest.mark.parametrize("closed", [False, True])
+def test_packs_of_points_equal_all_pairs(spark, monkeypatch, kind, closed):
+    """Points on either side, with and without keys, nulls, repeated rows and open bounds; packs of four, cells of few rows."""
+    for name, value in (("PACK", 2), ("TASK_MEETS", 20), ("CELL_MEETS", 10)):
+        monkeypatch.setattr(intervals, name, value, raising=False)
+    points, spans = rows(90, 11, 5, 60, kind == "long"), rows(60, 12, 9, 60, kind == "long")
+    points, spans = points + points[:20] + [(300 + k, "a", points[5][2], None) for k in range(20)], spans + spans[:10] + [(900, "a", None, None), (901, None, None, points[5][2])]
+    a, b = frames(spark, points, spans, kind)
+    with_keys = plain(points, spans, "inner", True, closed, True)
+    bare = plain([(i, 0, lo, hi) for i, _, lo, hi in points], [(i, 0, lo, hi) for i, _, lo, hi in spans], "inner", True, closed, True)
+    point, span = Span("low"), Span("rlow", "rhigh", closed)
+    assert got(overlap_join(a, b, point, span, on=[("the.key", "rkey")], bin_rows=16), "inner") == with_keys
+    assert got(overlap_join(b, a, span, point, on=[("rkey", "the.key")], bin_rows=16), "inner") == with_keys
+    frame = overlap_join(a, b, point, span, bin_rows=16)
+    assert got(frame, "inner") == bare and frame.columns == [*a.columns, *b.columns]
+
+
+def test_many_pairs_of_few_rows_get_many_tasks(spark, monkeypatch):
+    """Rows and bytes are few, pairs are many: the join has tasks for its pairs, none makes most of them, and looks at packs."""
+    for name, value in (("PACK", 4), ("TASK_MEETS", 100), ("CELL_MEETS", 200)):
+        monkeypatch.setattr(intervals, name, value, raising=False)
+    points = spark.range(2000).select(F.col("id").alias("x"))
+    spans = spark.range(500).select((F.col("id") * 3).alias("low"), (F.col("id") * 3 + 400).alias("high"))
+    frame = overlap_join(points, spans, Span("x"), Span("low", "high"), bin_rows=1000)
+    made = [r[0] for r in frame.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    assert sum(made) == 500 * 400 and len(made) > 16 and max(made) < 30_000
+    assert "explode" in frame._jdf.queryExecution().toString()
